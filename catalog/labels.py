@@ -163,7 +163,7 @@ def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT label, count(*) AS n FROM embeddings GROUP BY label")
 def repartitioned_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "label")
-    return classes.spread(rows, 200, "vec_id").groupBy("label").agg(F.count("*").alias("n"))
+    return classes.spread(rows, 200, ["vec_id"]).groupBy("label").agg(F.count("*").alias("n"))
 
 
 def _split_sql(salt: str, percent: int) -> str:

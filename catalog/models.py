@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import query, table
 from catalog.standins import RETURN_FLAGS, SQL_HELD_OUT, line_features, line_images
+from imagelab.operators.classes import hash_split, spread
 from imagelab.operators.featurizer import ImageFeaturizer
 from imagelab.plans import scoring, training
 from imagelab.session import delete_on_exit, scratch_path
@@ -13,6 +14,7 @@ from imagelab.sources import registry as rg
 from imagelab.sources.images import write_table
 from imagelab.streaming import scoring as streaming
 
+LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
 SQL_OWN_LABEL = f"""WITH {SQL_HELD_OUT}
 SELECT label, label AS prediction, count(*) AS n FROM held_out GROUP BY label"""
 SQL_OWN_FLAG = f"""WITH {SQL_HELD_OUT}
@@ -20,12 +22,13 @@ SELECT l_returnflag, l_returnflag AS class_name, count(*) AS n FROM held_out GRO
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
+    return spread(lines, key=LINE_COLUMNS[:4])
 
 
 def _features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = training.training_rows(line_features(_lines(spark, sf_dir)))
-    return rows.filter("bucket < 70"), rows.filter("bucket >= 70")
+    return training.split_rows(rows, "key")
 
 
 def _fit_and_score(spark: SparkSession, sf_dir: str, spec: training.ModelSpec) -> DataFrame:
@@ -61,14 +64,14 @@ def mlp_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(SQL_OWN_LABEL)
 def pipeline_featurizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Featurizer and classifier in one pipeline; saved, loaded and applied to images."""
-    rows = line_images(_lines(spark, sf_dir))
+    train, test = hash_split(line_images(_lines(spark, sf_dir)), F.col("key"))
     featurizer = ImageFeaturizer(height=4, width=4, method="nearest")
     spec = training.elastic_net_regression()
-    model = training.fit_stages([featurizer], spec, rows.filter("bucket < 70"))
+    model = training.fit_stages([featurizer], spec, train)
     path = scratch_path(spark, "pipeline")
     model.write().save(path)
     delete_on_exit(spark, path.rsplit("/", 1)[0])
-    return training.count_outcomes(PipelineModel.load(path).transform(rows.filter("bucket >= 70")))
+    return training.count_outcomes(PipelineModel.load(path).transform(test))
 
 
 @query(SQL_OWN_LABEL)
@@ -150,11 +153,11 @@ def score_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(SQL_OWN_FLAG)
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The file as a stream, scored into a table by a query that stops when it has caught up."""
-    lines = _lines(spark, sf_dir)
+    lines = table(spark, sf_dir, "lineitem")
     train, _ = _features(spark, sf_dir)
     model = training.fit(training.decision_tree(), train)
     stream = spark.readStream.schema(lines.schema).parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet*")
-    held_out = training.training_rows(line_features(stream)).filter("bucket >= 70")
+    _, held_out = hash_split(training.training_rows(line_features(stream)), F.col("key"))
     scored = streaming.score_stream(held_out, model, RETURN_FLAGS, keep=["l_returnflag"])
     root = scratch_path(spark, "stream")
     streaming.run_available(scored, f"{root}/rows", f"{root}/checkpoint")

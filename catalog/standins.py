@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import table
-from imagelab.functions.columns import as_class, class_id, hash_bucket
+from imagelab.functions.columns import as_class, class_id
 from imagelab.schemas import IMAGE_STRUCT
 
 SIDE = 8
@@ -112,7 +112,7 @@ def line_features(lines: DataFrame) -> DataFrame:
         features.alias("features"),
         as_class(class_id(F.col("l_returnflag"), RETURN_FLAGS), RETURN_FLAGS),
         "l_returnflag",
-        hash_bucket(line_key()).alias("bucket"),
+        line_key().alias("key"),
     )
 
 
@@ -126,5 +126,5 @@ def line_images(lines: DataFrame) -> DataFrame:
     return lines.select(
         image.alias("image"),
         as_class(class_id(F.col("l_returnflag"), RETURN_FLAGS), RETURN_FLAGS),
-        hash_bucket(line_key()).alias("bucket"),
+        line_key().alias("key"),
     )

@@ -8,6 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Public definitions of the two network input scalings.
 INCEPTION_HALF_RANGE = 127.5
@@ -20,38 +21,81 @@ WEIGHT_ONE = float(1 << 22)
 CHUNK_VALUES = 8_000_000  # float64 values alive per resampling step (64 MB)
 
 
-def byte_rows(column: pa.Array) -> list[np.ndarray | None]:
-    """One uint8 view per row of a binary column, None for null; nothing is copied."""
-    return [
-        np.frombuffer(value.as_buffer(), np.uint8) if value.is_valid else None for value in column
-    ]
+Piece = tuple[np.ndarray, np.ndarray]  # row numbers of a batch, and one line of values for each
+
+
+class ByteColumn:
+    """A binary Arrow column as one flat uint8 array with row starts; nothing is copied."""
+
+    def __init__(self, column: pa.Array):
+        width = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+        _, offsets, values = column.buffers()
+        count = len(column)
+        ends = np.frombuffer(offsets, width)[column.offset : column.offset + count + 1]
+        self.values = np.frombuffer(values, np.uint8) if values else np.empty(0, np.uint8)
+        self.starts, self.lengths = ends[:-1], np.diff(ends)
+        self.valid = column.is_valid().to_numpy(zero_copy_only=False)
+
+    def lines(self, rows: np.ndarray, size: int) -> np.ndarray:
+        """(rows, size) matrix of equally long rows; a view where the rows lie side by side."""
+        starts = self.starts[rows]
+        if np.all(np.diff(starts) == size):
+            return self.values[starts[0] : starts[0] + len(rows) * size].reshape(len(rows), size)
+        return np.stack([self.values[s : s + size] for s in starts])
+
+
+def pieces_of(rows: np.ndarray, values_per_row: int) -> Iterator[np.ndarray]:
+    """Row numbers in chunks whose float64 values stay within CHUNK_VALUES."""
+    step = max(1, CHUNK_VALUES // values_per_row)
+    return (rows[start : start + step] for start in range(0, len(rows), step))
 
 
-def decode_rgb(images: pa.StructArray) -> tuple[list[np.ndarray | None], list[str | None]]:
-    """Image structs to RGB arrays, with the reason for every row that cannot be decoded."""
+def equal_lines(column: pa.Array) -> Iterator[Piece]:
+    """Binary rows in pieces of equal length."""
+    data = ByteColumn(column)
+    for size in np.unique(data.lengths[data.valid]).tolist():
+        for rows in pieces_of(np.flatnonzero(data.valid & (data.lengths == size)), max(size, 1)):
+            yield rows, data.lines(rows, size)
+
+
+def decode_rgb(images: pa.StructArray, work: int = 0) -> tuple[np.ndarray, Iterator[Piece]]:
+    """Image structs to (rows, R,G,B stack) pieces of equal shape, and a reason for every other row.
+
+    `work` is the number of values per image that the caller makes of it, to bound the pieces.
+    """
     fields = dict(zip([f.name for f in images.type], images.flatten(), strict=True))
-    shapes = [fields[n].to_pylist() for n in ("height", "width", "nChannels")]
-    decoded: list[np.ndarray | None] = []
-    reasons: list[str | None] = []
-    for raw, height, width, channels in zip(byte_rows(fields["data"]), *shapes, strict=True):
-        reason = None
-        if raw is None or None in (height, width, channels):
-            reason = "missing"
-        elif height <= 0 or width <= 0:
-            reason = "undecodable"
-        elif channels not in (1, 3, 4):
-            reason = "channels"
-        elif raw.size != height * width * channels:
-            reason = "length"
-        reasons.append(reason)
-        decoded.append(None if reason else _rgb(raw.reshape(height, width, channels)))
-    return decoded, reasons
+    data = ByteColumn(fields["data"])
+    shape = [fields[n].fill_null(0).to_numpy(zero_copy_only=False) for n in ("height", "width", "nChannels")]
+    height, width, channels = (s.astype(np.int64) for s in shape)
+    known = data.valid.copy()
+    for name in ("height", "width", "nChannels"):
+        known &= fields[name].is_valid().to_numpy(zero_copy_only=False)
+    tests = [
+        ("missing", ~known),
+        ("undecodable", (height <= 0) | (width <= 0)),
+        ("channels", ~np.isin(channels, (1, 3, 4))),
+        ("length", data.lengths != height * width * channels),
+    ]
+    reasons = np.full(len(images), None, object)
+    for reason, failed in reversed(tests):  # the first reason that applies wins
+        reasons[failed] = reason
+    good = np.flatnonzero(reasons == None)  # noqa: E711
+
+    def pieces() -> Iterator[Piece]:
+        shapes, group = np.unique(
+            np.stack([height[good], width[good], channels[good]], axis=1), axis=0, return_inverse=True
+        )
+        for number, (h, w, c) in enumerate(shapes.tolist()):
+            for rows in pieces_of(good[group == number], max(work, 3 * h * w)):
+                yield rows, _rgb(data.lines(rows, h * w * c).reshape(len(rows), h, w, c))
+
+    return reasons, pieces()
 
 
 def _rgb(stored: np.ndarray) -> np.ndarray:
-    if stored.shape[2] == 1:
-        return np.repeat(stored, 3, axis=2)
-    return stored[:, :, 2::-1]  # B,G,R(,A) to R,G,B
+    if stored.shape[3] == 1:
+        return np.repeat(stored, 3, axis=3)
+    return stored[..., 2::-1]  # B,G,R(,A) to R,G,B
 
 
 @lru_cache(maxsize=512)
@@ -95,18 +139,11 @@ def resize(stack: np.ndarray, height: int, width: int, method: str) -> np.ndarra
 
 
 def resized_stacks(
-    decoded: list[np.ndarray | None], height: int, width: int, method: str
-) -> Iterator[tuple[list[int], np.ndarray]]:
-    """Row numbers and their resized images, in chunks of equal source size and bounded memory."""
-    by_shape: dict[tuple, list[int]] = {}
-    for row, image in enumerate(decoded):
-        if image is not None:
-            by_shape.setdefault(image.shape, []).append(row)
-    for (h, w, _), rows in by_shape.items():
-        step = max(1, CHUNK_VALUES // (3 * max(h, height) * max(w, width)))
-        for start in range(0, len(rows), step):
-            part = rows[start : start + step]
-            yield part, resize(np.stack([decoded[r] for r in part]), height, width, method)
+    images: pa.StructArray, height: int, width: int, method: str
+) -> tuple[np.ndarray, Iterator[Piece]]:
+    """Image structs to (rows, resized stack) pieces, and a reason for every other row."""
+    reasons, decoded = decode_rgb(images, 3 * height * width)
+    return reasons, ((rows, resize(stack, height, width, method)) for rows, stack in decoded)
 
 
 def scale(pixels: np.ndarray, scaling: str | None) -> np.ndarray:
@@ -121,13 +158,34 @@ def scale(pixels: np.ndarray, scaling: str | None) -> np.ndarray:
     raise ValueError(f"unknown scaling {scaling!r}")
 
 
-def float_lists(rows: list[np.ndarray | None]) -> pa.ListArray:
-    """array<float> column from numpy rows, null where a row is None."""
-    sizes = np.array([0 if r is None else r.size for r in rows], np.int32)
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    kept = [np.asarray(r, np.float32).ravel() for r in rows if r is not None]
-    values = np.concatenate(kept) if kept else np.empty(0, np.float32)
-    missing = pa.array([r is None for r in rows], pa.bool_())
-    return pa.ListArray.from_arrays(
-        pa.array(offsets), pa.array(values, pa.float32()), mask=missing
+def _assemble(count: int, pieces: list[Piece], dtype) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Offsets, flat values and null mask of a column whose rows come in pieces."""
+    sizes = np.zeros(count, np.int64)
+    missing = np.ones(count, bool)
+    blocks = [(rows, block.reshape(len(rows), -1)) for rows, block in pieces if len(rows)]
+    for rows, block in blocks:
+        sizes[rows], missing[rows] = block.shape[1], False
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    values = np.empty(offsets[-1], dtype)
+    for rows, block in blocks:
+        if rows[-1] - rows[0] == len(rows) - 1:
+            values[offsets[rows[0]] : offsets[rows[-1] + 1]] = block.ravel()
+        else:
+            for row, line in zip(rows, block, strict=True):
+                values[offsets[row] : offsets[row + 1]] = line
+    return offsets.astype(np.int32), values, pa.array(missing)
+
+
+def float_lists(count: int, pieces: list[Piece]) -> pa.ListArray:
+    """array<float> column of `count` rows, null where no piece has the row."""
+    offsets, values, missing = _assemble(count, pieces, np.float32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=missing)
+
+
+def byte_strings(count: int, pieces: list[Piece]) -> pa.Array:
+    """binary column of `count` rows, null where no piece has the row."""
+    offsets, values, missing = _assemble(count, pieces, np.uint8)
+    present = pc.invert(missing)
+    return pa.Array.from_buffers(
+        pa.binary(), count, [present.buffers()[1], pa.py_buffer(offsets), pa.py_buffer(values)]
     )

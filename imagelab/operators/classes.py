@@ -85,9 +85,20 @@ def random_split(df: DataFrame, train_percent: int, seed: int) -> tuple[DataFram
     return train, test
 
 
-def spread(df: DataFrame, partitions: int, key: str | None = None) -> DataFrame:
-    """Repartition; with a unique key the placement survives the retry of a lost task."""
-    return df.repartition(partitions, key) if key else df.repartition(partitions)
+def spread(df: DataFrame, partitions: int | None = None, key: Sequence[str] = ()) -> DataFrame:
+    """Repartition, by a unique key so that the placement survives the retry of a lost task.
+
+    Without a number the size decides: an input that does not fill a split per core is spread
+    over all cores, a larger one has enough partitions already and is left alone, unshuffled.
+    """
+    if partitions is None:
+        spark = df.sparkSession
+        partitions = spark.sparkContext.defaultParallelism
+        split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        if int(str(size)) >= partitions * split:
+            return df
+    return df.repartition(partitions, *key)
 
 
 def first_rows(df: DataFrame, order_by: Sequence[Column | str], rows: int) -> DataFrame:

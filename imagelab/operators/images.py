@@ -34,6 +34,10 @@ def _each(transform: Callable[[pa.Array], pa.Array], returns: str):
     return _image_udf(lambda batches: map(transform, batches), returns)
 
 
+def _with_reasons(column: pa.Array, name: str, reasons: np.ndarray) -> pa.StructArray:
+    return pa.StructArray.from_arrays([column, pa.array(reasons, pa.string())], [name, "reason"])
+
+
 def rgb_pixels(image: str | Column = "image") -> Column:
     """struct<pixels:binary, reason:string>: R,G,B bytes at the stored size.
 
@@ -41,11 +45,8 @@ def rgb_pixels(image: str | Column = "image") -> Column:
     """
 
     def run(images: pa.StructArray) -> pa.StructArray:
-        decoded, reasons = px.decode_rgb(images)
-        pixels = [None if image is None else image.tobytes() for image in decoded]
-        return pa.StructArray.from_arrays(
-            [pa.array(pixels, pa.binary()), pa.array(reasons, pa.string())], ["pixels", "reason"]
-        )
+        reasons, decoded = px.decode_rgb(images)
+        return _with_reasons(px.byte_strings(len(images), list(decoded)), "pixels", reasons)
 
     return _each(run, "pixels binary, reason string")(image)
 
@@ -56,29 +57,31 @@ def resized_pixels(
     """struct<pixels:binary, reason:string>: R,G,B bytes of the image at a fixed size."""
 
     def run(images: pa.StructArray) -> pa.StructArray:
-        decoded, reasons = px.decode_rgb(images)
-        pixels: list[bytes | None] = [None] * len(decoded)
-        for rows, stack in px.resized_stacks(decoded, height, width, method):
-            for row, resized in zip(rows, stack, strict=True):
-                pixels[row] = resized.tobytes()
-        return pa.StructArray.from_arrays(
-            [pa.array(pixels, pa.binary()), pa.array(reasons, pa.string())], ["pixels", "reason"]
-        )
+        reasons, resized = px.resized_stacks(images, height, width, method)
+        return _with_reasons(px.byte_strings(len(images), list(resized)), "pixels", reasons)
 
     return _each(run, "pixels binary, reason string")(image)
 
 
 def raw_floats(data: str | Column = "image.data") -> Column:
     """array<float> of the bytes as they are stored."""
-    return _each(lambda column: px.float_lists(px.byte_rows(column)), "array<float>")(data)
+
+    def run(column: pa.Array) -> pa.Array:
+        return px.float_lists(len(column), list(px.equal_lines(column)))
+
+    return _each(run, "array<float>")(data)
 
 
 def scaled_floats(pixels: str | Column, scaling: str) -> Column:
     """array<float> of R,G,B bytes in the input scaling of a network ('inception' or 'resnet')."""
 
     def run(column: pa.Array) -> pa.Array:
-        rows = px.byte_rows(column)
-        return px.float_lists([r if r is None else px.scale(r.reshape(-1, 3), scaling) for r in rows])
+        pieces = [
+            (rows, px.scale(lines.reshape(len(rows), -1, 3), scaling))
+            for rows, lines in px.equal_lines(column)
+            if lines.shape[1] % 3 == 0
+        ]
+        return px.float_lists(len(column), pieces)
 
     return _each(run, "array<float>")(pixels)
 
@@ -87,22 +90,24 @@ def channel_means(pixels: str | Column) -> Column:
     """struct<r,g,b: double>: mean of every channel of R,G,B bytes."""
 
     def run(column: pa.Array) -> pa.Array:
-        rows = [r if r is None else r.reshape(-1, 3).mean(axis=0) for r in px.byte_rows(column)]
-        channels = [pa.array([r if r is None else r[c] for r in rows], pa.float64()) for c in range(3)]
-        missing = pa.array([r is None for r in rows], pa.bool_())
-        return pa.StructArray.from_arrays(channels, ["r", "g", "b"], mask=missing)
+        means = np.full((len(column), 3), np.nan)
+        for rows, lines in px.equal_lines(column):
+            if lines.shape[1] and lines.shape[1] % 3 == 0:
+                means[rows] = lines.reshape(len(rows), -1, 3).mean(axis=1)
+        missing = pa.array(np.isnan(means[:, 0]))
+        return pa.StructArray.from_arrays([pa.array(c) for c in means.T.copy()], ["r", "g", "b"], mask=missing)
 
     return _each(run, "r double, g double, b double")(pixels)
 
 
-def _predict_rows(predict: PredictFn, stack: np.ndarray) -> list[np.ndarray | None]:
-    """Predict a batch; if the predictor refuses it, find the rows it refuses."""
+def _predicted(predict: PredictFn, rows: np.ndarray, stack: np.ndarray) -> Iterator[px.Piece]:
+    """Predict a stack; if the predictor refuses it, leave out the rows that it refuses."""
     try:
-        return list(predict(stack))
+        yield rows, np.asarray(predict(stack), np.float32)
     except ValueError:
-        if len(stack) == 1:
-            return [None]
-        return [row for one in stack for row in _predict_rows(predict, one[None])]
+        if len(rows) > 1:
+            for at in range(len(rows)):
+                yield from _predicted(predict, rows[at : at + 1], stack[at : at + 1])
 
 
 def embed(
@@ -122,15 +127,14 @@ def embed(
     def run(batches: Batches) -> Batches:
         predict = make_predict_fn()
         for images in batches:
-            decoded, reasons = px.decode_rgb(images)
-            features: list[np.ndarray | None] = [None] * len(decoded)
-            for rows, stack in px.resized_stacks(decoded, height, width, method):
-                for row, result in zip(rows, _predict_rows(predict, px.scale(stack, scaling)), strict=True):
-                    features[row] = result
-                    reasons[row] = "predictor" if result is None else None
-            yield pa.StructArray.from_arrays(
-                [px.float_lists(features), pa.array(reasons, pa.string())], ["features", "reason"]
-            )
+            reasons, resized = px.resized_stacks(images, height, width, method)
+            pieces = []
+            for rows, stack in resized:
+                reasons[rows] = "predictor"
+                pieces += _predicted(predict, rows, px.scale(stack, scaling))
+            for rows, _ in pieces:
+                reasons[rows] = None
+            yield _with_reasons(px.float_lists(len(images), pieces), "features", reasons)
 
     return _image_udf(run, "features array<float>, reason string")(image)
 
@@ -146,18 +150,13 @@ def predict_pixels(
 
     def run(batches: Batches) -> Batches:
         predict = make_predict_fn()
-        size = height * width * 3
         for column in batches:
-            images = px.byte_rows(column)
-            scores: list[np.ndarray | None] = [None] * len(images)
-            good = [row for row, image in enumerate(images) if image is not None and image.size == size]
-            step = max(1, px.CHUNK_VALUES // size)
-            for start in range(0, len(good), step):
-                rows = good[start : start + step]
-                stack = np.stack([images[r].reshape(height, width, 3) for r in rows])
-                for row, result in zip(rows, _predict_rows(predict, px.scale(stack, scaling)), strict=True):
-                    scores[row] = result
-            yield px.float_lists(scores)
+            pieces = []
+            for rows, lines in px.equal_lines(column):
+                if lines.shape[1] == height * width * 3:
+                    stack = lines.reshape(len(rows), height, width, 3)
+                    pieces += _predicted(predict, rows, px.scale(stack, scaling))
+            yield px.float_lists(len(column), pieces)
 
     return _image_udf(run, "array<float>")(pixels)
 

@@ -18,6 +18,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from imagelab.functions.columns import hash_bucket
 from imagelab.operators.filters import drop_null_features
 from imagelab.operators.metrics import accuracy
 from imagelab.session import materialise
@@ -68,6 +69,21 @@ def training_rows(df: DataFrame, features: str = "features") -> DataFrame:
     return drop_null_features(df, features).withColumn("features", array_to_vector(F.col(features)))
 
 
+def split_rows(
+    df: DataFrame, key: str, train_percent: int = 70, salt: str = ""
+) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of a written copy of the feature rows, by the hash of the `key` column.
+
+    Estimators pass over their input many times. What produced the rows (a network over all
+    pixels, hashing of keys) runs once; each later pass is a parquet scan with the split as a
+    pushed filter.
+    """
+    written = materialise(df.withColumn("_bucket", hash_bucket(F.col(key), salt)).drop(key), "features")
+    train = written.filter(f"_bucket < {train_percent}")
+    test = written.filter(f"_bucket >= {train_percent}")
+    return train.drop("_bucket"), test.drop("_bucket")
+
+
 def fit(spec: ModelSpec, train: DataFrame) -> PipelineModel:
     return Pipeline(stages=[spec.estimator]).fit(train)
 
@@ -124,15 +140,16 @@ def sweep(
     train: DataFrame,
     test: DataFrame,
     score: Callable[[ModelSpec, DataFrame, DataFrame], float] | None = None,
-    parallel: int = 4,
+    parallel: int = 2,
 ) -> DataFrame:
     """(value, accuracy) for each hyper-parameter value.
 
-    The inputs are written once and shared by all fits, which Spark runs side by side. `score`
-    may be `run_training` with a registry bound to it, to save and log each model.
+    All fits read the same rows, so pass written ones, such as those of `split_rows`. `parallel`
+    fits are in flight at a time: one fills the gaps of the other, and each holds its own copy
+    of the training rows in executor storage, so a higher number only pays for small inputs.
+    `score` may be `run_training` with a registry bound to it, to save and log each model.
     """
     spark = train.sparkSession
-    train, test = materialise(train, "train"), materialise(test, "test")
 
     def fit_and_rate(spec: ModelSpec, train: DataFrame, test: DataFrame) -> float:
         return accuracy(fit(spec, train).transform(test)).first()["accuracy"]
