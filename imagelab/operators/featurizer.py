@@ -72,8 +72,10 @@ class ImageFeaturizer(
             None if scaling == "none" else scaling,
         )
         found = dataset.withColumn("_embedded", embedded)
+        features = F.col("_embedded.features")
         if self.getHandleInvalid() == "skip":
-            found = found.filter(F.col("_embedded.features").isNotNull())
-        return found.withColumn(
-            self.getOutputCol(), array_to_vector("_embedded.features")
-        ).drop("_embedded")
+            found = found.filter(features.isNotNull())
+        else:
+            failure = F.raise_error(F.concat(F.lit("image without features: "), "_embedded.reason"))
+            features = F.coalesce(features, failure.cast("array<float>"))
+        return found.withColumn(self.getOutputCol(), array_to_vector(features)).drop("_embedded")

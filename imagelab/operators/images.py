@@ -175,4 +175,4 @@ def resized_table(
 def feature_table(df: DataFrame, keep: list[str], image: str = "image", **embed_options) -> DataFrame:
     """`keep` columns, features and reject reason; pixels are gone from here on."""
     embedded = embed(image, **embed_options).alias("_e")
-    return df.select(*keep, embedded).select(*keep, "_e.features", "_e.reason")
+    return df.select(*keep, embedded).select("*", "_e.features", "_e.reason").drop("_e")
