@@ -150,16 +150,32 @@ def score_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.count_outcomes(spark.read.parquet(path), "l_returnflag", "class_name")
 
 
-@query(SQL_OWN_FLAG)
-def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The file as a stream, scored into a table by a query that stops when it has caught up."""
+def _streamed_scores(spark: SparkSession, sf_dir: str, keep: list[str]) -> DataFrame:
+    """The file as a stream of held-out rows, scored."""
     lines = table(spark, sf_dir, "lineitem")
     train, _ = _features(spark, sf_dir)
     model = training.fit(training.decision_tree(), train)
     stream = spark.readStream.schema(lines.schema).parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet*")
     _, held_out = hash_split(training.training_rows(line_features(stream)), F.col("key"))
-    scored = streaming.score_stream(held_out, model, RETURN_FLAGS, keep=["l_returnflag"])
+    return streaming.score_stream(held_out, model, RETURN_FLAGS, keep=keep)
+
+
+@query(SQL_OWN_FLAG)
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream scored into a table by a query that stops when it has caught up."""
+    scored = _streamed_scores(spark, sf_dir, ["l_returnflag"])
     root = scratch_path(spark, "stream")
     streaming.run_available(scored, f"{root}/rows", f"{root}/checkpoint")
     delete_on_exit(spark, root.rsplit("/", 1)[0])
     return training.count_outcomes(spark.read.parquet(f"{root}/rows"), "l_returnflag", "class_name")
+
+
+@query(f"""WITH {SQL_HELD_OUT}
+SELECT label, count(*) AS "rows", count(*) AS hits FROM held_out GROUP BY label""")
+def stream_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running rows and hits per label of a scored stream."""
+    totals = streaming.running_hits(_streamed_scores(spark, sf_dir, ["label"]))
+    root = scratch_path(spark, "stream")
+    streaming.run_available_totals(totals, f"{root}/totals", f"{root}/checkpoint")
+    delete_on_exit(spark, root.rsplit("/", 1)[0])
+    return spark.read.parquet(f"{root}/totals")

@@ -9,6 +9,8 @@ from imagelab.functions import columns as fx
 from imagelab.functions.predictors import GridColour, LinearColour
 from imagelab.operators import filters
 from imagelab.operators import images as ops
+from imagelab.session import delete_on_exit, scratch_path
+from imagelab.sources.images import write_table
 
 # Every pixel of the 8 x 8 images: place p, channel c (0 = R, 1 = G, 2 = B) and value v.
 SQL_PIXELS = f"""{SQL_BYTES},
@@ -98,6 +100,19 @@ def resize_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resized(spark, sf_dir, 4, 4, "nearest")
 
 
+@query(f"""WITH {SQL_PIXELS}
+SELECT vec_id, label, 4 * 4 * 3 AS n,
+       CAST(sum(v * (3 * (4 * (p // 16) + (p % 8) // 2) + c + 1)) AS BIGINT) AS checksum
+FROM pixels JOIN embeddings USING (vec_id) WHERE (p // 8) % 2 = 1 AND p % 2 = 1 GROUP BY ALL""")
+def resized_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of resized images, written and read back."""
+    path = scratch_path(spark, "resized")
+    write_table(ops.resized_table(images(spark, sf_dir), 4, 4, "nearest"), path)
+    delete_on_exit(spark, path.rsplit("/", 1)[0])
+    raw = spark.read.parquet(path).select("vec_id", "label", ops.raw_floats("pixels").alias("raw"))
+    return raw.select("vec_id", "label", F.size("raw").alias("n"), _checksum(F.col("raw")).alias("checksum"))
+
+
 def _resample_sql(height: int, width: int, reach: float, kernel: str) -> str:
     """Separable resampling of the 8 x 8 images with 22-bit weights, columns before rows."""
     weights = []

@@ -54,7 +54,13 @@ def _pixels(values: Column, channels: int) -> Column:
 
 def _image(height: Column, width: Column, channels: Column, mode: Column, data: Column) -> Column:
     origin = F.concat(F.lit("/img/class_"), "label", F.lit("/"), "vec_id", F.lit(".png"))
-    return F.struct(origin, height, width, channels, mode, data).cast(IMAGE_STRUCT).alias("image")
+    return _struct(origin, height, width, channels, mode, data)
+
+
+def _struct(*values: Column) -> Column:
+    """Image struct of typed fields; unused ones are pruned, which a cast of the struct would stop."""
+    fields = zip(values, IMAGE_STRUCT, strict=True)
+    return F.struct(*[v.cast(f.dataType).alias(f.name) for v, f in fields]).alias("image")
 
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,9 +128,8 @@ def line_images(lines: DataFrame) -> DataFrame:
     lower = F.when(F.col("l_linestatus") == "F", "505050").otherwise("A0A0A0")
     data = F.unhex(F.concat(F.repeat(upper, 8), F.repeat(lower, 8)))
     side = F.lit(4)
-    image = F.struct(F.lit(None), side, side, F.lit(3), F.lit(16), data).cast(IMAGE_STRUCT)
     return lines.select(
-        image.alias("image"),
+        _struct(F.lit(None), side, side, F.lit(3), F.lit(16), data),
         as_class(class_id(F.col("l_returnflag"), RETURN_FLAGS), RETURN_FLAGS),
         line_key().alias("key"),
     )

@@ -19,7 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from imagelab.functions.columns import hash_bucket
-from imagelab.operators.filters import drop_null_features
+from imagelab.operators.classes import cap_per_class
+from imagelab.operators.filters import drop_null_features, rejects
+from imagelab.operators.images import feature_table
 from imagelab.operators.metrics import accuracy
 from imagelab.session import materialise
 from imagelab.sources.registry import Registry, log_run
@@ -134,6 +136,37 @@ def run_training(
     return TrainedRun(model, rate, fitted - started, evaluated - fitted, path, run_id)
 
 
+def image_features(
+    images: DataFrame, rows_per_class: int | None = None, **embed_options
+) -> tuple[DataFrame, DataFrame]:
+    """(features, rejects) of labelled images, both from one written table.
+
+    `images` has image, class_name and label, as `read_labelled_images` gives them. Pixels are
+    decoded and featurised once; training and retraining read the table.
+    """
+    named = images.withColumn("origin", F.col("image.origin"))
+    if rows_per_class is not None:
+        named = cap_per_class(named, "class_name", "origin", rows_per_class)
+    table = materialise(feature_table(named, ["origin", "class_name", "label"], **embed_options), "images")
+    return table.filter(F.col("reason").isNull()).drop("reason"), rejects(table).drop("features")
+
+
+def train_on_images(
+    images: DataFrame,
+    specs: Sequence[ModelSpec],
+    registry: Registry,
+    model_root: str,
+    train_percent: int = 70,
+    rows_per_class: int | None = None,
+    **embed_options,
+) -> list[TrainedRun]:
+    """The whole job on labelled images: features, split, and one logged run per spec."""
+    features, _ = image_features(images, rows_per_class, **embed_options)
+    rows = training_rows(features).select("origin", "features", "label")
+    train, test = split_rows(rows, "origin", train_percent)
+    return [run_training(spec, train, test, registry, model_root) for spec in specs]
+
+
 def sweep(
     make_spec: Callable[[int], ModelSpec],
     values: Sequence[int],

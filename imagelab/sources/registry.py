@@ -61,7 +61,7 @@ def log_run(
     row = registry.spark.createDataFrame(
         [(run_id, model, accuracy, elapsed, model_path, None, algorithm)], REGISTRY
     )
-    registry.append(row.withColumn("created_at", F.current_timestamp()))
+    registry.append(row.coalesce(1).withColumn("created_at", F.current_timestamp()))
     return run_id
 
 

@@ -31,6 +31,19 @@ def running_hits(scored: DataFrame, label: str = "label", prediction: str = "pre
     )
 
 
+def run_available_totals(totals: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Process what is there, and leave the totals so far as a table that each batch replaces."""
+    query = (
+        totals.writeStream.outputMode("complete")
+        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
 def run_available(scored: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Process what is there and stop. A restart with the same checkpoint adds only new rows."""
     query = (
