@@ -18,7 +18,8 @@ RESNET_BGR_MEANS = (103.939, 116.779, 123.68)
 KERNEL_SUPPORT = {"bilinear": 1.0, "bicubic": 2.0}
 WEIGHT_ONE = float(1 << 22)
 
-CHUNK_VALUES = 8_000_000  # float64 values alive per resampling step (64 MB)
+BAND_LINES = 16  # target lines per product of resampling
+CHUNK_VALUES = 8_000_000  # pixel values in work at a time
 
 
 Piece = tuple[np.ndarray, np.ndarray]  # row numbers of a batch, and one line of values for each
@@ -45,7 +46,7 @@ class ByteColumn:
 
 
 def pieces_of(rows: np.ndarray, values_per_row: int) -> Iterator[np.ndarray]:
-    """Row numbers in chunks whose float64 values stay within CHUNK_VALUES."""
+    """Row numbers in chunks whose values stay within CHUNK_VALUES."""
     step = max(1, CHUNK_VALUES // values_per_row)
     return (rows[start : start + step] for start in range(0, len(rows), step))
 
@@ -98,7 +99,6 @@ def _rgb(stored: np.ndarray) -> np.ndarray:
     return stored[..., 2::-1]  # B,G,R(,A) to R,G,B
 
 
-@lru_cache(maxsize=512)
 def _weights(source: int, target: int, method: str) -> np.ndarray:
     """(target, source) matrix of integer resampling weights that sum to about WEIGHT_ONE."""
     scale = source / target
@@ -124,18 +124,43 @@ def _to_bytes(weighted: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(weighted / WEIGHT_ONE + 0.5), 0, 255)
 
 
+@lru_cache(maxsize=256)
+def _bands(source: int, target: int, method: str) -> list[tuple[slice, slice, np.ndarray]]:
+    """The weight matrix as (target lines, source lines, weights), a few target lines at a time.
+
+    Each target line needs few source lines, so this leaves out nearly all of the matrix.
+    """
+    weights = _weights(source, target, method)
+    bands = []
+    for start in range(0, target, BAND_LINES):
+        part = weights[start : start + BAND_LINES]
+        used = np.flatnonzero(part.any(axis=0))
+        lines = slice(used[0], used[-1] + 1)
+        bands.append((slice(start, start + BAND_LINES), lines, part[:, lines].copy()))
+    return bands
+
+
+def _resample(stack: np.ndarray, target: int, method: str) -> np.ndarray:
+    """Resample axis 1 of a (n, source, k, 3) stack."""
+    n, source, k, _ = stack.shape
+    lines = np.ascontiguousarray(stack).reshape(n, source, k * 3)
+    out = np.empty((n, target, k * 3), np.uint8)
+    for targets, sources, weights in _bands(source, target, method):
+        out[:, targets] = _to_bytes(weights @ lines[:, sources].astype(np.float64))
+    return out.reshape(n, target, k, 3)
+
+
 def resize(stack: np.ndarray, height: int, width: int, method: str) -> np.ndarray:
     """Resize a (n, h, w, 3) stack of equal images; columns first, then rows, 8 bits between."""
-    n, h, w, _ = stack.shape
+    _, h, w, _ = stack.shape
     if (h, w) == (height, width):
         return np.ascontiguousarray(stack)
     if method == "nearest":
         rows = ((np.arange(height) + 0.5) * h / height).astype(int)
         cols = ((np.arange(width) + 0.5) * w / width).astype(int)
         return stack[:, rows[:, None], cols[None, :]]
-    across = _to_bytes(_weights(w, width, method) @ stack.astype(np.float64))
-    down = _weights(h, height, method) @ across.reshape(n, h, width * 3)
-    return _to_bytes(down).astype(np.uint8).reshape(n, height, width, 3)
+    across = _resample(stack.transpose(0, 2, 1, 3), width, method).transpose(0, 2, 1, 3)
+    return _resample(across, height, method)
 
 
 def resized_stacks(

@@ -23,18 +23,20 @@ class GridColour:
 
     def features(self, stack: np.ndarray) -> np.ndarray:
         n, height, width, _ = stack.shape
+        if min(height, width) < self.grid:
+            raise ValueError(f"an image of {height} x {width} has no {self.grid} x {self.grid} cells")
         rows = np.arange(self.grid) * height // self.grid
         cols = np.arange(self.grid) * width // self.grid
-        cells = np.add.reduceat(stack.astype(np.int64), rows, axis=1)
+        cells = np.add.reduceat(stack, rows, axis=1, dtype=np.uint32)
         cells = np.add.reduceat(cells, cols, axis=2)
         area = np.outer(np.diff(np.append(rows, height)), np.diff(np.append(cols, width)))
         means = (cells / area[None, :, :, None]).reshape(n, -1)
-        level = stack.reshape(n, -1, 3).astype(np.int64) * self.bins // 256
-        shares = [
-            (level == b).mean(axis=1) for b in range(self.bins)
-        ]  # one (n, 3) matrix per bin
-        histogram = np.stack(shares, axis=2).reshape(n, -1)
-        return np.concatenate([means, histogram], axis=1).astype(np.float32)
+        levels = np.array(
+            [np.bincount(image[:, :, c].ravel(), minlength=256) for image in stack for c in range(3)]
+        )
+        first = -(-256 * np.arange(self.bins) // self.bins)  # lowest byte of each bin
+        shares = np.add.reduceat(levels, first, axis=1) / (height * width)
+        return np.concatenate([means, shares.reshape(n, -1)], axis=1).astype(np.float32)
 
 
 class LinearColour:
