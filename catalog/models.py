@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import query, table
-from catalog.standins import RETURN_FLAGS, SQL_HELD_OUT, line_features, line_images
+from catalog.standins import RETURN_FLAGS, SQL_HELD_OUT, line_features, line_images, line_pictures
+from imagelab.functions.columns import label_from_path
 from imagelab.operators.classes import hash_split, spread
 from imagelab.operators.featurizer import ImageFeaturizer
 from imagelab.plans import scoring, training
@@ -14,7 +15,7 @@ from imagelab.sources import registry as rg
 from imagelab.sources.images import write_table
 from imagelab.streaming import scoring as streaming
 
-LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
+LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 SQL_OWN_LABEL = f"""WITH {SQL_HELD_OUT}
 SELECT label, label AS prediction, count(*) AS n FROM held_out GROUP BY label"""
 SQL_OWN_FLAG = f"""WITH {SQL_HELD_OUT}
@@ -22,8 +23,8 @@ SELECT l_returnflag, l_returnflag AS class_name, count(*) AS n FROM held_out GRO
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
-    return spread(lines, key=LINE_COLUMNS[:4])
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEYS, "l_returnflag", "l_linestatus", "l_quantity")
+    return spread(lines, key=LINE_KEYS)
 
 
 def _features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -150,6 +151,26 @@ def score_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.count_outcomes(spark.read.parquet(path), "l_returnflag", "class_name")
 
 
+@query("""
+SELECT l_returnflag AS folder, CASE WHEN l_quantity <> 50 THEN l_returnflag END AS class_name,
+       CASE WHEN l_quantity = 50 THEN 'length' END AS reason, count(*) AS n
+FROM lineitem GROUP BY ALL""")
+def image_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images to features, split, fit, save, log; then every image scored with model number 1."""
+    pictures = line_pictures(_lines(spark, sf_dir))
+    root = scratch_path(spark, "runs")
+    registry = rg.ParquetRegistry(spark, f"{root}/registry")
+    registry.create()
+    delete_on_exit(spark, root.rsplit("/", 1)[0])
+    options = {"height": 4, "width": 4, "method": "nearest"}
+    training.train_on_images(pictures, [training.decision_tree()], registry, f"{root}/models", **options)
+    scored = scoring.score_images_with_registry_model(
+        pictures.select("image"), rg.listing(registry.rows()), 1, RETURN_FLAGS, **options
+    )
+    folder = label_from_path(F.col("origin")).alias("folder")
+    return training.count_outcomes(scored, folder, "class_name", "reason")
+
+
 def _streamed_scores(spark: SparkSession, sf_dir: str, keep: list[str]) -> DataFrame:
     """The file as a stream of held-out rows, scored."""
     lines = table(spark, sf_dir, "lineitem")

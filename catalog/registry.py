@@ -66,3 +66,20 @@ def registry_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered = rg.listing(runs(spark, sf_dir), ORDER)
     last = numbered.count()
     return rg.find(numbered, [0, 1, last, last + 1]).select("idx", "model_path")
+
+
+@query(f"""WITH {SQL_NUMBERED}
+SELECT idx, event_type AS model, '/models/' || event_id AS model_path FROM numbered""")
+def registry_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table per algorithm, united and listed."""
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"),
+        F.col("event_type").alias("model"),
+        F.col("value").alias("accuracy"),
+        F.lit(0.0).alias("elapsed_time"),
+        F.concat(F.lit("/models/"), "event_id").alias("hdfs_path"),
+        F.col("ts").alias("created_at"),
+    )
+    kinds = ["click", "error", "purchase", "signup", "view"]
+    tables = {kind: events.filter(F.col("model") == kind) for kind in kinds}
+    return rg.listing(rg.runs_of_tables(tables), ORDER).select("idx", "model", "model_path")

@@ -122,14 +122,29 @@ def line_features(lines: DataFrame) -> DataFrame:
     )
 
 
-def line_images(lines: DataFrame) -> DataFrame:
-    """Lines as 4 x 4 images: the upper half in a colour of the flag, the lower in one of the status."""
-    upper = F.when(F.col("l_returnflag") == "A", "0A1EC8").when(F.col("l_returnflag") == "N", "C80A1E").otherwise("1EC80A")
+def _line_data() -> Column:
+    """Bytes of a 4 x 4 image: the upper half in a colour of the flag, the lower in one of the status."""
+    flag = F.col("l_returnflag")
+    upper = F.when(flag == "A", "0A1EC8").when(flag == "N", "C80A1E").otherwise("1EC80A")
     lower = F.when(F.col("l_linestatus") == "F", "505050").otherwise("A0A0A0")
-    data = F.unhex(F.concat(F.repeat(upper, 8), F.repeat(lower, 8)))
+    return F.unhex(F.concat(F.repeat(upper, 8), F.repeat(lower, 8)))
+
+
+def _line_label() -> Column:
+    return as_class(class_id(F.col("l_returnflag"), RETURN_FLAGS), RETURN_FLAGS)
+
+
+def line_images(lines: DataFrame) -> DataFrame:
+    """Lines as images, with their label and key."""
     side = F.lit(4)
-    return lines.select(
-        _struct(F.lit(None), side, side, F.lit(3), F.lit(16), data),
-        as_class(class_id(F.col("l_returnflag"), RETURN_FLAGS), RETURN_FLAGS),
-        line_key().alias("key"),
-    )
+    image = _struct(F.lit(None), side, side, F.lit(3), F.lit(16), _line_data())
+    return lines.select(image, _line_label(), line_key().alias("key"))
+
+
+def line_pictures(lines: DataFrame) -> DataFrame:
+    """Lines as labelled images in a folder per flag; those of quantity 50 are cut short."""
+    side = F.lit(4)
+    origin = F.concat(F.lit("/lines/"), "l_returnflag", F.lit("/"), line_key(), F.lit(".png"))
+    data = F.when(F.col("l_quantity") == 50, F.substring(_line_data(), 1, 20)).otherwise(_line_data())
+    image = _struct(origin, side, side, F.lit(3), F.lit(16), data)
+    return lines.select(image, F.col("l_returnflag").alias("class_name"), _line_label())

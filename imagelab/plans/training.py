@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from imagelab.functions.columns import hash_bucket
-from imagelab.operators.classes import cap_per_class
+from imagelab.operators.classes import cap_per_class, hash_split
 from imagelab.operators.filters import drop_null_features, rejects
 from imagelab.operators.images import feature_table
 from imagelab.operators.metrics import accuracy
@@ -162,8 +162,8 @@ def train_on_images(
 ) -> list[TrainedRun]:
     """The whole job on labelled images: features, split, and one logged run per spec."""
     features, _ = image_features(images, rows_per_class, **embed_options)
-    rows = training_rows(features).select("origin", "features", "label")
-    train, test = split_rows(rows, "origin", train_percent)
+    # the features are written already; hashing the origin again costs less than a second copy
+    train, test = hash_split(training_rows(features), F.col("origin"), train_percent)
     return [run_training(spec, train, test, registry, model_root) for spec in specs]
 
 

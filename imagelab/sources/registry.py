@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from imagelab.operators.classes import union_frames
 from imagelab.operators.indexing import with_global_index
 from imagelab.schemas import REGISTRY, REGISTRY_ORDER
 
@@ -65,6 +66,27 @@ def log_run(
     return run_id
 
 
+def runs_of_tables(tables: dict[str, DataFrame]) -> DataFrame:
+    """Runs from one registry table per algorithm, ready for `append` or `listing`.
+
+    The tables have the columns id, model, accuracy, elapsed_time, hdfs_path and created_at. Ids
+    are padded, so that they sort as numbers.
+    """
+    frames = [
+        rows.select(
+            F.lpad(F.col("id").cast("string"), 12, "0").alias("run_id"),
+            "model",
+            F.col("accuracy").cast("double").alias("accuracy"),
+            F.col("elapsed_time").cast("double").alias("elapsed_time"),
+            F.col("hdfs_path").alias("model_path"),
+            F.col("created_at").cast("timestamp").alias("created_at"),
+            F.lit(algorithm).alias("algorithm"),
+        )
+        for algorithm, rows in tables.items()
+    ]
+    return union_frames(frames)
+
+
 def _place(order: Sequence[str]) -> Column:
     """Place of the algorithm in the listing; algorithms outside the list come last."""
     position = F.array_position(F.array(*[F.lit(a) for a in order]), F.col("algorithm"))

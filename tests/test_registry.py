@@ -1,3 +1,4 @@
+import datetime
 import json
 
 import pytest
@@ -62,3 +63,16 @@ def test_appends_add_up(spark, registry, tmp_path):
     copy.append(registry.rows())
     copy.append(registry.rows().withColumn("run_id", F.concat("run_id", F.lit("b"))))
     assert copy.rows().count() == 16
+
+
+def test_one_table_per_algorithm(spark, tmp_path):
+    schema = "id int, model string, accuracy float, elapsed_time float, hdfs_path string, created_at timestamp"
+    at = datetime.datetime(2024, 5, 1)
+    forest = spark.createDataFrame([(i, "Random Forest", 0.5, 1.0, f"/f{i}", at) for i in (10, 9)], schema)
+    tree = spark.createDataFrame([(1, "Decision Tree", 0.25, 2.0, "/t1", at)], schema)
+    runs = rg.runs_of_tables({"Decision Tree": tree, "Random Forest": forest})
+    numbered = rg.listing(runs)
+    assert [r.model_path for r in numbered.orderBy("idx").collect()] == ["/f9", "/f10", "/t1"]
+    registry = rg.ParquetRegistry(spark, str(tmp_path / "runs"))
+    registry.append(runs)
+    assert registry.rows().count() == 3
