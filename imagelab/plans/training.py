@@ -27,7 +27,7 @@ from imagelab.session import materialise
 from imagelab.sources.registry import Registry, log_run
 
 SEED = 42
-TREE_MEMORY_MB = 1024  # histogram memory per pass: fewer passes over wide features
+TREE_MEMORY_MB = 512  # histogram memory of a task, twice the default: fewer passes over wide features
 FOREST_SIZES = (25, 50, 100, 150)
 BACKBONE_HEAD = 1024
 

@@ -50,10 +50,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) for a path of any file system that Spark reads."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder if there is none; safe for jobs that start at the same time."""
+    file_system, hadoop_path = _hadoop(spark, path)
+    file_system.mkdirs(hadoop_path)
+
+
 def delete_on_exit(spark: SparkSession, path: str) -> None:
     """Have the file system drop a scratch folder of ours when the application ends."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    file_system, hadoop_path = _hadoop(spark, path)
+    file_system.deleteOnExit(hadoop_path)
 
 
 def ship_package(spark: SparkSession) -> None:

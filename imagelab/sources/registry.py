@@ -10,25 +10,30 @@ from pyspark.sql import functions as F
 from imagelab.operators.classes import union_frames
 from imagelab.operators.indexing import with_global_index
 from imagelab.schemas import REGISTRY, REGISTRY_ORDER
+from imagelab.session import make_folder
 
 
 @dataclass(frozen=True)
 class ParquetRegistry:
-    """Registry folder, partitioned by algorithm so that one algorithm is read alone."""
+    """Registry folder, partitioned by algorithm so that one algorithm is read alone.
+
+    Each append commits into a sub-folder of its own: jobs that log at the same time would
+    otherwise remove each other's temporary files.
+    """
 
     spark: SparkSession
     path: str
 
     def create(self) -> None:
         """Create the empty table if there is none."""
-        empty = self.spark.createDataFrame([], REGISTRY)
-        empty.write.mode("ignore").partitionBy("algorithm").parquet(self.path)
+        make_folder(self.spark, self.path)
 
     def append(self, runs: DataFrame) -> None:
-        runs.select(REGISTRY.names).write.mode("append").partitionBy("algorithm").parquet(self.path)
+        folder = f"{self.path.rstrip('/')}/append={uuid.uuid4()}"
+        runs.select(REGISTRY.names).write.partitionBy("algorithm").parquet(folder)
 
     def rows(self) -> DataFrame:
-        return self.spark.read.schema(REGISTRY).parquet(self.path)
+        return self.spark.read.schema(REGISTRY).parquet(self.path).select(REGISTRY.names)
 
 
 @dataclass(frozen=True)

@@ -1,5 +1,6 @@
 import datetime
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,3 +77,12 @@ def test_one_table_per_algorithm(spark, tmp_path):
     registry = rg.ParquetRegistry(spark, str(tmp_path / "runs"))
     registry.append(runs)
     assert registry.rows().count() == 3
+
+
+def test_appends_at_the_same_time(spark, tmp_path):
+    registry = rg.ParquetRegistry(spark, str(tmp_path / "runs"))
+    registry.create()
+    with ThreadPoolExecutor(8) as pool:
+        log = lambda i: rg.log_run(registry, f"a{i % 3}", "m", 0.5, 1.0, f"/m/{i}")
+        ids = list(pool.map(log, range(24)))
+    assert sorted(ids) == sorted(r.run_id for r in registry.rows().collect())

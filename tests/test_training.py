@@ -101,6 +101,7 @@ def test_an_empty_test_set_is_an_error_and_has_no_rate(spark, split, tmp_path):
 def test_sweep_logs_every_model(spark, split, tmp_path):
     train, test = split
     registry = rg.ParquetRegistry(spark, str(tmp_path / "registry"))
+    registry.create()
 
     def score(spec, train, test):
         return training.run_training(spec, train, test, registry, str(tmp_path / "m")).accuracy
