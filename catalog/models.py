@@ -162,11 +162,10 @@ def image_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = rg.ParquetRegistry(spark, f"{root}/registry")
     registry.create()
     delete_on_exit(spark, root.rsplit("/", 1)[0])
-    options = {"height": 4, "width": 4, "method": "nearest"}
-    training.train_on_images(pictures, [training.decision_tree()], registry, f"{root}/models", **options)
-    scored = scoring.score_images_with_registry_model(
-        pictures.select("image"), rg.listing(registry.rows()), 1, RETURN_FLAGS, **options
-    )
+    featurizer = ImageFeaturizer(height=4, width=4, method="nearest")
+    training.train_on_images(pictures, [training.decision_tree()], registry, f"{root}/models", featurizer)
+    numbered = rg.listing(registry.rows())
+    scored = scoring.score_images_with_registry_model(pictures.select("image"), numbered, 1, RETURN_FLAGS)
     folder = label_from_path(F.col("origin")).alias("folder")
     return training.count_outcomes(scored, folder, "class_name", "reason")
 

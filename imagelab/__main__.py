@@ -1,12 +1,12 @@
 """Command line: train, list and score. Run with `spark-submit` or `python -m imagelab`."""
 
 import argparse
-from importlib import import_module
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from imagelab.operators.featurizer import ImageFeaturizer
 from imagelab.plans import scoring, training
 from imagelab.schemas import CAR_CLASSES
 from imagelab.sources import images as src
@@ -25,15 +25,15 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="imagelab")
     top.add_argument("--registry", required=True, help="folder of the model registry")
     top.add_argument("--classes", default=",".join(CAR_CLASSES), help="class names in the order of their ids")
-    top.add_argument("--predictor", default="imagelab.functions.predictors:grid_colour", help="module:factory")
-    top.add_argument("--size", type=int, default=224, help="side of the resized images")
-    top.add_argument("--scaling", choices=["inception", "resnet"], help="input scaling of the predictor")
     jobs = top.add_subparsers(dest="job", required=True)
 
     train = jobs.add_parser("train", help="train on class folders, save and log")
     train.add_argument("--images", required=True, help="folder with one sub-folder per class")
     train.add_argument("--models", required=True, help="folder for fitted models")
     train.add_argument("--algorithm", choices=SPECS, default="logistic")
+    train.add_argument("--predictor", default="imagelab.functions.predictors:grid_colour", help="module:factory")
+    train.add_argument("--size", type=int, default=224, help="side of the resized images")
+    train.add_argument("--scaling", choices=["none", "inception", "resnet"], default="none", help="predictor input")
     train.add_argument("--train-percent", type=int, default=70)
     train.add_argument("--rows-per-class", type=int)
 
@@ -52,31 +52,28 @@ def parser() -> argparse.ArgumentParser:
 def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """Run one job; the result is what it has to show."""
     names = args.classes.split(",")
-    module, factory = args.predictor.split(":")
-    options = {
-        "make_predict_fn": getattr(import_module(module), factory),
-        "height": args.size,
-        "width": args.size,
-        "scaling": args.scaling,
-    }
     registry = rg.ParquetRegistry(spark, args.registry)
     registry.create()
     if args.job == "train":
         images = src.read_labelled_images(spark, args.images, names)
+        featurizer = ImageFeaturizer(
+            predictor=args.predictor, height=args.size, width=args.size, scaling=args.scaling
+        )
+        specs = SPECS[args.algorithm]()
         training.train_on_images(
-            images, SPECS[args.algorithm](), registry, args.models, args.train_percent, args.rows_per_class, **options
+            images, specs, registry, args.models, featurizer, args.train_percent, args.rows_per_class
         )
     numbered = rg.listing(registry.rows())
     if args.job in ("train", "models"):
         return numbered.orderBy("idx")
     if args.job == "score":
         images = src.read_images(spark, args.images, drop_invalid=False, extensions=src.IMAGE_EXTENSIONS)
-        scored = scoring.score_images_with_registry_model(images, numbered, args.model, names, **options)
+        scored = scoring.score_images_with_registry_model(images, numbered, args.model, names)
         src.write_table(scored, args.out, "overwrite")
     else:
         model_path, _ = rg.find_one(numbered, args.model)
         stream = src.stream_images(spark, args.images, drop_invalid=False)
-        scored = streaming.score_image_stream(stream, PipelineModel.load(model_path), names, **options)
+        scored = streaming.score_image_stream(stream, PipelineModel.load(model_path), names)
         streaming.run_available(scored, args.out, args.checkpoint)
     return spark.read.parquet(args.out).groupBy("class_name", "reason").agg(F.count("*").alias("n"))
 

@@ -51,3 +51,8 @@ class LinearColour:
 def grid_colour() -> PredictFn:
     """Default featurizer."""
     return GridColour()()
+
+
+def channel_averages() -> PredictFn:
+    """Mean of each channel, of bytes or of scaled values."""
+    return lambda stack: stack.mean(axis=(1, 2))

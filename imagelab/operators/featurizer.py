@@ -55,22 +55,24 @@ class ImageFeaturizer(
         )
         self._set(**self._input_kwargs)
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        target = self.getOrDefault(self.predictor)
+    def embed_options(self) -> dict:
+        """The settings of this stage, as arguments of `embed` and `feature_table`."""
+        target, scaling = self.getOrDefault(self.predictor), self.getOrDefault(self.scaling)
 
         def factory():
             module, name = target.split(":")
             return getattr(import_module(module), name)()
 
-        scaling = self.getOrDefault(self.scaling)
-        embedded = embed(
-            self.getInputCol(),
-            factory,
-            self.getOrDefault(self.height),
-            self.getOrDefault(self.width),
-            self.getOrDefault(self.method),
-            None if scaling == "none" else scaling,
-        )
+        return {
+            "make_predict_fn": factory,
+            "height": self.getOrDefault(self.height),
+            "width": self.getOrDefault(self.width),
+            "method": self.getOrDefault(self.method),
+            "scaling": None if scaling == "none" else scaling,
+        }
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        embedded = embed(self.getInputCol(), **self.embed_options())
         found = dataset.withColumn("_embedded", embedded)
         features = F.col("_embedded.features")
         if self.getHandleInvalid() == "skip":

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from imagelab.functions.columns import class_name, confidence, named_top_k
+from imagelab.operators.featurizer import ImageFeaturizer
 from imagelab.operators.images import feature_table
 from imagelab.sources.registry import find_one
 
@@ -32,22 +33,25 @@ def score_features(
     )
 
 
-def score_images(
-    df: DataFrame, model: PipelineModel | str, names: Sequence[str], **embed_options
-) -> DataFrame:
+def score_images(df: DataFrame, model: PipelineModel | str, names: Sequence[str]) -> DataFrame:
     """Image rows to predictions, with the origin of the image.
 
-    An image that cannot be processed keeps its row: `reason` is set, the rest is null. To score
-    everything in one pass it goes through the model as zeros, and its outcome is blanked.
+    `model` begins with an image featurizer. An image that cannot be processed keeps its row:
+    `reason` is set, the rest is null. To score everything in one pass it goes through the
+    classifier as zeros, and its outcome is blanked.
     """
     if isinstance(model, str):
         model = PipelineModel.load(model)
-    embedded = feature_table(df.withColumn("origin", F.col("image.origin")), ["origin"], **embed_options)
-    zeros = F.array_repeat(F.lit(0.0).cast("float"), model.stages[-1].numFeatures)
+    featurizer, *classifier = model.stages
+    if not isinstance(featurizer, ImageFeaturizer):
+        raise ValueError("the model was not trained on images: it has no featurizer")
+    rows = df.withColumn("origin", F.col("image.origin"))
+    embedded = feature_table(rows, ["origin"], **featurizer.embed_options())
+    zeros = F.array_repeat(F.lit(0.0).cast("float"), classifier[-1].numFeatures)
     vectors = embedded.select(
         "origin", "reason", array_to_vector(F.coalesce("features", zeros)).alias("features")
     )
-    scored = score_features(vectors, model, names, keep=["origin", "reason"])
+    scored = score_features(vectors, PipelineModel(classifier), names, keep=["origin", "reason"])
     good = F.col("reason").isNull()
     outcome = ["prediction", "class_name", "confidence", "top5"]
     return scored.select("origin", *[F.when(good, F.col(c)).alias(c) for c in outcome], "reason")
@@ -62,8 +66,8 @@ def score_with_registry_model(
 
 
 def score_images_with_registry_model(
-    df: DataFrame, numbered: DataFrame, index: str | int, names: Sequence[str], **embed_options
+    df: DataFrame, numbered: DataFrame, index: str | int, names: Sequence[str]
 ) -> DataFrame:
     """Score uploaded images with the model that has a number in the registry listing."""
     model_path, _ = find_one(numbered, index)
-    return score_images(df, model_path, names, **embed_options)
+    return score_images(df, model_path, names)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from imagelab.functions.columns import hash_bucket
 from imagelab.operators.classes import cap_per_class, hash_split
+from imagelab.operators.featurizer import ImageFeaturizer
 from imagelab.operators.filters import drop_null_features, rejects
 from imagelab.operators.images import feature_table
 from imagelab.operators.metrics import accuracy
@@ -115,10 +116,18 @@ class TrainedRun:
 
 
 def run_training(
-    spec: ModelSpec, train: DataFrame, test: DataFrame, registry: Registry, model_root: str
+    spec: ModelSpec,
+    train: DataFrame,
+    test: DataFrame,
+    registry: Registry,
+    model_root: str,
+    before: Sequence[Transformer] = (),
 ) -> TrainedRun:
     """Fit, score the held-out rows, save under a new path, then log.
 
+    `before` are the transformers that made the features. They are saved in front of the
+    classifier, so that the saved model takes what they take.
+
     The row is logged last, so the registry never names a model that was not saved. Every run
     has a path of its own, so no row ever points at a later model. An empty test set leaves
     nothing to log a rate for and is an error.
@@ -131,13 +140,14 @@ def run_training(
     if rate is None:
         raise ValueError("the test set is empty")
     path = f"{model_root.rstrip('/')}/{spec.variant}/{uuid.uuid4()}"
+    model = PipelineModel(stages=[*before, *model.stages])
     model.write().save(path)
     run_id = log_run(registry, spec.algorithm, spec.algorithm, rate, fitted - started, path)
     return TrainedRun(model, rate, fitted - started, evaluated - fitted, path, run_id)
 
 
 def image_features(
-    images: DataFrame, rows_per_class: int | None = None, **embed_options
+    images: DataFrame, featurizer: ImageFeaturizer, rows_per_class: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(features, rejects) of labelled images, both from one written table.
 
@@ -147,7 +157,8 @@ def image_features(
     named = images.withColumn("origin", F.col("image.origin"))
     if rows_per_class is not None:
         named = cap_per_class(named, "class_name", "origin", rows_per_class)
-    table = materialise(feature_table(named, ["origin", "class_name", "label"], **embed_options), "images")
+    featured = feature_table(named, ["origin", "class_name", "label"], **featurizer.embed_options())
+    table = materialise(featured, "images")
     return table.filter(F.col("reason").isNull()).drop("reason"), rejects(table).drop("features")
 
 
@@ -156,15 +167,18 @@ def train_on_images(
     specs: Sequence[ModelSpec],
     registry: Registry,
     model_root: str,
+    featurizer: ImageFeaturizer,
     train_percent: int = 70,
     rows_per_class: int | None = None,
-    **embed_options,
 ) -> list[TrainedRun]:
-    """The whole job on labelled images: features, split, and one logged run per spec."""
-    features, _ = image_features(images, rows_per_class, **embed_options)
+    """The whole job on labelled images: features, split, and one logged run per spec.
+
+    The saved models begin with the featurizer, so they score images with its settings.
+    """
+    features, _ = image_features(images, featurizer, rows_per_class)
     # the features are written already; hashing the origin again costs less than a second copy
     train, test = hash_split(training_rows(features), F.col("origin"), train_percent)
-    return [run_training(spec, train, test, registry, model_root) for spec in specs]
+    return [run_training(spec, train, test, registry, model_root, [featurizer]) for spec in specs]
 
 
 def sweep(

@@ -17,11 +17,9 @@ def score_stream(
     return score_features(stream, model, names, keep)
 
 
-def score_image_stream(
-    stream: DataFrame, model: PipelineModel, names: Sequence[str], **embed_options
-) -> DataFrame:
-    """Predictions of an image stream."""
-    return score_images(stream, model, names, **embed_options)
+def score_image_stream(stream: DataFrame, model: PipelineModel, names: Sequence[str]) -> DataFrame:
+    """Predictions of an image stream, by a model that begins with an image featurizer."""
+    return score_images(stream, model, names)
 
 
 def running_hits(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

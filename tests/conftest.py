@@ -37,7 +37,7 @@ def tree(tmp_path_factory):
         folder = root / name
         folder.mkdir()
         for i in range(8):
-            shade = tuple(max(0, c - 3 * i) for c in colour)
+            shade = tuple(c - 3 * i if c > 100 else c for c in colour)
             write_png(folder / f"rgb{i}.png", [[shade] * (8 + i)] * (9 + i % 3))
         write_png(folder / "rgba.PNG", [[(*colour, 128)] * 10] * 10)
         (folder / "junk.png").write_bytes(b"this is not a picture")

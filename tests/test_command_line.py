@@ -4,24 +4,27 @@ from imagelab.__main__ import parser, run
 
 
 def test_train_list_score_and_watch(spark, tree, tmp_path):
-    common = ["--registry", str(tmp_path / "registry"), "--classes", "alpha,beta,gamma", "--size", "16"]
+    common = ["--registry", str(tmp_path / "registry"), "--classes", "alpha,beta,gamma"]
 
     def call(*words):
         return run(spark, parser().parse_args([*common, *map(str, words)]))
 
     assert call("models").count() == 0
-    models = call("train", "--images", tree, "--models", tmp_path / "m", "--algorithm", "tree", "--rows-per-class", 9)
+    learn = ["train", "--images", tree, "--models", tmp_path / "m"]
+    models = call(*learn, "--size", 16, "--algorithm", "tree", "--rows-per-class", 9)
     assert [(r.idx, r.model) for r in models.collect()] == [(1, "Decision Tree")]
-    call("train", "--images", tree, "--models", tmp_path / "m")
+    call(*learn, "--size", 20, "--scaling", "inception", "--predictor", "imagelab.functions.predictors:channel_averages")
     listed = call("models").collect()
     assert [r.model for r in listed] == ["Logistic Regression", "Decision Tree"]
 
-    scored = call("score", "--images", tree, "--model", 2, "--out", tmp_path / "batch")
-    watched = call(
-        "watch", "--images", f"{tree}/*", "--model", 2, "--out", tmp_path / "stream", "--checkpoint", tmp_path / "c"
-    )
-    counts = {tuple(r) for r in scored.collect()}
-    assert counts == {tuple(r) for r in watched.collect()}
-    assert sum(n for *_, n in counts) == 31 and (None, "undecodable", 3) in counts
+    for number in (1, 2):  # each model brings its own featurizer
+        out, place = tmp_path / f"batch{number}", tmp_path / f"stream{number}"
+        scored = call("score", "--images", tree, "--model", number, "--out", out)
+        watched = call(
+            "watch", "--images", f"{tree}/*", "--model", number, "--out", place, "--checkpoint", f"{place}-checkpoint"
+        )
+        counts = {tuple(r) for r in scored.collect()}
+        assert counts == {tuple(r) for r in watched.collect()}
+        assert sum(n for *_, n in counts) == 31 and (None, "undecodable", 3) in counts
     with pytest.raises(ValueError):
         call("score", "--images", tree, "--model", "two", "--out", tmp_path / "none")

@@ -4,31 +4,26 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from imagelab.functions.columns import file_name
 from imagelab.operators import classes, filters
-from imagelab.operators import images as ops
+from imagelab.operators.featurizer import ImageFeaturizer
 from imagelab.plans import scoring, training
 from imagelab.sources import images as src
 from imagelab.sources import registry as rg
 from imagelab.streaming import scoring as streaming
 
 NAMES = ["alpha", "beta", "gamma"]
-OPTIONS = {"height": 16, "width": 16}
-
 
 @pytest.fixture(scope="module")
 def registry(spark, tree, tmp_path_factory):
     """Two models trained on the pictures and logged."""
     root = tmp_path_factory.mktemp("runs")
     colour = filters.keep_dimensions(src.read_labelled_images(spark, str(tree), NAMES))
-    place = F.concat_ws("/", "class_name", file_name(F.col("image.origin")))  # not the temporary folder
-    table = ops.feature_table(colour.withColumn("place", place), ["label", "place"], **OPTIONS)
-    train, test = training.split_rows(training.training_rows(table), "place")
     registry = rg.ParquetRegistry(spark, str(root / "registry"))
     registry.create()
-    for spec in (training.decision_tree(), training.logistic_regression()):
-        run = training.run_training(spec, train, test, registry, str(root / "models"))
-        assert run.accuracy == 1.0
+    specs = [training.decision_tree(), training.logistic_regression()]
+    featurizer = ImageFeaturizer(height=16, width=16)
+    runs = training.train_on_images(colour, specs, registry, str(root / "models"), featurizer)
+    assert [run.accuracy for run in runs] == [1.0, 1.0]
     return registry
 
 
@@ -40,7 +35,7 @@ def everything(spark, tree):
 def test_folder_to_names(spark, everything, registry):
     path, model = rg.find_one(rg.listing(registry.rows()), 1)
     assert model == "Logistic Regression"
-    scored = scoring.score_images(everything, path, NAMES, **OPTIONS)
+    scored = scoring.score_images(everything, path, NAMES)
     rows = scored.collect()
     assert len(rows) == 31  # nothing is lost
     for r in rows:
@@ -57,19 +52,28 @@ def test_one_upload_with_a_numbered_model(spark, tree, registry):
     numbered = rg.listing(registry.rows())
     upload = src.read_images(spark, str(tree / "gamma" / "rgba.PNG"), extensions=["png"])
     for index in (1, "2"):
-        row = scoring.score_images_with_registry_model(upload, numbered, index, NAMES, **OPTIONS).first()
+        row = scoring.score_images_with_registry_model(upload, numbered, index, NAMES).first()
         assert row.class_name == "gamma"
     with pytest.raises(LookupError):
-        scoring.score_images_with_registry_model(upload, numbered, 3, NAMES, **OPTIONS)
+        scoring.score_images_with_registry_model(upload, numbered, 3, NAMES)
 
 
-def test_scoring_nothing(spark, registry):
+def test_scoring_nothing_and_vectors(spark, registry):
     path, _ = rg.find_one(rg.listing(registry.rows()), 1)
-    width = 4 * 4 * 3 + 3 * 8
+    classifier = PipelineModel(PipelineModel.load(path).stages[1:])
     empty = src.from_vectors(spark, [])
-    assert scoring.score_features(empty, path, NAMES).count() == 0
-    one = src.from_vectors(spark, [[0.0] * width])
-    assert scoring.score_features(one, path, NAMES).count() == 1
+    assert scoring.score_features(empty, classifier, NAMES).count() == 0
+    one = src.from_vectors(spark, [[0.0] * (4 * 4 * 3 + 3 * 8)])
+    assert scoring.score_features(one, classifier, NAMES).count() == 1
+    with pytest.raises(ValueError, match="no featurizer"):
+        scoring.score_images(spark.range(1), classifier, NAMES)
+
+
+def test_rejects_are_kept_apart(spark, tree):
+    images = src.read_labelled_images(spark, str(tree), NAMES, drop_invalid=False, extensions=["png"])
+    features, rejects = training.image_features(images, ImageFeaturizer(height=16, width=16))
+    assert (features.count(), rejects.count()) == (28, 3)
+    assert {r.reason for r in rejects.collect()} == {"undecodable"}
 
 
 def test_stream_equals_batch_and_resumes(spark, tree, everything, registry, tmp_path):
@@ -82,14 +86,14 @@ def test_stream_equals_batch_and_resumes(spark, tree, everything, registry, tmp_
 
     def run():
         stream = src.stream_images(spark, f"{uploads}/*", drop_invalid=False)
-        scored = streaming.score_image_stream(stream, model, NAMES, **OPTIONS)
+        scored = streaming.score_image_stream(stream, model, NAMES)
         streaming.run_available(scored, str(tmp_path / "rows"), str(tmp_path / "checkpoint"))
         return spark.read.parquet(str(tmp_path / "rows"))
 
     assert run().count() == 21
     shutil.copytree(tree / NAMES[2], uploads / NAMES[2])
     streamed = run()
-    batch = scoring.score_images(everything, model, NAMES, **OPTIONS)
+    batch = scoring.score_images(everything, model, NAMES)
     tail = lambda df: sorted(
         (tuple(r.origin.split("/")[-2:]), r.class_name, r.reason, r.confidence) for r in df.collect()
     )
