@@ -94,7 +94,7 @@ def spread(df: DataFrame, partitions: int | None = None, key: Sequence[str] = ()
     if partitions is None:
         spark = df.sparkSession
         partitions = spark.sparkContext.defaultParallelism
-        split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+        split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()  # parsed, "1g" too
         size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
         if int(str(size)) >= partitions * split:
             return df

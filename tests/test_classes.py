@@ -141,9 +141,11 @@ def test_spread_by_size_and_by_number(spark, tmp_path):
     assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert sorted(r.id for r in spread.collect()) == list(range(1000))
     assert classes.spread(df, 5).rdd.getNumPartitions() == 5
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")
     try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")
         assert classes.spread(df, key=["id"]) is df  # large enough for all cores
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1g")
+        assert classes.spread(df, key=["id"]) is not df
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
