@@ -21,7 +21,7 @@ def database():
     return connection
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", entry_points.oracle_sql())
 def test_query_equals_its_sql(spark, database, name):
     df = entry_points.queries()[name](spark, SF_DIR)
     expected = database.execute(entry_points.oracle_sql()[name])
