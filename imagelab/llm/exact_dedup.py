@@ -50,7 +50,9 @@ def frequent_keys(digests: DataFrame, tracked: int = TRACKED, reported: int = RE
         .groupBy("lane")
         .agg(F.expr(f"approx_top_k_accumulate(key, {tracked})").alias("summary"))
     )
-    merged = summaries.agg(F.expr(f"approx_top_k_combine(summary, {tracked})").alias("summary"))
+    # grouped by one value: an ungrouped combine fails on tasks without rows
+    one = (F.col("lane") < 0).alias("one")
+    merged = summaries.groupBy(one).agg(F.expr(f"approx_top_k_combine(summary, {tracked})").alias("summary"))
     top = merged.select(F.expr(f"inline(approx_top_k_estimate(summary, {reported}))"))
     return top.filter(F.col("count") >= LEAST_COPIES).select(F.col("item").alias("key"))
 
@@ -61,14 +63,10 @@ def _first_row() -> Column:
 
 def resolve(digests: DataFrame) -> DataFrame:
     """(id, keep_id, group_size, kept, digest): the fate of every row of a digest table."""
-    if digests.isEmpty():
-        winners = digests.groupBy("digest").agg(_first_row().alias("first"), F.count("*").alias("size"))
-    else:
-        suspects = F.broadcast(materialise(frequent_keys(digests), "suspects"))  # at most REPORTED rows
-        suspected = digests.join(suspects, F.xxhash64("digest") == suspects["key"], "left_semi")
-        exact = suspected.groupBy("digest").agg(_first_row().alias("first"), F.count("*").alias("size"))
-        winners = materialise(exact, "winners")
-    hot = F.broadcast(winners)  # one row for each suspect
+    suspects = F.broadcast(materialise(frequent_keys(digests), "suspects"))  # at most REPORTED rows
+    suspected = digests.join(suspects, F.xxhash64("digest") == suspects["key"], "left_semi")
+    exact = suspected.groupBy("digest").agg(_first_row().alias("first"), F.count("*").alias("size"))
+    hot = F.broadcast(materialise(exact, "winners"))  # one row for each suspect
     whole_group = Window.partitionBy("digest")
     frequent = digests.join(hot, "digest")
     ordinary = digests.join(hot, "digest", "left_anti").select(
