@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from imagelab.llm import exact_dedup
+from imagelab.llm import exact_dedup, mixing
 from imagelab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,35 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept",
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+@query(r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM d GROUP BY source),
+r AS (SELECT *, 2 * source_size AS cap, 2.0::DOUBLE * source_size / weight AS ratio,
+             1.5::DOUBLE * (SELECT CAST(sum(size) AS BIGINT) FROM d) AS budget FROM s),
+level AS (
+  SELECT DISTINCT ratio, budget - coalesce((SELECT CAST(sum(cap) AS BIGINT) FROM r f WHERE f.ratio < r.ratio), 0) AS free,
+         (SELECT CAST(sum(weight) AS BIGINT) FROM r o WHERE o.ratio >= r.ratio) AS spread
+  FROM r),
+cut AS (SELECT * FROM level WHERE free / spread <= ratio ORDER BY ratio LIMIT 1),
+t AS (SELECT r.source, source_size,
+             CASE WHEN r.ratio < cut.ratio THEN cap::DOUBLE ELSE free * weight / spread END AS target
+      FROM r, cut),
+o AS (
+  SELECT d.*, t.source_size, t.target,
+         CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5(doc_id::VARCHAR), doc_id
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CAST(greatest(0, least(size, floor(target) - before))
+          + greatest(0, least(size, floor(target) - before - source_size)) AS BIGINT) AS taken
+FROM o
+""")
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
