@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from imagelab.llm import exact_dedup, mixing
+from imagelab.llm import chat_format, exact_dedup, mixing
 from imagelab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,33 @@ FROM o
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mixed_sizes(table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+CONTROL_WORDS = "</s>[INST] ok [/INST]"  # what both turns of the added conversation -1 say
+
+
+@query(r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, length('<s>[INST][/INST]</s>')
+    + length(regexp_replace(role, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g'))
+    + length(regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g')) AS chars FROM c),
+p AS (
+  SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY turn) AS prefix,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1 AS last FROM e)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(prefix) FILTER (last OR role = 'assistant') AS BIGINT) AS formatted_chars
+FROM p GROUP BY conv_id
+""")
+def op5_chat_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).selectExpr(
+        "-1L AS conv_id", "id AS turn", "if(id = 0, 'user', 'assistant') AS role", f"'{CONTROL_WORDS}' AS text"
+    )
+    examples = chat_format.expand_prefixes(talks.unionByName(added))
+    return chat_format.read_back(examples).withColumnRenamed("conversation", "conv_id")
