@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from imagelab.llm import chat_format, exact_dedup, mixing
+from imagelab.llm import chat_format, exact_dedup, mixing, packing
 from imagelab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,9 @@ def op5_chat_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     examples = chat_format.expand_prefixes(talks.unionByName(added))
     return chat_format.read_back(examples).withColumnRenamed("conversation", "conv_id")
+
+
+@query()
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packed.withColumnRenamed("id", "doc_id")
