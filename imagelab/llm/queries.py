@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from imagelab.llm import chat_format, exact_dedup, mixing, packing
+from imagelab.llm import chat_format, exact_dedup, mixing, packing, warc
 from imagelab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,22 @@ def op5_chat_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"))
     return packed.withColumnRenamed("id", "doc_id")
+
+
+@query("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT html, min(page_id) AS first FROM p WHERE strlen(html) >= 100 GROUP BY html)
+SELECT page_id, strlen(p.html) AS payload_bytes, sha256(p.html) AS payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN g ON p.html = g.html
+""")
+def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return captures.select(
+        F.col("metadata.page_id").cast("long").alias("page_id"),
+        "response.payload_bytes",
+        "response.payload_digest",
+        F.col("response.type").alias("record_type"),
+        F.col("metadata.refers_to").cast("long").alias("refers_to"),
+    )
