@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from imagelab.llm import chat_format, exact_dedup, mixing, packing, warc
+from imagelab.llm import chat_format, exact_dedup, mixing, packing, simhash, warc
 from imagelab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,10 @@ def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("response.type").alias("record_type"),
         F.col("metadata.refers_to").cast("long").alias("refers_to"),
     )
+
+
+@query()
+def op9_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return near.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")
