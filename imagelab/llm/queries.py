@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from imagelab.llm import chat_format, exact_dedup, mixing, packing, simhash, warc
+from imagelab.llm import chat_format, exact_dedup, mixing, packing, simhash, topk, warc
 from imagelab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,19 @@ def op9_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return near.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")
+
+
+@query("""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""")
+def op7_max_score_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+    return found.withColumnRenamed("id", "vec_id")
