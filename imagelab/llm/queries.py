@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from imagelab.llm import chat_format, exact_dedup, mixing, packing, simhash, topk, warc
+from imagelab.llm import chat_format, exact_dedup, mixing, packing, simhash, topk, toxicity, warc
 from imagelab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,10 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 def op7_max_score_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
     return found.withColumnRenamed("id", "vec_id")
+
+
+@query()
+def op4_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scorer = toxicity.fit_scorer(documents, table(spark, sf_dir, "labels"))
+    return toxicity.scored(documents, scorer).withColumnRenamed("id", "doc_id")
