@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from imagelab.llm import chat_format, exact_dedup, mixing, packing, simhash, topk, toxicity, warc
+from imagelab.llm import chat_format, exact_dedup, html_text, mixing, packing, simhash, topk, toxicity, warc
 from imagelab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,8 @@ def op4_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     scorer = toxicity.fit_scorer(documents, table(spark, sf_dir, "labels"))
     return toxicity.scored(documents, scorer).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op1_html_tag_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_articles(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
