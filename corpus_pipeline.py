@@ -4,16 +4,44 @@ from pyspark.sql import DataFrame, SparkSession
 
 from imagelab.llm.common import table
 from imagelab.llm.exact_dedup import drop_exact_duplicates
+from imagelab.llm.mixing import mix_documents
+from imagelab.llm.packing import pack_documents
+from imagelab.llm.simhash import drop_near_duplicates
+from imagelab.llm.toxicity import drop_toxic, fit_scorer
 from imagelab.session import materialise
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that are not predicted toxic; the scorer learns from `labels` over these documents."""
+    return drop_toxic(docs, fit_scorer(docs, table(spark, sf_dir, "labels")))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     return drop_exact_duplicates(docs)
 
 
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return drop_near_duplicates(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of all sources by weight: each document as often as the mix takes it, from 0 to 2 times."""
+    return mix_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): the mix in sequences of tokens."""
+    return pack_documents(docs).withColumnRenamed("id", "doc_id")
+
+
 STAGES = [
+    ("toxicity", toxicity),
     ("exact_dedup", exact_dedup),
+    ("simhash_dedup", simhash_dedup),
+    ("mixing", mixing),
+    ("packing", packing),
 ]
 
 ORACLE_SQL = None  # no SQL for the trained tagger and the fingerprints; tests compare with brute force

@@ -139,7 +139,8 @@ def mix_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     takes are added up and each of them returns as often as their mean says.
     """
     queue = fair_queue(df, id_col=id_col, text_col=text_col, most=most, **options)
-    taken = queue.groupBy("id", "size").agg((F.sum("taken") / F.countDistinct("row")).alias("words"))
+    # each row of a document is in the queue `most` times
+    taken = queue.groupBy("id", "size").agg((F.sum("taken") * most / F.count("*")).alias("words"))
     times = F.when(F.col("size") == 0, 1).otherwise(F.round(F.col("words") / F.col("size"))).cast("int")
     wanted = taken.select(F.col("id").alias("_id"), F.col("size").alias("_size"), times.alias("_times"))
     n = fresh(df, "_n")
