@@ -42,10 +42,11 @@ def keep_listed(df: DataFrame, keys: dict[str, Column], listed: DataFrame) -> Da
     only to choose one of several rows that repeat a key (by a hash of the whole row).
     """
     names = {k: fresh(df, f"_{k}") for k in keys}
+    listed_names = {k: fresh(df, f"_listed_{k}") for k in keys}
     number = fresh(df, "_number")
     wide = df.withColumns({names[k]: e for k, e in keys.items()})
-    narrow = listed.select(*[col(k).alias(f"_listed_{i}") for i, k in enumerate(keys)]).hint("shuffle_hash")
-    matched = wide.join(narrow, same(wide, narrow, [(names[k], f"_listed_{i}") for i, k in enumerate(keys)]))
+    narrow = listed.select(*[col(k).alias(listed_names[k]) for k in keys]).hint("shuffle_hash")
+    matched = wide.join(narrow, same(wide, narrow, [(names[k], listed_names[k]) for k in keys]))
     row_hash = F.xxhash64(*[col(c) for c in df.columns])
     one = Window.partitionBy(*[col(names[k]) for k in keys]).orderBy(row_hash)
     numbered = matched.withColumn(number, F.row_number().over(one))

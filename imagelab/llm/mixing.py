@@ -142,10 +142,10 @@ def mix_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # each row of a document is in the queue `most` times
     taken = queue.groupBy("id", "size").agg((F.sum("taken") * most / F.count("*")).alias("words"))
     times = F.when(F.col("size") == 0, 1).otherwise(F.round(F.col("words") / F.col("size"))).cast("int")
-    wanted = taken.select(F.col("id").alias("_id"), F.col("size").alias("_size"), times.alias("_times"))
-    n = fresh(df, "_n")
+    n, key, size, repeats = (fresh(df, name) for name in ("_n", "_key", "_size", "_repeats"))
+    wanted = taken.select(F.col("id").alias(key), F.col("size").alias(size), times.alias(repeats))
     keyed = df.withColumn(n, word_count(col(text_col)))
-    on = keyed[id_col].eqNullSafe(F.col("_id")) & (col(n) == F.col("_size"))
-    joined = keyed.join(wanted.filter("_times > 0").hint("shuffle_hash"), on)
-    repeated = joined.withColumn(n, F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    on = keyed[id_col].eqNullSafe(wanted[key]) & (keyed[n] == wanted[size])
+    joined = keyed.join(wanted.filter(wanted[repeats] > 0).hint("shuffle_hash"), on)
+    repeated = joined.withColumn(n, F.explode(F.sequence(F.lit(1), col(repeats))))
     return repeated.select(*[col(c) for c in df.columns])

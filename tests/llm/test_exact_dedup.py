@@ -1,0 +1,63 @@
+import hashlib
+import re
+from collections import defaultdict
+
+import pytest
+
+from imagelab.llm import exact_dedup
+
+ROWS = [
+    (5, "a  b"), (3, "a\tb"), (9, "a b"), (1, " a b"), (2, None), (7, ""), (8, "a b"), (None, "a b"), (None, None),
+    (10, "x" * 300_000), (11, "x" * 300_000), (12, "dup"), (12, "dup"), (13, "\n\n"), (14, " "), (15, "A b"),
+]
+SCHEMA = "doc_id bigint, text string"
+
+
+def body(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def expected(rows):
+    groups = defaultdict(list)
+    for doc_id, text in rows:
+        groups[body(text)].append(doc_id)
+    return sorted(
+        (str(i), str(min((x for x in groups[body(t)] if x is not None), default=None)), len(groups[body(t)]),
+         hashlib.sha256(body(t).encode()).hexdigest())
+        for i, t in rows
+    )
+
+
+@pytest.mark.parametrize("least", [2, 64])  # with and without frequent digests
+def test_equals_brute_force(spark, monkeypatch, least):
+    monkeypatch.setattr(exact_dedup, "LEAST_COPIES", least)
+    got = exact_dedup.exact_duplicates(spark.createDataFrame(ROWS, SCHEMA)).collect()
+    found = sorted((str(r["id"]), str(r["keep_id"]), r["group_size"], bytes(r["digest"]).hex()) for r in got)
+    assert found == expected(ROWS)
+    kept = [r for r in got if r["kept"]]
+    assert len(kept) == len({body(t) for _, t in ROWS}) and all(r["id"] == r["keep_id"] for r in kept)
+
+
+def test_frequent_digests_are_found_among_many(spark):
+    rows = spark.range(20_000).selectExpr("id AS doc_id", "if(id % 3 = 0, 'same', concat('t', id)) AS text")
+    digests = exact_dedup.digest_table(rows, "doc_id", "text")
+    assert exact_dedup.frequent_keys(digests).count() == 1
+    fate = exact_dedup.resolve(digests)
+    assert fate.filter("group_size > 1").count() == 6667
+    assert fate.filter("kept").count() == 20_000 - 6666
+
+
+def test_drops_rows_and_keeps_columns(spark):
+    rows = [(i, t, f"x{i}", 1, None) for i, t in ROWS]
+    names = "doc_id bigint, text string, id string, _number int, digest string"
+    df = spark.createDataFrame(rows, names)
+    kept = exact_dedup.drop_exact_duplicates(df)
+    assert kept.columns == df.columns
+    got = [r["doc_id"] for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([3, 1, 2, 8, 10, 12, 13, 15], key=str)
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert exact_dedup.exact_duplicates(df).count() == 0
+    assert exact_dedup.drop_exact_duplicates(df).count() == 0
