@@ -31,16 +31,13 @@ class Model:
         return self.bias + sum(self.weights.get(f, 0.0) for f in features_of(word))
 
 
-def _normalised(states: np.ndarray) -> np.ndarray:
-    return states / states.sum(axis=-1, keepdims=True)
-
-
 def marginals(
     scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, with_counts: bool = False
 ) -> tuple[np.ndarray, np.ndarray]:
     """(probability of tag 1 by token, expected transition counts if asked for).
 
-    `scores` holds all sequences one after another, `lengths` their sizes.
+    `scores` holds all sequences one after another, `lengths` their sizes, none of them 0. States
+    are kept as ratios of tag 1 to tag 0.
     """
     chunks = -(-lengths // WIDTH)
     first_chunk = np.cumsum(chunks) - chunks
@@ -48,74 +45,64 @@ def marginals(
     if not total:
         return np.zeros(0), np.zeros((2, 2))
     begins = np.cumsum(lengths) - lengths
-    at = np.arange(len(scores)) - np.repeat(begins, lengths) + np.repeat(first_chunk * WIDTH, lengths)
-    potential = np.ones((WIDTH, total))
-    real = np.zeros((WIDTH, total), bool)
+    at = np.arange(len(scores)) + np.repeat(first_chunk * WIDTH - begins, lengths)
     row, column = at % WIDTH, at // WIDTH
+    size = np.bincount(column, minlength=total)  # tokens of each chunk; only a sequence's last one is short
+    potential = np.ones((WIDTH, total))
     potential[row, column] = np.exp(np.clip(scores, -30, 30))
-    real[row, column] = True
-    a = np.exp(transitions)
-
-    def step(states: np.ndarray, t: int) -> np.ndarray:
-        """Row vectors (..., 2) times the matrix of token t; padding leaves them as they are."""
-        p, use = potential[t], real[t]
-        neutral = states[..., 0] * a[0, 0] + states[..., 1] * a[1, 0]
-        offending = (states[..., 0] * a[0, 1] + states[..., 1] * a[1, 1]) * p
-        moved = np.stack((neutral, offending), axis=-1)
-        return np.where(use[..., None], moved / np.maximum(moved.sum(axis=-1, keepdims=True), 1e-300), states)
-
-    def back(states: np.ndarray, t: int) -> np.ndarray:
-        """The matrix of token t times column vectors (..., 2)."""
-        p, use = potential[t], real[t]
-        later = states[..., 1] * p
-        moved = np.stack((a[0, 0] * states[..., 0] + a[0, 1] * later, a[1, 0] * states[..., 0] + a[1, 1] * later), axis=-1)
-        return np.where(use[..., None], moved / np.maximum(moved.sum(axis=-1, keepdims=True), 1e-300), states)
-
-    starts = np.tile([1.0, 0.0], (total, 1))
-    ends = np.full((total, 2), 0.5)
-    longest = int(chunks.max())
-    if longest > 1:  # chain the chunks of long sequences
-        inner = np.repeat(chunks > 1, chunks)
-        rows = np.stack([np.tile(unit, (total, 1)) for unit in ([1.0, 0.0], [0.0, 1.0])])  # images of both tags
-        scale = np.zeros((2, total))
-        for t in range(WIDTH):
-            p, use = potential[t], real[t] & inner
-            neutral = rows[..., 0] * a[0, 0] + rows[..., 1] * a[1, 0]
-            offending = (rows[..., 0] * a[0, 1] + rows[..., 1] * a[1, 1]) * p
-            moved = np.stack((neutral, offending), axis=-1)
-            size = np.maximum(moved.sum(axis=-1), 1e-300)
-            rows = np.where(use[..., None], moved / size[..., None], rows)
-            scale += np.where(use, np.log(size), 0)
-        product = np.exp(scale - scale.max(axis=0))[..., None] * rows  # (2, total, 2)
-        for k in range(1, longest):
-            here = (first_chunk + k)[chunks > k]
-            before = starts[here - 1]
-            starts[here] = _normalised(before[:, :1] * product[0, here - 1] + before[:, 1:] * product[1, here - 1])
-        for k in range(longest - 2, -1, -1):
-            here = (first_chunk + k)[chunks > k + 1]
-            after = ends[here + 1]
-            image = [(product[i, here + 1] * after).sum(axis=1) for i in (0, 1)]
-            ends[here] = _normalised(np.stack(image, axis=-1))
-    forward = np.empty((WIDTH, total, 2))
+    (a00, a01), (a10, a11) = np.exp(transitions)
+    starts, ends = np.zeros(total), np.ones(total)
+    if chunks.max() > 1:
+        _chain(potential, size, chunks, first_chunk, np.exp(transitions), starts, ends)
+    forward = np.empty((WIDTH, total))
     state = starts
     for t in range(WIDTH):
-        state = forward[t] = step(state, t)
+        state = forward[t] = potential[t] * (a01 + state * a11) / (a00 + state * a10)
     tagged = np.empty((WIDTH, total))
     counts = np.zeros((2, 2))
     state = ends
     for t in range(WIDTH - 1, -1, -1):
         joint = forward[t] * state
-        tagged[t] = joint[:, 1] / joint.sum(axis=1)
+        tagged[t] = joint / (1 + joint)
+        later = state * potential[t]
+        here = t < size
         if with_counts:
-            before = forward[t - 1] if t else starts
-            arrive = np.stack((state[:, 0], state[:, 1] * potential[t]), axis=-1)
-            pairs = before[:, :, None] * a[None] * arrive[:, None, :]
-            pairs /= pairs.sum(axis=(1, 2), keepdims=True)
-            counts += pairs[real[t]].sum(axis=0)
-        state = back(state, t)
+            before = (forward[t - 1] if t else starts)[here]
+            arrive = later[here]
+            pairs = np.array([[np.full_like(arrive, a00), a01 * arrive], [a10 * before, a11 * before * arrive]])
+            counts += (pairs / pairs.sum(axis=(0, 1))).sum(axis=2)
+        # padding lies behind the last token, so the state stays as it is there
+        state = np.where(here, (a10 + a11 * later) / (a00 + a01 * later), state)
     return tagged[row, column], counts
 
 
+def _chain(potential, size, chunks, first_chunk, a, starts, ends) -> None:
+    """Fill in the states at the starts and ends of the chunks of sequences that have several."""
+    many = np.flatnonzero(np.repeat(chunks > 1, chunks))
+    rows = np.zeros((2, 2, len(many)))  # image of each tag under the chunk's matrix product
+    rows[0, 0] = rows[1, 1] = 1
+    scale = np.zeros((2, len(many)))
+    for t in range(WIDTH):
+        neutral = rows[:, 0] * a[0, 0] + rows[:, 1] * a[1, 0]
+        offending = (rows[:, 0] * a[0, 1] + rows[:, 1] * a[1, 1]) * potential[t, many]
+        norm = neutral + offending
+        use = t < size[many]
+        rows[:, 0], rows[:, 1] = np.where(use, neutral / norm, rows[:, 0]), np.where(use, offending / norm, rows[:, 1])
+        scale += np.where(use, np.log(norm), 0)
+    product = np.zeros((2, 2, len(size)))
+    product[:, :, many] = rows * np.exp(scale - scale.max(axis=0))[:, None]
+    for k in range(1, int(chunks.max())):
+        at = (first_chunk + k)[chunks > k]
+        (p00, p01), (p10, p11) = product[:, :, at - 1]
+        ratio = starts[at - 1]
+        starts[at] = (p01 + ratio * p11) / (p00 + ratio * p10)
+    for k in range(int(chunks.max()) - 2, -1, -1):
+        at = (first_chunk + k)[chunks > k + 1]
+        (p00, p01), (p10, p11) = product[:, :, at + 1]
+        ratio = ends[at + 1]
+        ends[at] = (p10 + p11 * ratio) / (p00 + p01 * ratio)
+
+
 def fit(
     documents: Sequence[Sequence[str]], tags: Sequence[np.ndarray], rounds: int = 40, decay: float = 1e-3, rate: float = 0.3
 ) -> Model:
