@@ -37,7 +37,7 @@ LEAST_LIFT = 2.0  # log of how much more frequent an offending word is in toxic
 LEAST_DEVIATIONS = 4.0
 LEAST_DOCUMENTS = 3
 BATCH_TOKENS = 1 << 18
-CACHED_WORDS = 1 << 20
+CACHED_WORDS = 1 << 19
 
 TOKEN = re.compile(r"[^\W\d_]+")
 
@@ -161,14 +161,18 @@ def fit_scorer(
     known = labels.filter((remainder(id_col) != 1) & col(label_col).isin(0, 1))
     known = known.groupBy(col(id_col).alias("_id")).agg(F.max(col(label_col)).cast("int").alias("label"))
     known = known.withColumn("order", F.xxhash64("_id", F.lit("sample")))
+    known = materialise(known, "labels")
+    sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}  # two rows at most
+    # by id alone, so that a bounded list goes to the texts and no text is shuffled
+    first = [known.filter(F.col("label") == label).orderBy("order", "_id").limit(2 * sample) for label in (0, 1)]
+    candidates = F.broadcast(materialise(first[0].unionByName(first[1]), "candidates"))  # at most 4 * sample rows
     texts = documents.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
     short = F.length(F.coalesce("text", F.lit(""))) <= SAMPLE_CHARS
-    labelled = materialise(
-        texts.join(known, F.col("id") == F.col("_id")).select("id", "label", "order", "text", short.alias("short")), "labelled"
-    )
-    sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}  # two rows
-    if len(sizes) < 2:
-        share = min(max(float(max(sizes, default=0)), 1e-9), 1 - 1e-9)
+    found = texts.join(candidates, F.col("id") == F.col("_id"))
+    labelled = materialise(found.select("id", "label", "order", "text", short.alias("short")), "labelled")
+    if labelled.select("label").distinct().count() < 2:
+        share = sizes.get(1, 0) / max(1, sum(sizes.values()))
+        share = min(max(share, 1e-9), 1 - 1e-9)
         return Scorer(crf.Model(), np.array([math.log(share / (1 - share)), 0, 0, 0, 0]))
 
     def chosen(condition: Column) -> list[DataFrame]:
