@@ -121,19 +121,14 @@ def vector_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("vec_id", F.size("a").cast("bigint").alias("width"), F.round(total, 6).alias("total"))
 
 
-@query("""
-SELECT p_partkey, 0 AS label FROM part WHERE p_type = 'ECONOMY'
-UNION ALL SELECT p_partkey, 1 FROM part WHERE p_type = 'LARGE'
-UNION ALL SELECT p_partkey, 2 FROM part WHERE p_type = 'MEDIUM'
-UNION ALL SELECT p_partkey, 3 FROM part WHERE p_type = 'PROMO'
-UNION ALL SELECT p_partkey, 4 FROM part WHERE p_type = 'SMALL'
-UNION ALL SELECT p_partkey, 5 FROM part WHERE p_type = 'STANDARD'""")
+@query("SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS INTEGER) AS label FROM part")
 def union_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A frame per kind that there is, put together again."""
     parts = table(spark, sf_dir, "part")
-    names = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+    kinds = classes.class_dictionary(parts, "p_type").collect()  # one row per class, as many as frames
     frames = [
-        parts.filter(F.col("p_type") == name).select("p_partkey", F.lit(i).alias("label"))
-        for i, name in enumerate(names)
+        parts.filter(F.col("p_type") == kind.class_name).select("p_partkey", F.lit(kind.class_id).alias("label"))
+        for kind in kinds
     ]
     return classes.union_frames(frames)
 
@@ -146,6 +141,16 @@ def cap_per_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.cap_per_class(docs, "source", "doc_id", 20)
 
 
+@query("""
+SELECT vec_id, label FROM embeddings
+QUALIFY rank() OVER (PARTITION BY label ORDER BY CASE WHEN vec_id % 7 <> 0 THEN vec_id END NULLS LAST) <= 20""")
+def cap_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a key come last and tie with each other."""
+    key = F.when(F.col("vec_id") % 7 != 0, F.col("vec_id")).alias("key")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", key)
+    return classes.cap_per_class(rows, "label", "key", 20).drop("key")
+
+
 @query("""
 SELECT vec_id, label, '/img/class_' || label || '/' || vec_id || '.png' AS origin
 FROM embeddings WHERE vec_id = 40""")
@@ -187,6 +192,17 @@ def split_80_20(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _both_sides(spark, sf_dir, 80, "s")
 
 
+@query("""
+SELECT vec_id, CASE WHEN CAST('0x' || substr(md5(coalesce(CASE WHEN vec_id % 7 <> 0 THEN vec_id::VARCHAR END, '')), 1, 8) AS BIGINT) % 100 < 70
+               THEN 'train' ELSE 'test' END AS side FROM embeddings""")
+def split_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a key are all on one side, and none is lost."""
+    key = F.when(F.col("vec_id") % 7 != 0, F.col("vec_id")).alias("key")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", key)
+    train, test = classes.hash_split(rows, F.col("key"), 70)
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test"))).drop("key")
+
+
 @query(f"""WITH {SQL_LANGS}
 SELECT doc_id, lang, (SELECT string_agg(CASE WHEN d.class_id = k.class_id THEN '1' ELSE '0' END, ','
                       ORDER BY k.class_id) FROM dictionary k) AS bits

@@ -101,12 +101,23 @@ def class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH scored AS (SELECT CAST(embedding[1] AS DOUBLE) AS s, CASE WHEN label = 0 THEN 1 ELSE 0 END AS y FROM embeddings),
-ranked AS (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r FROM scored)
-SELECT 0 AS class_id, round((sum(r) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2.0)
+WITH scored AS (
+  SELECT c AS class_id, CAST(embedding[c + 1] AS DOUBLE) AS s, CAST(label = c AS INTEGER) AS y
+  FROM embeddings, range(10) AS k(c)),
+ranked AS (
+  SELECT class_id, y, rank() OVER (PARTITION BY class_id ORDER BY s)
+         + (count(*) OVER (PARTITION BY class_id, s) - 1) / 2.0 AS r FROM scored)
+SELECT CAST(class_id AS INTEGER) AS class_id, round((sum(r) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2.0)
   / (sum(y) * (count(*) - sum(y))), 6) AS auc
-FROM ranked""")
+FROM ranked GROUP BY class_id""")
 def one_vs_rest_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings")
-    area = ms.one_vs_rest_auc(rows, 0, scores="embedding")
-    return spark.createDataFrame([(0, round(area, 6))], "class_id int, auc double")
+    """All ten classes at once."""
+    rows = table(spark, sf_dir, "embeddings").select("label", F.slice("embedding", 1, 10).alias("scores"))
+    return ms.one_vs_rest_auc(rows).select("class_id", F.round("auc", 6).alias("auc"))
+
+
+@query("SELECT round(avg(CASE WHEN quality = toxic THEN 1.0 ELSE 0.0 END), 9) AS accuracy FROM labels")
+def evaluator_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "labels").select(F.col("quality").cast("double"), F.col("toxic").cast("double"))
+    rate = ms.evaluator_accuracy(rows, "quality", "toxic")
+    return spark.createDataFrame([(round(rate, 9),)], "accuracy double")

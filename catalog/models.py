@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import query, table
-from catalog.standins import RETURN_FLAGS, SQL_HELD_OUT, line_features, line_images, line_pictures
+from catalog.standins import SQL_HELD_OUT, line_features, line_images, line_pictures
 from imagelab.functions.columns import label_from_path
 from imagelab.operators.classes import hash_split, spread
 from imagelab.operators.featurizer import ImageFeaturizer
@@ -24,7 +24,7 @@ SELECT l_returnflag, l_returnflag AS class_name, count(*) AS n FROM held_out GRO
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(*LINE_KEYS, "l_returnflag", "l_linestatus", "l_quantity")
-    return spread(lines, key=LINE_KEYS)
+    return spread(lines, spark.sparkContext.defaultParallelism, LINE_KEYS)
 
 
 def _features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -59,7 +59,8 @@ def rf_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(SQL_OWN_LABEL)
 def mlp_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fit_and_score(spark, sf_dir, training.perceptron(5, 3, hidden=8, maxIter=30))
+    """The full head of 1,024 hidden units, its width taken from the features; few rounds."""
+    return _fit_and_score(spark, sf_dir, training.perceptron(maxIter=4, rounds=2, blockSize=1024))
 
 
 @query(SQL_OWN_LABEL)
@@ -86,22 +87,57 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {SQL_HELD_OUT}, sizes(num_trees) AS (VALUES (25), (50), (100), (150))
-SELECT num_trees, CAST(1.0 AS DOUBLE) AS accuracy, (SELECT count(*) FROM held_out) AS test_rows FROM sizes""")
+SELECT num_trees, num_trees AS saved_trees, true AS has_nodes, CAST(1.0 AS DOUBLE) AS accuracy,
+       (SELECT count(*) FROM held_out) AS test_rows FROM sizes""")
 def rf_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every forest is saved; trees and nodes are those of the models loaded again."""
     train, test = _features(spark, sf_dir)
-    rates = training.sweep(training.random_forest, training.FOREST_SIZES, train, test)
-    return rates.select(
-        F.col("value").alias("num_trees"), "accuracy", F.lit(test.count()).cast("bigint").alias("test_rows")
-    )
+    root = scratch_path(spark, "sweep")
+    delete_on_exit(spark, root.rsplit("/", 1)[0])
+    registry = rg.ParquetRegistry(spark, f"{root}/registry")
+    registry.create()
+
+    def saved(spec: training.ModelSpec, train: DataFrame, test: DataFrame) -> float:
+        return training.run_training(spec, train, test, registry, f"{root}/models").accuracy
+
+    training.sweep(training.random_forest, training.FOREST_SIZES, train, test, saved)
+    rows = []
+    for run in registry.rows().collect():  # one row per size
+        forest = next(stage for stage in PipelineModel.load(run.model_path).stages if hasattr(stage, "getNumTrees"))
+        size = int(run.model.rsplit("-", 1)[1].rstrip(")"))
+        rows.append((size, forest.getNumTrees, forest.totalNumNodes > forest.getNumTrees, run.accuracy))
+    found = spark.createDataFrame(rows, "num_trees int, saved_trees int, has_nodes boolean, accuracy double")
+    return found.withColumn("test_rows", F.lit(test.count()).cast("bigint"))
+
+
+@query("""
+WITH d AS (SELECT l_quantity AS q, l_discount AS x, CAST(l_quantity * l_discount > 1.5 AS INTEGER) AS y FROM lineitem),
+counts AS (
+  SELECT 0 AS f, q AS v, count(*) AS n, sum(y) AS ones FROM d GROUP BY q
+  UNION ALL SELECT 1, x, count(*), sum(y) FROM d GROUP BY x),
+sides AS (
+  SELECT f, v, sum(n) OVER w AS nl, sum(ones) OVER w AS yl, sum(n) OVER (PARTITION BY f) AS n, sum(ones) OVER (PARTITION BY f) AS ones
+  FROM counts WINDOW w AS (PARTITION BY f ORDER BY v)),
+best AS (
+  SELECT f, v, yl * 2 > nl AS left_one, (ones - yl) * 2 > n - nl AS right_one FROM sides WHERE nl < n
+  ORDER BY yl * (nl - yl) / nl + (ones - yl) * (n - nl - ones + yl) / (n - nl) LIMIT 1)
+SELECT y AS label, CAST(CASE WHEN CASE WHEN f = 0 THEN q ELSE x END <= v THEN left_one ELSE right_one END AS INTEGER) AS prediction,
+       count(*) AS n
+FROM d, best GROUP BY ALL""")
+def tree_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree of depth 1 makes the best single split of quantity or discount."""
+    lines = table(spark, sf_dir, "lineitem")
+    label = (F.col("l_quantity") * F.col("l_discount") > 1.5).cast("int").alias("label")
+    features = F.array(F.col("l_quantity").cast("double"), F.col("l_discount").cast("double")).alias("features")
+    rows = training.training_rows(lines.select(features, label))
+    spec = training.decision_tree(maxDepth=1, maxBins=64)
+    return training.count_outcomes(training.fit(spec, rows).transform(rows))
 
 
 def _trained(spark: SparkSession, sf_dir: str, *specs: training.ModelSpec) -> tuple[rg.ParquetRegistry, DataFrame]:
     """A registry with one saved run per spec, and the held-out rows."""
     train, test = _features(spark, sf_dir)
-    root = scratch_path(spark, "runs")
-    registry = rg.ParquetRegistry(spark, f"{root}/registry")
-    registry.create()
-    delete_on_exit(spark, root.rsplit("/", 1)[0])
+    root, registry = _registry(spark)
     for spec in specs:
         training.run_training(spec, train, test, registry, f"{root}/models")
     return registry, test
@@ -126,17 +162,17 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "model")
     training.fit(training.logistic_regression(), train).write().save(path)
     delete_on_exit(spark, path.rsplit("/", 1)[0])
-    scored = scoring.score_features(test, path, RETURN_FLAGS, keep=["l_returnflag"])
+    scored = scoring.score_features(test, path, keep=["l_returnflag"])
     return training.count_outcomes(scored, "l_returnflag", "class_name")
 
 
 @query(SQL_OWN_FLAG)
 def score_with_registry_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second model of the listing is the decision tree."""
+    """The second model of the listing is the decision tree; it brings its class names."""
     specs = training.decision_tree(), training.logistic_regression()
     registry, test = _trained(spark, sf_dir, *specs)
     numbered = rg.listing(registry.rows())
-    scored = scoring.score_with_registry_model(test, numbered, 2, RETURN_FLAGS, keep=["l_returnflag"])
+    scored = scoring.score_with_registry_model(test, numbered, 2, keep=["l_returnflag"])
     return training.count_outcomes(scored, "l_returnflag", "class_name")
 
 
@@ -146,7 +182,7 @@ def score_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _features(spark, sf_dir)
     model = training.fit(training.decision_tree(), train)
     path = scratch_path(spark, "predictions")
-    write_table(scoring.score_features(test, model, RETURN_FLAGS, keep=["l_returnflag"]), path)
+    write_table(scoring.score_features(test, model, keep=["l_returnflag"]), path)
     delete_on_exit(spark, path.rsplit("/", 1)[0])
     return training.count_outcomes(spark.read.parquet(path), "l_returnflag", "class_name")
 
@@ -158,16 +194,54 @@ FROM lineitem GROUP BY ALL""")
 def image_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Images to features, split, fit, save, log; then every image scored with model number 1."""
     pictures = line_pictures(_lines(spark, sf_dir))
+    root, registry = _registry(spark)
+    featurizer = ImageFeaturizer(height=8, width=6, method="bicubic")
+    specs = [training.decision_tree()]
+    training.train_on_images(pictures, specs, registry, f"{root}/models", featurizer, f"{root}/features")
+    numbered = rg.listing(registry.rows())
+    scored = scoring.score_images_with_registry_model(pictures.select("image"), numbered, 1)
+    folder = label_from_path(F.col("origin")).alias("folder")
+    return training.count_outcomes(scored, folder, "class_name", "reason")
+
+
+def _registry(spark: SparkSession) -> tuple[str, rg.ParquetRegistry]:
+    """A scratch folder and an empty registry in it."""
     root = scratch_path(spark, "runs")
+    delete_on_exit(spark, root.rsplit("/", 1)[0])
     registry = rg.ParquetRegistry(spark, f"{root}/registry")
     registry.create()
-    delete_on_exit(spark, root.rsplit("/", 1)[0])
+    return root, registry
+
+
+@query("""
+WITH runs(idx, model) AS (VALUES (1, 'Logistic Regression (elastic-net)'), (2, 'Decision Tree'))
+SELECT CAST(idx AS BIGINT) AS idx, model, CAST(1.0 AS DOUBLE) AS accuracy,
+       (SELECT count(*) FROM lineitem WHERE l_quantity <> 50) AS features,
+       (SELECT count(*) FROM lineitem WHERE l_quantity = 50) AS rejects
+FROM runs""")
+def features_then_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images featurised once into a table; two models trained on it without touching an image."""
+    root, registry = _registry(spark)
     featurizer = ImageFeaturizer(height=4, width=4, method="nearest")
-    training.train_on_images(pictures, [training.decision_tree()], registry, f"{root}/models", featurizer)
-    numbered = rg.listing(registry.rows())
-    scored = scoring.score_images_with_registry_model(pictures.select("image"), numbered, 1, RETURN_FLAGS)
-    folder = label_from_path(F.col("origin")).alias("folder")
-    return training.count_outcomes(scored, folder, "class_name", "reason")
+    training.write_features(line_pictures(_lines(spark, sf_dir)), featurizer, f"{root}/features")
+    for spec in (training.decision_tree(), training.elastic_net_regression()):
+        training.train_on_features(spark, f"{root}/features", [spec], registry, f"{root}/models", featurizer)
+    features, rejects = training.read_features(spark, f"{root}/features")
+    sizes = [F.lit(df.count()).cast("bigint").alias(name) for df, name in ((features, "features"), (rejects, "rejects"))]
+    return rg.listing(registry.rows()).select("idx", "model", "accuracy", *sizes)
+
+
+@query("SELECT true AS fit_took_time, true AS evaluation_took_time, true AS fit_time_is_logged")
+def training_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clock of a run on all lines."""
+    train, test = _features(spark, sf_dir)
+    root, registry = _registry(spark)
+    run = training.run_training(training.decision_tree(), train, test, registry, f"{root}/models")
+    return registry.rows().select(
+        F.lit(run.fit_seconds > 0).alias("fit_took_time"),
+        F.lit(run.evaluate_seconds > 0).alias("evaluation_took_time"),
+        (F.col("elapsed_time") == run.fit_seconds).alias("fit_time_is_logged"),
+    )
 
 
 def _streamed_scores(spark: SparkSession, sf_dir: str, keep: list[str]) -> DataFrame:
@@ -177,7 +251,7 @@ def _streamed_scores(spark: SparkSession, sf_dir: str, keep: list[str]) -> DataF
     model = training.fit(training.decision_tree(), train)
     stream = spark.readStream.schema(lines.schema).parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet*")
     _, held_out = hash_split(training.training_rows(line_features(stream)), F.col("key"))
-    return streaming.score_stream(held_out, model, RETURN_FLAGS, keep=keep)
+    return streaming.score_stream(held_out, model, keep=keep)
 
 
 @query(SQL_OWN_FLAG)

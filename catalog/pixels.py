@@ -73,8 +73,8 @@ FROM sums""")
 def to_rgb(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gray, colour and alpha images of different shapes, all as R,G,B."""
     rgb = mixed_images(spark, sf_dir).select("vec_id", ops.rgb_pixels("image").alias("_p"))
-    means = rgb.select("vec_id", ops.channel_means("_p.pixels").alias("_m"))
-    return means.filter("_m IS NOT NULL").select("vec_id", "_m.*")
+    means = rgb.select("vec_id", ops.opened(ops.channel_means("_p.pixels")))
+    return means.filter("reason IS NULL").drop("reason")
 
 
 @query(f"""WITH {SQL_BYTES}
@@ -83,7 +83,7 @@ SELECT vec_id, list_avg(list_transform(q, lambda x: 255 - x)) AS r,
 FROM bytes""")
 def pixel_channel_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     rgb = images(spark, sf_dir).select("vec_id", ops.rgb_pixels("image").alias("_p"))
-    return rgb.select("vec_id", ops.channel_means("_p.pixels").alias("_m")).select("vec_id", "_m.*")
+    return rgb.select("vec_id", ops.opened(ops.channel_means("_p.pixels"))).drop("reason")
 
 
 def _resized(spark: SparkSession, sf_dir: str, height: int, width: int, method: str) -> DataFrame:
@@ -163,9 +163,9 @@ def enlarge_bicubic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scaled(spark: SparkSession, sf_dir: str, scaling: str, digits: int) -> DataFrame:
     """Checksum of the scaled values in units of the given decimal; no value falls on a half unit."""
     rgb = images(spark, sf_dir).select("vec_id", ops.rgb_pixels("image").alias("_p"))
-    scaled = rgb.select("vec_id", ops.scaled_floats("_p.pixels", scaling).alias("s"))
-    units = F.transform("s", lambda v: F.floor(v.cast("double") * 10**digits + 0.5))
-    return scaled.select("vec_id", F.size("s").alias("n"), _checksum(units).alias("checksum"))
+    scaled = rgb.select("vec_id", ops.opened(ops.scaled_floats("_p.pixels", scaling)))
+    units = F.transform("values", lambda v: F.floor(v.cast("double") * 10**digits + 0.5))
+    return scaled.select("vec_id", F.size("values").alias("n"), _checksum(units).alias("checksum"))
 
 
 @query(f"""WITH {SQL_PIXELS}
@@ -202,6 +202,41 @@ def embed_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _grid_sql(grid: int, bins: int) -> str:
+    """Checksum of cell means and histograms of the 8 x 8 pixels; every cell has whole pixels."""
+    side = 8 // grid
+    return f"""WITH {SQL_PIXELS},
+cells AS (
+  SELECT vec_id, {3 * grid} * (p // {8 * side}) + 3 * ((p % 8) // {side}) + c AS place, avg(v) AS f FROM pixels GROUP BY ALL),
+histogram AS (
+  SELECT vec_id, {3 * grid * grid} + {bins} * c + b AS place, avg(CASE WHEN v * {bins} // 256 = b THEN 1.0 ELSE 0.0 END) AS f
+  FROM pixels, range({bins}) AS k(b) GROUP BY vec_id, c, b),
+features AS (SELECT * FROM cells UNION ALL SELECT * FROM histogram)
+SELECT vec_id, count(*) AS width, round(CAST(sum(f * (place + 1)) AS DOUBLE), 2) AS checksum
+FROM features GROUP BY vec_id"""
+
+
+def _grid_checksum(rows: DataFrame, features: str) -> DataFrame:
+    weighted = F.transform(features, lambda v, i: v.cast("double") * (i + 1))
+    return rows.select(
+        "vec_id", F.size(features).cast("bigint").alias("width"), F.round(_total(weighted), 2).alias("checksum")
+    )
+
+
+@query(_grid_sql(8, 4))
+def resize_224(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """8 x 8 to 224 x 224: every block of 28 x 28 pixels has the mean of the pixel it comes from."""
+    resized = ops.resized_table(images(spark, sf_dir), 224, 224, "nearest")
+    means = ops.predict_pixels("pixels", GridColour(8, 4), 224, 224)
+    return _grid_checksum(resized.select("vec_id", ops.opened(means)), "scores")
+
+
+@query(_grid_sql(4, 8))
+def embed_224(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default featurizer at its full size."""
+    return _grid_checksum(ops.feature_table(images(spark, sf_dir), ["vec_id"], method="nearest"), "features")
+
+
 # Ten fixed colour forms; the scores are whole numbers, so they compare exactly.
 COLOUR_FORMS = [[c - 4, 3 * c % 7 - 3, 5 * c % 11 - 5] for c in range(10)]
 SQL_FORMS = ", ".join(f"{r} * red + {g} * green + {b} * blue" for r, g, b in COLOUR_FORMS)
@@ -218,6 +253,6 @@ FROM scores""")
 def classify_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     resized = ops.resized_table(images(spark, sf_dir), 8, 8)
     scores = ops.predict_pixels("pixels", LinearColour(COLOUR_FORMS), 8, 8)
-    scored = resized.select("vec_id", scores.alias("s"))
-    best = fx.confidence(F.col("s")).cast("double")
-    return scored.select("vec_id", fx.best_class(F.col("s")).alias("class_id"), best.alias("score"))
+    scored = resized.select("vec_id", ops.opened(scores))
+    best = fx.confidence(F.col("scores")).cast("double")
+    return scored.select("vec_id", fx.best_class(F.col("scores")).alias("class_id"), best.alias("score"))

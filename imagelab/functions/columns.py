@@ -17,6 +17,11 @@ def label_from_path(path: Column) -> Column:
     return F.try_element_at(F.split(path, "/"), F.lit(-2))
 
 
+def decoded_path(path: Column) -> Column:
+    """A file path as Spark's metadata column gives it, with its percent-encoding undone."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))  # a plus in a path is no space
+
+
 def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
@@ -44,8 +49,11 @@ def as_class(label: Column, names: Sequence[str], alias: str = "label") -> Colum
 
 
 def hash_bucket(key: Column, salt: str = "") -> Column:
-    """Bucket 0..99 from the md5 of a row key: the same on every run, cluster and partitioning."""
-    digest = F.md5(F.concat(F.lit(salt), key.cast("string")))
+    """Bucket 0..99 from the md5 of a row key: the same on every run, cluster and partitioning.
+
+    A null key has the bucket of an empty one.
+    """
+    digest = F.md5(F.concat(F.lit(salt), F.coalesce(key.cast("string"), F.lit(""))))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
 
 

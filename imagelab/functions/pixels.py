@@ -3,7 +3,7 @@
 A decoded image is a uint8 array (height, width, 3) in R,G,B order.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -20,6 +20,9 @@ WEIGHT_ONE = float(1 << 22)
 
 BAND_LINES = 16  # target lines per product of resampling
 CHUNK_VALUES = 8_000_000  # pixel values in work at a time
+ARRAY_VALUES = 1 << 28  # values of one result array; its 32-bit offsets end at 2^31
+MOST_VALUES = (1 << 31) - 1
+SHORT_LINE = 4096  # rows up to this length are moved by index, longer ones one by one
 
 
 Piece = tuple[np.ndarray, np.ndarray]  # row numbers of a batch, and one line of values for each
@@ -42,9 +45,30 @@ class ByteColumn:
         starts = self.starts[rows]
         if np.all(np.diff(starts) == size):
             return self.values[starts[0] : starts[0] + len(rows) * size].reshape(len(rows), size)
+        if size <= SHORT_LINE:
+            return self.values[starts[:, None].astype(np.int64) + np.arange(size)]
         return np.stack([self.values[s : s + size] for s in starts])
 
 
+def bounded(batches: Iterator[pa.Array], values_per_row: Callable[[pa.Array], int]) -> Iterator[pa.Array]:
+    """The batches in slices, each of which makes at most ARRAY_VALUES values or has one row."""
+    for batch in batches:
+        step = max(1, ARRAY_VALUES // max(1, values_per_row(batch)))
+        for start in range(0, max(1, len(batch)), step):
+            yield batch.slice(start, step)
+
+
+def largest_image(images: pa.StructArray) -> int:
+    """R,G,B values of the largest image of a batch, going by its stated size."""
+    fields = dict(zip([f.name for f in images.type], images.flatten(), strict=True))
+    height, width = (fields[n].fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("height", "width"))
+    return 3 * int((height * width).max(initial=0))
+
+
+def longest_line(column: pa.Array) -> int:
+    return int(ByteColumn(column).lengths.max(initial=0))
+
+
 def pieces_of(rows: np.ndarray, values_per_row: int) -> Iterator[np.ndarray]:
     """Row numbers in chunks whose values stay within CHUNK_VALUES."""
     step = max(1, CHUNK_VALUES // values_per_row)
@@ -99,15 +123,16 @@ def _rgb(stored: np.ndarray) -> np.ndarray:
     return stored[..., 2::-1]  # B,G,R(,A) to R,G,B
 
 
-def _weights(source: int, target: int, method: str) -> np.ndarray:
-    """(target, source) matrix of integer resampling weights that sum to about WEIGHT_ONE."""
+def _weights(lines: np.ndarray, source: int, target: int, method: str) -> tuple[slice, np.ndarray]:
+    """Source lines that the target lines need, and their integer weights, which sum to about WEIGHT_ONE."""
     scale = source / target
     stretch = max(scale, 1.0)
     reach = KERNEL_SUPPORT[method] * stretch
-    centre = (np.arange(target)[:, None] + 0.5) * scale
-    pixel = np.arange(source)[None, :]
+    centre = (lines[:, None] + 0.5) * scale
     first = np.maximum((centre - reach + 0.5).astype(int), 0)
     last = np.minimum((centre + reach + 0.5).astype(int), source)
+    used = slice(int(first.min()), int(last.max()))
+    pixel = np.arange(used.start, used.stop)[None, :]
     x = np.abs((pixel - centre + 0.5) / stretch)
     if method == "bilinear":
         kernel = np.clip(1.0 - x, 0.0, None)
@@ -117,7 +142,7 @@ def _weights(source: int, target: int, method: str) -> np.ndarray:
         kernel = np.where(x < 1.0, near, np.where(x < 2.0, far, 0.0))
     kernel = np.where((pixel >= first) & (pixel < last), kernel, 0.0)
     kernel /= kernel.sum(axis=1, keepdims=True)
-    return np.trunc(kernel * WEIGHT_ONE + np.copysign(0.5, kernel))
+    return used, np.trunc(kernel * WEIGHT_ONE + np.copysign(0.5, kernel))
 
 
 def _to_bytes(weighted: np.ndarray) -> np.ndarray:
@@ -126,17 +151,14 @@ def _to_bytes(weighted: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=256)
 def _bands(source: int, target: int, method: str) -> list[tuple[slice, slice, np.ndarray]]:
-    """The weight matrix as (target lines, source lines, weights), a few target lines at a time.
+    """(target lines, source lines, weights), a few target lines at a time.
 
-    Each target line needs few source lines, so this leaves out nearly all of the matrix.
+    Each target line needs few source lines, and only their weights are ever computed.
     """
-    weights = _weights(source, target, method)
     bands = []
     for start in range(0, target, BAND_LINES):
-        part = weights[start : start + BAND_LINES]
-        used = np.flatnonzero(part.any(axis=0))
-        lines = slice(used[0], used[-1] + 1)
-        bands.append((slice(start, start + BAND_LINES), lines, part[:, lines].copy()))
+        lines = np.arange(start, min(start + BAND_LINES, target))
+        bands.append((slice(start, start + len(lines)), *_weights(lines, source, target, method)))
     return bands
 
 
@@ -191,10 +213,14 @@ def _assemble(count: int, pieces: list[Piece], dtype) -> tuple[np.ndarray, np.nd
     for rows, block in blocks:
         sizes[rows], missing[rows] = block.shape[1], False
     offsets = np.concatenate([[0], np.cumsum(sizes)])
+    if offsets[-1] > MOST_VALUES:
+        raise OverflowError(f"{offsets[-1]} values do not fit in one array; use smaller batches")
     values = np.empty(offsets[-1], dtype)
     for rows, block in blocks:
         if rows[-1] - rows[0] == len(rows) - 1:
             values[offsets[rows[0]] : offsets[rows[-1] + 1]] = block.ravel()
+        elif block.shape[1] <= SHORT_LINE:
+            values[offsets[rows][:, None] + np.arange(block.shape[1])] = block
         else:
             for row, line in zip(rows, block, strict=True):
                 values[offsets[row] : offsets[row + 1]] = line

@@ -12,6 +12,14 @@ import numpy as np
 PredictFn = Callable[[np.ndarray], np.ndarray]
 
 
+class RowsRefused(Exception):
+    """Raised by a predictor for a stack with images that it cannot take.
+
+    The images are then tried one by one, and those refused are left out with the message as
+    their reason. Any other exception fails the task.
+    """
+
+
 class GridColour:
     """Deterministic features: mean colour of each grid cell, then a histogram per channel."""
 

@@ -40,31 +40,36 @@ def union_frames(frames: Sequence[DataFrame]) -> DataFrame | None:
     return reduce(lambda a, b: a.unionByName(b), frames) if frames else None
 
 
-def cap_per_class(
-    df: DataFrame, class_col: str, key: str, rows: int, salts: int = 64
-) -> DataFrame:
-    """The first `rows` rows of every class by a unique key.
-
-    Which key is the last one to keep is found on the two narrow columns alone, first per class
-    and salt and then per class, so no task sees a whole class however large it is. The wide
-    rows are only filtered by that key and never sorted.
+def cap_bounds(df: DataFrame, class_col: str, key: str, rows: int) -> DataFrame:
+    """(class, no_key, last_key): the last key to keep of every class that has more than `rows` rows.
+
+    Only the two narrow columns are read. They are numbered by one distributed sort, so no task
+    sees a whole class, however large the class or the cap is. Null keys come last.
     """
-    slim = df.select(F.col(class_col).alias("_class"), F.col(key).alias("_key"))
-    salt = F.pmod(F.xxhash64("_key"), F.lit(salts))
-    per_salt = Window.partitionBy("_class", "_salt").orderBy("_key")
-    per_class = Window.partitionBy("_class").orderBy("_key")
-    last = (
-        slim.withColumn("_salt", salt)
-        .withColumn("_nth", F.row_number().over(per_salt))
-        .filter(F.col("_nth") <= rows)
-        .withColumn("_nth", F.row_number().over(per_class))
-        .filter(F.col("_nth") == rows)
-        .select("_class", F.col("_key").alias("_last"))
-    )
-    bounds = materialise(last, "bounds")
-    joined = df.join(bounds, F.col(class_col).eqNullSafe(F.col("_class")), "left")
-    kept = joined.filter(F.col("_last").isNull() | (F.col(key) <= F.col("_last")))
-    return kept.drop("_class", "_last")
+    slim = df.select(F.col(class_col).alias("class"), F.col(key).alias("last_key"))
+    order = [F.col("class").asc_nulls_last(), F.col("last_key").asc_nulls_last()]
+    numbered = with_global_index(slim, order)
+    begins = numbered.groupBy("class").agg(F.min("idx").alias("begin"))
+    begins = materialise(begins.withColumnRenamed("class", "_class"), "begins")
+    joined = numbered.join(begins, F.col("class").eqNullSafe(F.col("_class")))
+    cut = joined.filter(F.col("idx") == F.col("begin") + rows - 1)
+    return materialise(cut.select("class", F.col("last_key").isNull().alias("no_key"), "last_key"), "bounds")
+
+
+def within_bound(key: Column, no_key: Column, last_key: Column) -> Column:
+    """Whether a key is not behind the last one to keep; a null key is behind all others."""
+    return no_key | F.coalesce(key <= last_key, F.lit(False))
+
+
+def cap_per_class(df: DataFrame, class_col: str, key: str, rows: int) -> DataFrame:
+    """The first `rows` rows of every class by key, null keys last; rows that tie with the last one stay too.
+
+    The wide rows are only filtered by the last key of their class and never sorted.
+    """
+    bounds = cap_bounds(df, class_col, key, rows)
+    joined = df.join(bounds, F.col(class_col).eqNullSafe(F.col("class")), "left")
+    kept = F.col("no_key").isNull() | within_bound(F.col(key), F.col("no_key"), F.col("last_key"))
+    return joined.filter(kept).select(*[df[c] for c in df.columns])
 
 
 def with_bucket(df: DataFrame, key: Column, salt: str = "", alias: str = "bucket") -> DataFrame:
@@ -85,19 +90,8 @@ def random_split(df: DataFrame, train_percent: int, seed: int) -> tuple[DataFram
     return train, test
 
 
-def spread(df: DataFrame, partitions: int | None = None, key: Sequence[str] = ()) -> DataFrame:
-    """Repartition, by a unique key so that the placement survives the retry of a lost task.
-
-    Without a number the size decides: an input that does not fill a split per core is spread
-    over all cores, a larger one has enough partitions already and is left alone, unshuffled.
-    """
-    if partitions is None:
-        spark = df.sparkSession
-        partitions = spark.sparkContext.defaultParallelism
-        split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()  # parsed, "1g" too
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        if int(str(size)) >= partitions * split:
-            return df
+def spread(df: DataFrame, partitions: int, key: Sequence[str] = ()) -> DataFrame:
+    """Repartition, by a unique key so that the placement survives the retry of a lost task."""
     return df.repartition(partitions, *key)
 
 

@@ -11,7 +11,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from imagelab.operators.images import embed
+from imagelab.operators.images import embed, opened
 
 
 class ImageFeaturizer(
@@ -72,12 +72,12 @@ class ImageFeaturizer(
         }
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        embedded = embed(self.getInputCol(), **self.embed_options())
-        found = dataset.withColumn("_embedded", embedded)
-        features = F.col("_embedded.features")
+        embedded = opened(embed(self.getInputCol(), **self.embed_options()))
+        found = dataset.select("*", embedded.alias("_features", "_reason"))
+        features = F.col("_features")
         if self.getHandleInvalid() == "skip":
             found = found.filter(features.isNotNull())
         else:
-            failure = F.raise_error(F.concat(F.lit("image without features: "), "_embedded.reason"))
+            failure = F.raise_error(F.concat(F.lit("image without features: "), "_reason"))
             features = F.coalesce(features, failure.cast("array<float>"))
-        return found.withColumn(self.getOutputCol(), array_to_vector(features)).drop("_embedded")
+        return found.withColumn(self.getOutputCol(), array_to_vector(features)).drop("_features", "_reason")

@@ -27,3 +27,20 @@ def with_global_index(df: DataFrame, order_by: Sequence[Column | str], alias: st
     return ordered.join(F.broadcast(starts), "_part").select(
         *df.columns, (F.col("_start") + in_part + 1).alias(alias)
     )
+
+
+def with_running_total(df: DataFrame, order_by: Sequence[Column | str], value: str, alias: str) -> DataFrame:
+    """Add the sum of `value` over this and all earlier rows in the given order.
+
+    Totals run inside the range partitions of a distributed sort, and start from the totals of the
+    partitions before, one row each.
+    """
+    tagged = df.orderBy(*order_by).withColumn("_at", F.monotonically_increasing_id())
+    ordered = materialise(tagged, "ordered").withColumn("_part", F.shiftright("_at", _ROW_BITS))
+    sums = ordered.groupBy("_part").agg(F.sum(value).alias("_sum"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    summed = ordered.withColumn("_inside", F.sum(value).over(inside))
+    # one row per sort partition, so at most spark.sql.shuffle.partitions rows are broadcast
+    return summed.join(F.broadcast(starts), "_part").select(*df.columns, (F.col("_start") + F.col("_inside")).alias(alias))

@@ -1,10 +1,11 @@
 """Evaluation of scored rows and profiles of data sets."""
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from imagelab.operators.filters import wrong_or_right
+from imagelab.operators.indexing import with_running_total
 
 
 def accuracy(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -56,17 +57,27 @@ def class_report(scored: DataFrame, label: str = "label", prediction: str = "pre
     )
 
 
-def one_vs_rest_auc(
-    scored: DataFrame, class_id: int, label: str = "label", scores: str = "scores"
-) -> float:
-    """Area under the ROC curve of one class against the others, from an array<double> of scores."""
-    pair = scored.select(
-        (F.col(label) == class_id).cast("double").alias("label"),
-        F.element_at(scores, class_id + 1).cast("double").alias("score"),
+def one_vs_rest_auc(df: DataFrame, label: str = "label", scores: str = "scores") -> DataFrame:
+    """(class_id, auc): area under the ROC curve of every class against the others, in one pass.
+
+    `scores` is an array with a score per class. Rows become counts per class and distinct score
+    before the shuffle; the negatives below a score are a running total in the order of a
+    distributed sort. A class without positives or without negatives has no area.
+    """
+    own = F.posexplode(F.transform(scores, lambda s: s.cast("double"))).alias("class_id", "score")
+    pairs = df.select(F.col(label).alias("label"), own)
+    is_own = F.col("label") == F.col("class_id")
+    counted = pairs.groupBy("class_id", "score").agg(
+        F.count_if(is_own).alias("own"), F.count_if(~is_own).alias("others")
+    )
+    lined = with_running_total(counted, ["class_id", "score"], "others", "upto")
+    begins = lined.groupBy("class_id").agg(F.min(F.col("upto") - F.col("others")).alias("before"))
+    begins = begins.withColumnRenamed("class_id", "_class_id")
+    below = F.col("upto") - F.col("others") - F.col("before") + F.col("others") / 2
+    area = lined.join(begins, F.col("class_id") == F.col("_class_id")).groupBy("class_id").agg(
+        F.sum(F.col("own") * below).alias("above"), F.sum("own").alias("own"), F.sum("others").alias("others")
     )
-    return BinaryClassificationEvaluator(
-        labelCol="label", rawPredictionCol="score", metricName="areaUnderROC", numBins=0
-    ).evaluate(pair)
+    return area.select("class_id", F.try_divide("above", F.col("own") * F.col("others")).alias("auc"))
 
 
 def distinct_labels(df: DataFrame, label: str = "label") -> DataFrame:

@@ -7,30 +7,32 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import IndexToString
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from imagelab.functions.columns import hash_bucket
-from imagelab.operators.classes import cap_per_class, hash_split
+from imagelab.operators.classes import cap_bounds, within_bound
 from imagelab.operators.featurizer import ImageFeaturizer
 from imagelab.operators.filters import drop_null_features, rejects
-from imagelab.operators.images import feature_table
+from imagelab.operators.images import feature_table, pixel_feature_table
 from imagelab.operators.metrics import accuracy
-from imagelab.session import materialise
+from imagelab.session import materialise, scratch_of_job
 from imagelab.sources.registry import Registry, log_run
 
 SEED = 42
 TREE_MEMORY_MB = 512  # histogram memory of a task, twice the default: fewer passes over wide features
 FOREST_SIZES = (25, 50, 100, 150)
 BACKBONE_HEAD = 1024
+CLASS_NAME = "_class_name"  # column of the decoded prediction
 
 
 @dataclass(frozen=True)
@@ -41,6 +43,14 @@ class ModelSpec:
     estimator: Estimator
     variant: str = "default"
 
+    @property
+    def model_name(self) -> str:
+        """What the registry calls a run: the algorithm, and the variant if there are several."""
+        return self.algorithm if self.variant == "default" else f"{self.algorithm} ({self.variant})"
+
+    def fitted(self, train: DataFrame):
+        return self.estimator.fit(train)
+
 
 def logistic_regression(**params) -> ModelSpec:
     return ModelSpec("Logistic Regression", LogisticRegression(**{"maxIter": 10, **params}))
@@ -61,10 +71,66 @@ def random_forest(trees: int, **params) -> ModelSpec:
     return ModelSpec("Random Forest", RandomForestClassifier(**{**defaults, **params}), f"trees-{trees}")
 
 
-def perceptron(features: int, classes: int, hidden: int = BACKBONE_HEAD, **params) -> ModelSpec:
-    """One hidden layer on features of a frozen network."""
-    defaults = {"layers": [features, hidden, classes], "maxIter": 20, "seed": SEED}
-    return ModelSpec("Multilayer Perceptron", MultilayerPerceptronClassifier(**{**defaults, **params}))
+@dataclass(frozen=True)
+class EarlyStopping(ModelSpec):
+    """A perceptron fitted in rounds; the one with the least loss on held-back training rows is kept.
+
+    Each round goes on from the weights of the one before. It ends after `patience` rounds without
+    a smaller loss, or after `rounds`. The layer sizes follow from the rows where they are not set:
+    the width of the features, `hidden` units, and the classes of the label.
+    """
+
+    hidden: int = BACKBONE_HEAD
+    rounds: int = 20
+    patience: int = 5
+    validation_percent: int = 20
+
+    def fitted(self, train: DataFrame):
+        estimator = self.estimator.copy()
+        if not estimator.isSet(estimator.layers):
+            names = class_names(train)
+            classes = len(names) if names else int(train.agg(F.max("label")).first()[0]) + 1
+            width = train.select(F.size(vector_to_array("features"))).first()[0]
+            estimator.setLayers([width, self.hidden, classes])
+        bucket = F.pmod(F.xxhash64("features", "label", F.monotonically_increasing_id()), F.lit(100))
+        marked = materialise(train.select("features", "label", bucket.alias("_bucket")), "rounds")
+        held_back = marked.filter(f"_bucket < {self.validation_percent}").drop("_bucket")
+        rows = marked.filter(f"_bucket >= {self.validation_percent}").drop("_bucket")
+        best, least, waited = None, None, 0
+        for _ in range(self.rounds):
+            model = estimator.fit(rows)
+            loss = log_loss(model.transform(held_back))
+            if best is None or (loss is not None and loss < least):
+                best, least, waited = model, loss, 0
+            else:
+                waited += 1
+            if loss is None or waited >= self.patience:
+                break
+            estimator.setInitialWeights(model.weights)
+        return best
+
+
+def perceptron(features: int | None = None, classes: int | None = None, hidden: int = BACKBONE_HEAD, **params) -> EarlyStopping:
+    """One hidden layer on features of a frozen network, with early stopping.
+
+    `maxIter` is the number of iterations of a round; `rounds`, `patience` and
+    `validation_percent` are those of `EarlyStopping`.
+    """
+    stops = {k: params.pop(k) for k in ("rounds", "patience", "validation_percent") if k in params}
+    layers = {} if features is None else {"layers": [features, hidden, classes]}
+    estimator = MultilayerPerceptronClassifier(**{"maxIter": 5, "seed": SEED, **layers, **params})
+    return EarlyStopping("Multilayer Perceptron", estimator, hidden=hidden, **stops)
+
+
+def log_loss(scored: DataFrame) -> float | None:
+    """Mean negative log probability of the label; None without rows."""
+    own = F.element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
+    return scored.agg(F.avg(-F.log(F.greatest(own, F.lit(1e-15))))).first()[0]
+
+
+def class_names(df: DataFrame, label: str = "label") -> list[str]:
+    """Class names that the label column carries, in the order of their ids."""
+    return list(df.schema[label].metadata.get("ml_attr", {}).get("vals", []))
 
 
 def training_rows(df: DataFrame, features: str = "features") -> DataFrame:
@@ -87,8 +153,15 @@ def split_rows(
     return train.drop("_bucket"), test.drop("_bucket")
 
 
+def _decoder(train: DataFrame, prediction: str = "prediction") -> list[Transformer]:
+    """The stage that turns predictions into the class names of the training rows."""
+    names = class_names(train)
+    return [IndexToString(inputCol=prediction, outputCol=CLASS_NAME, labels=names)] if names else []
+
+
 def fit(spec: ModelSpec, train: DataFrame) -> PipelineModel:
-    return Pipeline(stages=[spec.estimator]).fit(train)
+    """The classifier, followed by the decoder of its class names if the label carries them."""
+    return PipelineModel(stages=[spec.fitted(train), *_decoder(train)])
 
 
 def fit_stages(transformers: Sequence[Transformer], spec: ModelSpec, train: DataFrame) -> PipelineModel:
@@ -101,8 +174,8 @@ def fit_stages(transformers: Sequence[Transformer], spec: ModelSpec, train: Data
     for stage in transformers:
         ready = stage.transform(ready)
     columns = [spec.estimator.getFeaturesCol(), spec.estimator.getLabelCol()]
-    fitted = spec.estimator.fit(materialise(ready.select(*columns), "features"))
-    return PipelineModel(stages=[*transformers, fitted])
+    written = materialise(ready.select(*columns), "features")
+    return PipelineModel(stages=[*transformers, *fit(spec, written).stages])
 
 
 @dataclass(frozen=True)
@@ -142,45 +215,108 @@ def run_training(
     path = f"{model_root.rstrip('/')}/{spec.variant}/{uuid.uuid4()}"
     model = PipelineModel(stages=[*before, *model.stages])
     model.write().save(path)
-    run_id = log_run(registry, spec.algorithm, spec.algorithm, rate, fitted - started, path)
+    run_id = log_run(registry, spec.algorithm, spec.model_name, rate, fitted - started, path)
     return TrainedRun(model, rate, fitted - started, evaluated - fitted, path, run_id)
 
 
-def image_features(
-    images: DataFrame, featurizer: ImageFeaturizer, rows_per_class: int | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(features, rejects) of labelled images, both from one written table.
+def capped(images: DataFrame, rows_per_class: int) -> DataFrame:
+    """The first files of every class by origin, as a filter on class and origin.
 
-    `images` has image, class_name and label, as `read_labelled_images` gives them. Pixels are
-    decoded and featurised once; training and retraining read the table.
+    The bounds, one row for each class of the list, become literals of the filter, which a scan of
+    labelled images applies to its file list: the files behind the bound are never opened. With
+    images read with `drop_invalid=False` finding the bounds opens no file at all; undecodable
+    files count as files of their class.
     """
-    named = images.withColumn("origin", F.col("image.origin"))
-    if rows_per_class is not None:
-        named = cap_per_class(named, "class_name", "origin", rows_per_class)
-    featured = feature_table(named, ["origin", "class_name", "label"], **featurizer.embed_options())
-    table = materialise(featured, "images")
-    return table.filter(F.col("reason").isNull()).drop("reason"), rejects(table).drop("features")
+    keep = F.lit(False)
+    bounds = cap_bounds(images, "class_name", "origin", rows_per_class)
+    for r in bounds.collect():
+        behind = ~within_bound(F.col("origin"), F.lit(r["no_key"]), F.lit(r["last_key"]))
+        keep = keep | (F.col("class_name").eqNullSafe(F.lit(r["class"])) & behind)
+    return images.filter(~keep)
 
 
-def train_on_images(
+def write_features(
     images: DataFrame,
+    featurizer: ImageFeaturizer,
+    path: str,
+    rows_per_class: int | None = None,
+    salt: str = "",
+) -> None:
+    """Decode and featurise labelled images once, into a table that training starts from.
+
+    `images` has image (or the `pixels` of a table of resized images), origin, class_name and
+    label, as `read_labelled_images` gives them with `drop_invalid=False`. The table holds the
+    feature vector, label, class name, origin and split bucket of every image, or the reason why
+    it has no features, in separate folders.
+    """
+    if "origin" not in images.columns:
+        images = images.withColumn("origin", F.col("image.origin"))
+    if rows_per_class is not None:
+        images = capped(images, rows_per_class)
+    keep, options = ["origin", "class_name", "label"], featurizer.embed_options()
+    table = pixel_feature_table if "pixels" in images.columns else feature_table
+    found = table(images, keep, **options)
+    vector = F.when(F.col("features").isNotNull(), array_to_vector(F.coalesce("features", F.array().cast("array<float>"))))
+    rows = found.select(
+        *keep,
+        vector.alias("features"),
+        hash_bucket(F.col("origin"), salt).cast("int").alias("_bucket"),
+        "reason",
+        F.col("reason").isNotNull().cast("int").alias("rejected"),
+    )
+    rows.write.partitionBy("rejected").parquet(path)
+
+
+def read_features(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(features, rejects) of a table of `write_features`."""
+    table = spark.read.parquet(path)
+    good = table.filter("rejected = 0").drop("reason", "rejected")
+    return good, rejects(table.filter("rejected = 1")).select("origin", "class_name", "label", "reason")
+
+
+def reject_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(reason, n) of the images without features."""
+    return read_features(spark, path)[1].groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def train_on_features(
+    spark: SparkSession,
+    path: str,
     specs: Sequence[ModelSpec],
     registry: Registry,
     model_root: str,
     featurizer: ImageFeaturizer,
     train_percent: int = 70,
-    rows_per_class: int | None = None,
 ) -> list[TrainedRun]:
-    """The whole job on labelled images: features, split, and one logged run per spec.
+    """One logged run per spec on a written feature table; no image is touched.
 
-    The saved models begin with the featurizer, so they score images with its settings.
+    The split is a filter on the stored bucket that the scan applies. The saved models begin with
+    the featurizer, so they score images with its settings.
     """
-    features, _ = image_features(images, featurizer, rows_per_class)
-    # the features are written already; hashing the origin again costs less than a second copy
-    train, test = hash_split(training_rows(features), F.col("origin"), train_percent)
+    features, _ = read_features(spark, path)
+    rows = features.select("features", "label", "_bucket")
+    train = rows.filter(f"_bucket < {int(train_percent)}").drop("_bucket")
+    test = rows.filter(f"_bucket >= {int(train_percent)}").drop("_bucket")
     return [run_training(spec, train, test, registry, model_root, [featurizer]) for spec in specs]
 
 
+def train_on_images(
+    images: DataFrame,
+    specs: Sequence[ModelSpec],
+    registry: Registry,
+    model_root: str,
+    featurizer: ImageFeaturizer,
+    path: str,
+    train_percent: int = 70,
+    rows_per_class: int | None = None,
+) -> list[TrainedRun]:
+    """The whole job on labelled images: features to `path`, and one logged run per spec."""
+    spark = images.sparkSession
+    with scratch_of_job(spark):
+        write_features(images, featurizer, path, rows_per_class)
+        return train_on_features(spark, path, specs, registry, model_root, featurizer, train_percent)
+
+
 def sweep(
     make_spec: Callable[[int], ModelSpec],
     values: Sequence[int],

@@ -1,14 +1,19 @@
 """Session helpers: the shared scratch folder, written intermediate tables, code shipping."""
 
+import atexit
 import os
 import shutil
 import tempfile
 import uuid
 import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: "weakref.WeakSet" = weakref.WeakSet()
+_job_folders: ContextVar[list[str] | None] = ContextVar("job_folders", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,10 +32,17 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="imagelab-"))
+    context.setCheckpointDir(_own_folder("imagelab-"))
     return context.getCheckpointDir()
 
 
+def _own_folder(prefix: str) -> str:
+    """A temporary folder that goes away with this process."""
+    folder = tempfile.mkdtemp(prefix=prefix)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_dir(spark).rstrip('/')}/imagelab-{uuid.uuid4()}/{name}"
@@ -41,15 +53,36 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage, so that a lost executor costs a re-read and not a recomputation, and gives
     the planner true sizes: small tables then join by broadcast, large ones do not. The table
-    goes away with the application.
+    goes away with the `scratch_of_job` it is written in, or else with the application.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    folders = _job_folders.get()
+    if folders is None:
+        delete_on_exit(spark, path.rsplit("/", 1)[0])
+    else:
+        folders.append(path.rsplit("/", 1)[0])
     df.write.parquet(path)
-    delete_on_exit(spark, path.rsplit("/", 1)[0])
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_of_job(spark: SparkSession) -> Iterator[None]:
+    """Drop all tables that `materialise` writes inside, at the end, whether the job succeeds or not.
+
+    For jobs whose results are written elsewhere: frames over these tables end with it too.
+    """
+    folders: list[str] = []
+    token = _job_folders.set(folders)
+    try:
+        yield
+    finally:
+        _job_folders.reset(token)
+        for folder in folders:
+            file_system, hadoop_path = _hadoop(spark, folder)
+            file_system.delete(hadoop_path, True)
+
+
 def _hadoop(spark: SparkSession, path: str):
     """(file system, path) for a path of any file system that Spark reads."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -75,7 +108,7 @@ def ship_package(spark: SparkSession) -> None:
         return
     package = os.path.dirname(os.path.abspath(__file__))
     if os.path.isdir(package):  # already inside a shipped archive otherwise
-        base = os.path.join(tempfile.mkdtemp(prefix="imagelab-code-"), "imagelab")
+        base = os.path.join(_own_folder("imagelab-code-"), "imagelab")
         archive = shutil.make_archive(base, "zip", os.path.dirname(package), "imagelab")
         context.addPyFile(archive)
     _shipped.add(context)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.readwriter import DataFrameReader
 
-from imagelab.functions.columns import allowed_extension, as_class, class_id, label_from_path
+from imagelab.functions.columns import allowed_extension, as_class, class_id, decoded_path, label_from_path
 from imagelab.schemas import FEATURE_VECTORS, IMAGE_EXTENSIONS, IMAGE_ROWS
 
 
@@ -32,31 +32,31 @@ def read_images(
     path: str | list[str],
     drop_invalid: bool = True,
     extensions: Sequence[str] | None = None,
-    max_file_bytes: int | None = None,
     recursive: bool = True,
 ) -> DataFrame:
     """Image rows of a folder tree, a glob or a list of them, in a single scan.
 
-    The image source cannot push filters on decoded fields, but a size limit on the file is
-    applied before it is read. With `drop_invalid=False` undecodable files stay, with height -1.
+    With `drop_invalid=False` undecodable files stay, with height -1.
     """
-    reader = _options(spark.read, drop_invalid, extensions)
-    df = reader.option("recursiveFileLookup", recursive).load(path)
-    if max_file_bytes is not None:
-        df = df.filter(F.col("_metadata.file_size") <= max_file_bytes)
-    return df
+    return _options(spark.read, drop_invalid, extensions).option("recursiveFileLookup", recursive).load(path)
 
 
 def read_labelled_images(
     spark: SparkSession, path: str | list[str], names: Sequence[str], **options
 ) -> DataFrame:
-    """Image rows with the parent folder as `class_name` and its position in `names` as `label`.
+    """Image rows with `origin`, the parent folder as `class_name` and its position in `names` as `label`.
 
-    One scan of all class folders; rows of folders that are not in the list are left out.
+    One scan of all class folders. All but the image comes from the path of the file, so filters on
+    class, label or origin are applied to the file list: files of folders outside the list, and
+    files that a later filter on these columns leaves out, are never opened. With
+    `drop_invalid=False` these columns alone are read without opening any file.
     """
-    df = read_images(spark, path, **options).withColumn("class_name", label_from_path(F.col("image.origin")))
+    rows = read_images(spark, path, **options)
+    file = F.col("_metadata.file_path")
+    class_name = label_from_path(decoded_path(file))
+    labelled = rows.select("image", file.alias("origin"), class_name.alias("class_name"))
     label = as_class(class_id(F.col("class_name"), names), names)
-    return df.filter(F.col("class_name").isin(list(names))).select("image", "class_name", label)
+    return labelled.filter(F.col("class_name").isin(list(names))).select("image", "origin", "class_name", label)
 
 
 def stream_images(
@@ -66,8 +66,8 @@ def stream_images(
     extensions: Sequence[str] | None = IMAGE_EXTENSIONS,
     files_per_trigger: int = 1000,
 ) -> DataFrame:
-    """Image rows of an upload folder as a stream."""
-    reader = _options(spark.readStream, drop_invalid, extensions)
+    """Image rows of an upload folder and all folders in it, as a stream."""
+    reader = _options(spark.readStream, drop_invalid, extensions).option("recursiveFileLookup", True)
     return reader.schema(IMAGE_ROWS).option("maxFilesPerTrigger", files_per_trigger).load(path)
 
 

@@ -11,13 +11,13 @@ from imagelab.plans.scoring import score_features, score_images
 
 
 def score_stream(
-    stream: DataFrame, model: PipelineModel, names: Sequence[str], keep: Sequence[str] = ()
+    stream: DataFrame, model: PipelineModel, names: Sequence[str] | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Predictions of a feature stream. Stateless, so late and repeated triggers need no state."""
     return score_features(stream, model, names, keep)
 
 
-def score_image_stream(stream: DataFrame, model: PipelineModel, names: Sequence[str]) -> DataFrame:
+def score_image_stream(stream: DataFrame, model: PipelineModel, names: Sequence[str] | None = None) -> DataFrame:
     """Predictions of an image stream, by a model that begins with an image featurizer."""
     return score_images(stream, model, names)
 

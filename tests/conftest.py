@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

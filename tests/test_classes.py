@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from imagelab.functions import columns as fx
 from imagelab.operators import classes
 from imagelab.operators.encoding import one_hot_column
-from imagelab.operators.indexing import with_global_index
+from imagelab.operators.indexing import with_global_index, with_running_total
+from imagelab.plans import training
 
 
 def test_dictionary_labels_and_names(spark):
@@ -97,6 +98,15 @@ def test_cap_of_rows_without_a_class(spark):
     assert {r.id for r in classes.cap_per_class(df, "name", "id", 3).collect()} == {0, 1, 2}
 
 
+def test_running_total_equals_sums(spark, skewed):
+    rows = skewed.withColumn("v", F.length("name").cast("long"))
+    got = with_running_total(rows, ["name", "key"], "v", "upto").orderBy("name", "key").collect()
+    total = 0
+    for r in got:
+        total += r.v
+        assert r.upto == total
+
+
 def test_global_index_equals_sorting(spark, skewed):
     numbered = with_global_index(skewed.repartition(9), ["name", "key"])
     expected = [(*row, i + 1) for i, row in enumerate(sorted(map(tuple, skewed.collect())))]
@@ -133,21 +143,26 @@ def test_random_split_is_there_too(spark):
     assert train.count() + test.count() == 1000
 
 
-def test_spread_by_size_and_by_number(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(0, 1000, 1, 1).write.parquet(path)
-    df = spark.read.parquet(path)
-    spread = classes.spread(df, key=["id"])
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert sorted(r.id for r in spread.collect()) == list(range(1000))
-    assert classes.spread(df, 5).rdd.getNumPartitions() == 5
-    try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")
-        assert classes.spread(df, key=["id"]) is df  # large enough for all cores
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "1g")
-        assert classes.spread(df, key=["id"]) is not df
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+def test_spread(spark):
+    assert classes.spread(spark.range(1000), 5).rdd.getNumPartitions() == 5
+    spread = classes.spread(spark.range(0, 1000, 1, 1), 6, ["id"])
+    assert spread.rdd.getNumPartitions() == 6 and sorted(r.id for r in spread.collect()) == list(range(1000))
+
+
+@pytest.mark.parametrize("cap,kept", [(3, 3), (10, 10), (12, 13), (20, 13)])
+def test_cap_with_null_keys(spark, cap, kept):
+    """10 keys and 3 rows without one, which come last and tie."""
+    df = spark.createDataFrame([("a", i) for i in range(10)] + [("a", None)] * 3, "name string, id int")
+    got = [r.id for r in classes.cap_per_class(df, "name", "id", cap).collect()]
+    assert len(got) == kept and sorted(i for i in got if i is not None) == list(range(min(cap, 10)))
+
+
+def test_split_keeps_rows_without_a_key(spark):
+    df = spark.createDataFrame([(i if i % 4 else None,) for i in range(200)], "id int")
+    train, test = classes.hash_split(df, F.col("id"))
+    assert train.count() + test.count() == 200
+    train, test = training.split_rows(df.withColumn("x", F.lit(1)), "id")
+    assert train.count() + test.count() == 200
 
 
 def test_first_rows(spark):

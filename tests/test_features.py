@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from imagelab.operators import filters
 from imagelab.operators import images as ops
+from imagelab.functions.predictors import RowsRefused
 from imagelab.operators.featurizer import ImageFeaturizer
 from imagelab.plans import training
 from imagelab.sources.images import read_labelled_images
@@ -31,17 +32,28 @@ def test_rows_that_the_predictor_refuses_are_null(labelled):
     def factory():
         def predict(stack):
             if (stack[:, 0, 0, 0] == 250).any():
-                raise ValueError("no bright red, please")
+                raise RowsRefused("no bright red, please")
             return stack[:, 0, 0, :]
 
         return predict
 
     table = ops.feature_table(labelled, ["label"], make_predict_fn=factory, height=4, width=4, method="nearest")
     counts = {(r.label, r.reason): r["count"] for r in table.groupBy("label", "reason").count().collect()}
-    assert counts[(0, "predictor")] == 2 and counts[(0, None)] == 7
+    assert counts[(0, "predictor: no bright red, please")] == 2 and counts[(0, None)] == 7
     assert counts[(1, None)] == 10 and counts[(2, "undecodable")] == 1
 
 
+def test_a_predictor_that_fails_fails_the_job(labelled):
+    def factory():
+        def predict(stack):
+            raise ValueError("wrong input size")
+
+        return predict
+
+    with pytest.raises(PySparkException, match="wrong input size"):
+        ops.feature_table(labelled, ["label"], make_predict_fn=factory, height=4, width=4).collect()
+
+
 def test_a_predictor_is_built_once_per_task(spark, labelled):
     def factory():
         calls = {"n": 0}
@@ -97,7 +109,23 @@ def test_featurizer_can_fail_on_broken_images(labelled):
         strict.transform(labelled).select("features").collect()
 
 
-def test_a_filter_on_features_does_not_run_the_predictor_twice(labelled):
-    table = filters.drop_null_features(ops.feature_table(labelled, ["label"], height=4, width=4))
-    plan = table._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("ArrowEvalPython") == 1
+def test_filters_pass_the_featurizer_and_it_runs_once(spark, labelled):
+    table = ops.feature_table(labelled, ["origin", "class_name", "label"], height=4, width=4)
+    stage = ImageFeaturizer(height=4, width=4).transform(labelled)
+    for frame in (table, stage):
+        kept = filters.drop_null_features(frame).filter("label = 1")
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
+        above, below = plan.split("ArrowEvalPython")
+        assert "beta" in below and "isnotnull" in above
+    assert filters.drop_null_features(table).filter("class_name = 'beta'").count() == 10
+
+
+def test_features_of_resized_pixels(labelled):
+    featurizer = ImageFeaturizer(height=16, width=16)
+    options = featurizer.embed_options()
+    resized = ops.resized_table(labelled.select("image", "label", F.col("origin").alias("file")), 16, 16)
+    direct = ops.feature_table(labelled.withColumn("file", F.col("origin")), ["file"], **options)
+    again = ops.pixel_feature_table(resized, ["file"], **options)
+    rows = [{r.file: r.features for r in t.collect()} for t in (direct, again)]
+    assert rows[0] == rows[1] and len(rows[0]) == 31

@@ -1,4 +1,5 @@
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -177,12 +178,54 @@ def test_resized_table_schema(frame):
     assert sizes == {"a": 60, "b": 60, "c": None, "d": 60, None: None}
 
 
-def test_means_and_scores_skip_wrong_rows(spark):
+def test_means_and_scores_say_what_is_wrong(spark):
     df = spark.createDataFrame([(bytes([1, 2, 3, 3, 4, 5]),), (b"\x01",), (None,), (b"",)], "p binary")
-    means = [r.m for r in df.select(ops.channel_means("p").alias("m")).collect()]
-    assert tuple(means[0]) == (2, 3, 4) and means[1:] == [None, None, None]
+    reasons = [None, "length", "missing", "length"]
+    means = df.select(ops.opened(ops.channel_means("p"))).collect()
+    assert tuple(means[0]) == (2, 3, 4, None) and [r.reason for r in means] == reasons
+    assert [r.r for r in means[1:]] == [None] * 3
     factory = lambda: lambda stack: stack.reshape(len(stack), -1)[:, :2]
-    scores = [r.s for r in df.select(ops.predict_pixels("p", factory, 1, 2).alias("s")).collect()]
-    assert scores == [[1, 2], None, None, None]
-    scaled = [r.s for r in df.select(ops.scaled_floats("p", "inception").alias("s")).collect()]
-    assert len(scaled[0]) == 6 and scaled[1] is None and scaled[3] == []
+    scores = df.select(ops.opened(ops.predict_pixels("p", factory, 1, 2))).collect()
+    assert [r.scores for r in scores] == [[1, 2], None, None, None] and [r.reason for r in scores] == reasons
+    scaled = df.select(ops.opened(ops.scaled_floats("p", "inception"))).collect()
+    assert len(scaled[0]["values"]) == 6 and [r.reason for r in scaled] == reasons
+
+
+def test_large_results_come_in_several_arrays(spark, frame, monkeypatch):
+    """With room for two images in an array every row still has its own result."""
+    batch = pa.array([b"abc", b"", b"xyz", b"12"], pa.binary())
+    monkeypatch.setattr(px, "ARRAY_VALUES", 6)
+    slices = list(px.bounded(iter([batch]), px.longest_line))
+    assert [len(s) for s in slices] == [2, 2] and pa.concat_arrays(slices).equals(batch)
+    assert [len(s) for s in px.bounded(iter([batch.slice(0, 0)]), px.longest_line)] == [0]
+
+    def halves(batches):
+        for column in batches:
+            yield from (px.float_lists(len(s), list(px.equal_lines(s))) for s in px.bounded(iter([column]), lambda _: 1 << 27))
+
+    udf = F.arrow_udf("array<float>")(_as_iterator(halves))
+    df = spark.createDataFrame([(bytes([i]),) for i in range(7)], "p binary").coalesce(1)
+    assert [r.f for r in df.select(udf("p").alias("f")).collect()] == [[i] for i in range(7)]
+
+
+def _as_iterator(run):
+    def spread(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from run(batches)
+
+    return spread
+
+
+def test_results_too_large_for_an_array_are_an_error(monkeypatch):
+    monkeypatch.setattr(px, "MOST_VALUES", 5)
+    with pytest.raises(OverflowError):
+        px.byte_strings(2, [(np.array([0, 1]), np.zeros((2, 3), np.uint8))])
+
+
+def test_scattered_rows_are_put_in_their_places():
+    rows, block = np.array([3, 0, 2]), np.arange(6, dtype=np.float32).reshape(3, 2)
+    for short in (px.SHORT_LINE, 1):
+        old, px.SHORT_LINE = px.SHORT_LINE, short
+        assert px.float_lists(4, [(rows, block)]).to_pylist() == [[2, 3], None, [4, 5], [0, 1]]
+        data = px.ByteColumn(pa.array([b"ab", b"cde", b"fg"], pa.binary()))
+        assert data.lines(np.array([2, 0]), 2).tobytes() == b"fgab"
+        px.SHORT_LINE = old

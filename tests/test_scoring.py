@@ -22,7 +22,7 @@ def registry(spark, tree, tmp_path_factory):
     registry.create()
     specs = [training.decision_tree(), training.logistic_regression()]
     featurizer = ImageFeaturizer(height=16, width=16)
-    runs = training.train_on_images(colour, specs, registry, str(root / "models"), featurizer)
+    runs = training.train_on_images(colour, specs, registry, str(root / "models"), featurizer, str(root / "features"))
     assert [run.accuracy for run in runs] == [1.0, 1.0]
     return registry
 
@@ -35,7 +35,7 @@ def everything(spark, tree):
 def test_folder_to_names(spark, everything, registry):
     path, model = rg.find_one(rg.listing(registry.rows()), 1)
     assert model == "Logistic Regression"
-    scored = scoring.score_images(everything, path, NAMES)
+    scored = scoring.score_images(everything, path)  # the model has its class names
     rows = scored.collect()
     assert len(rows) == 31  # nothing is lost
     for r in rows:
@@ -52,7 +52,7 @@ def test_one_upload_with_a_numbered_model(spark, tree, registry):
     numbered = rg.listing(registry.rows())
     upload = src.read_images(spark, str(tree / "gamma" / "rgba.PNG"), extensions=["png"])
     for index in (1, "2"):
-        row = scoring.score_images_with_registry_model(upload, numbered, index, NAMES).first()
+        row = scoring.score_images_with_registry_model(upload, numbered, index).first()
         assert row.class_name == "gamma"
     with pytest.raises(LookupError):
         scoring.score_images_with_registry_model(upload, numbered, 3, NAMES)
@@ -61,6 +61,12 @@ def test_one_upload_with_a_numbered_model(spark, tree, registry):
 def test_scoring_nothing_and_vectors(spark, registry):
     path, _ = rg.find_one(rg.listing(registry.rows()), 1)
     classifier = PipelineModel(PipelineModel.load(path).stages[1:])
+    bare = PipelineModel(classifier.stages[:1])
+    with pytest.raises(ValueError, match="no class names"):
+        scoring.score_features(src.from_vectors(spark, []), bare)
+    assert scoring.score_features(src.from_vectors(spark, []), bare, NAMES).count() == 0
+    with pytest.raises(ValueError, match="was trained on"):
+        scoring.score_features(src.from_vectors(spark, []), classifier, ["x", "y", "z"])
     empty = src.from_vectors(spark, [])
     assert scoring.score_features(empty, classifier, NAMES).count() == 0
     one = src.from_vectors(spark, [[0.0] * (4 * 4 * 3 + 3 * 8)])
@@ -69,11 +75,21 @@ def test_scoring_nothing_and_vectors(spark, registry):
         scoring.score_images(spark.range(1), classifier, NAMES)
 
 
-def test_rejects_are_kept_apart(spark, tree):
+def test_features_are_written_once_and_rejects_kept(spark, tree, tmp_path):
     images = src.read_labelled_images(spark, str(tree), NAMES, drop_invalid=False, extensions=["png"])
-    features, rejects = training.image_features(images, ImageFeaturizer(height=16, width=16))
+    featurizer, path = ImageFeaturizer(height=16, width=16), str(tmp_path / "features")
+    training.write_features(images, featurizer, path)
+    features, rejects = training.read_features(spark, path)
     assert (features.count(), rejects.count()) == (28, 3)
-    assert {r.reason for r in rejects.collect()} == {"undecodable"}
+    assert {tuple(r) for r in training.reject_counts(spark, path).collect()} == {("undecodable", 3)}
+    assert training.class_names(features) == NAMES
+    registry = rg.ParquetRegistry(spark, str(tmp_path / "registry"))
+    registry.create()
+    for spec in (training.decision_tree(), training.logistic_regression()):
+        training.train_on_features(spark, path, [spec], registry, str(tmp_path / "models"), featurizer)
+    assert registry.rows().count() == 2
+    plan = features.filter("_bucket < 70")._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(_bucket,70)" in plan and "Python" not in plan
 
 
 def test_stream_equals_batch_and_resumes(spark, tree, everything, registry, tmp_path):
@@ -85,15 +101,15 @@ def test_stream_equals_batch_and_resumes(spark, tree, everything, registry, tmp_
         shutil.copytree(tree / name, uploads / name)
 
     def run():
-        stream = src.stream_images(spark, f"{uploads}/*", drop_invalid=False)
-        scored = streaming.score_image_stream(stream, model, NAMES)
+        stream = src.stream_images(spark, str(uploads), drop_invalid=False)
+        scored = streaming.score_image_stream(stream, model)
         streaming.run_available(scored, str(tmp_path / "rows"), str(tmp_path / "checkpoint"))
         return spark.read.parquet(str(tmp_path / "rows"))
 
     assert run().count() == 21
     shutil.copytree(tree / NAMES[2], uploads / NAMES[2])
     streamed = run()
-    batch = scoring.score_images(everything, model, NAMES)
+    batch = scoring.score_images(everything, model)
     tail = lambda df: sorted(
         (tuple(r.origin.split("/")[-2:]), r.class_name, r.reason, r.confidence) for r in df.collect()
     )

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from imagelab.functions.columns import file_name
 from imagelab.operators import classes, filters
+from imagelab.plans import training
 from imagelab.schemas import CAR_CLASSES, IMAGE_STRUCT
 from imagelab.sources import images as src
 from tests.png import write_png
@@ -47,10 +48,47 @@ def test_extensions_are_checked_while_listing(spark, tree):
     assert src.extension_glob(["mp4"]) == "*.{[mM][pP]4}"
 
 
-def test_size_limit_skips_files(spark, tree):
-    small = (tree / "beta" / "gray.png").stat().st_size
-    kept = src.read_images(spark, str(tree), max_file_bytes=small)
-    assert 0 < kept.count() < 28
+def files_read(df):
+    """Number of files that the scan of a plan opens, from its metrics after a run."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    scans = [plan]
+    while scans:
+        node = scans.pop()
+        if node.nodeName().startswith("Scan image"):
+            return node.metrics().apply("numFiles").value()
+        children = node.children()
+        scans += [children.apply(i) for i in range(children.size())]
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            scans.append(node.executedPlan())
+
+
+def test_files_of_other_classes_are_not_opened(spark, tree):
+    everything = src.read_labelled_images(spark, str(tree), NAMES, extensions=["png"])
+    assert files_read(everything.select("image.height", "label")) == 31
+    two = src.read_labelled_images(spark, str(tree), ["alpha", "gamma"], extensions=["png"])
+    assert files_read(two.select("image.height", "label")) == 20
+    one = everything.filter("class_name = 'beta'")
+    assert files_read(one.select("image.height")) == 11
+    assert files_read(everything.filter("label = 0 AND origin LIKE '%rgb3%'").select("image.height")) == 1
+
+
+def test_files_behind_the_cap_are_not_opened(spark, tree):
+    images = src.read_labelled_images(spark, str(tree), NAMES, drop_invalid=False, extensions=["png"])
+    capped = training.capped(images, 4)
+    assert files_read(capped.select("image.height", "class_name")) == 12
+    names = sorted((r.class_name, r.origin) for r in images.select("class_name", "origin").collect())
+    expected = [n for name in NAMES for n in [m for m in names if m[0] == name][:4]]
+    assert sorted(map(tuple, capped.select("class_name", "origin").collect())) == expected
+    assert training.capped(images, 100).count() == 31
+
+
+def test_folders_with_odd_names(spark, tmp_path):
+    for name in ("a b", "c+d", "e%20f", "ü"):
+        (tmp_path / name).mkdir()
+        write_png(tmp_path / name / "x.png", [[(1, 2, 3)] * 4] * 4)
+    df = src.read_labelled_images(spark, str(tmp_path), ["a b", "c+d", "e%20f", "ü"])
+    assert sorted(r.class_name for r in df.collect()) == sorted(["a b", "c+d", "e%20f", "ü"])
 
 
 def test_modes_and_channel_order(spark, tree):
@@ -88,7 +126,7 @@ def test_class_list_is_alphabetical():
 
 
 def test_image_stream_equals_batch(spark, tree, tmp_path):
-    stream = src.stream_images(spark, f"{tree}/*").select("image.origin", "image.height")
+    stream = src.stream_images(spark, str(tree)).select("image.origin", "image.height")
     query = stream.writeStream.format("memory").queryName("uploads").trigger(availableNow=True).start()
     query.awaitTermination()
     batch = src.read_images(spark, str(tree)).select("image.origin", "image.height")

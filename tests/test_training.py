@@ -1,12 +1,15 @@
+import os
 import time
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.sql import functions as F
 
 from imagelab.functions.columns import as_class
 from imagelab.operators import metrics as ms
 from imagelab.plans import training
+from imagelab.session import materialise, scratch_of_job
 from imagelab.sources import registry as rg
 
 
@@ -56,6 +59,48 @@ def test_defaults_of_the_specs(spark):
     assert get(training.decision_tree(), "maxDepth") == 5
     assert training.FOREST_SIZES == (25, 50, 100, 150)
     assert get(training.perceptron(2048, 38), "layers") == [2048, 1024, 38]
+    assert training.random_forest(25).model_name == "Random Forest (trees-25)"
+    assert training.decision_tree().model_name == "Decision Tree"
+
+
+def test_perceptron_takes_its_width_from_the_features(split):
+    train, _ = split
+    model = training.fit(training.perceptron(hidden=7, rounds=1), train).stages[0]
+    assert list(model.getLayers()) == [2, 7, 3]
+
+
+def test_early_stopping_keeps_the_best_round(split, monkeypatch):
+    """Losses fall, then rise: the third round is kept, and two worse ones end the training."""
+    train, _ = split
+    losses, models = iter([3.0, 2.0, 1.0, 1.5, 1.2, 0.1]), []
+
+    def loss(scored):
+        models.append(scored)
+        return next(losses)
+
+    fitted = []
+    real = MultilayerPerceptronClassifier.fit
+    monkeypatch.setattr(training, "log_loss", loss)
+    monkeypatch.setattr(MultilayerPerceptronClassifier, "fit", lambda self, df: fitted.append(real(self, df)) or fitted[-1])
+    best = training.perceptron(hidden=4, maxIter=2, patience=2).fitted(train)
+    assert len(fitted) == 5 and best is fitted[2]
+
+
+def test_more_rounds_go_on_from_the_weights(split):
+    train, test = split
+    rates = [
+        training.log_loss(training.perceptron(hidden=6, maxIter=3, rounds=n).fitted(train).transform(test)) for n in (1, 8)
+    ]
+    assert rates[1] < rates[0]
+    assert training.log_loss(test.limit(0).withColumn("probability", F.col("features"))) is None
+
+
+def test_scratch_of_a_job_goes_with_it(spark):
+    with scratch_of_job(spark):
+        written = materialise(spark.range(10), "numbers")
+        folder = written.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(folder) and written.count() == 10
+    assert not os.path.exists(folder)
 
 
 def test_training_saves_then_logs(spark, split, tmp_path):
@@ -132,6 +177,20 @@ def test_class_report_against_brute_force(spark):
 
 
 def test_auc_with_ties(spark):
-    rows = [(0, [0.9, 0.1]), (0, [0.5, 0.5]), (1, [0.5, 0.5]), (1, [0.2, 0.8])]
+    rows = [(0, [0.9, 0.1, 0.0]), (0, [0.5, 0.5, 0.0]), (1, [0.5, 0.5, 0.1]), (1, [0.2, 0.8, 0.2])]
     df = spark.createDataFrame(rows, "label int, scores array<double>")
-    assert ms.one_vs_rest_auc(df, 0) == pytest.approx(3.5 / 4)
+    areas = {r.class_id: r.auc for r in ms.one_vs_rest_auc(df).collect()}
+    assert areas == {0: pytest.approx(3.5 / 4), 1: pytest.approx(3.5 / 4), 2: None}
+
+
+def test_auc_against_brute_force(spark):
+    import random
+
+    pick = random.Random(4)
+    rows = [(pick.randrange(4), [round(pick.random(), 2) for _ in range(4)]) for _ in range(500)]
+    df = spark.createDataFrame(rows, "label int, scores array<double>").repartition(7)
+    for r in ms.one_vs_rest_auc(df).collect():
+        own = [s[r.class_id] for y, s in rows if y == r.class_id]
+        others = [s[r.class_id] for y, s in rows if y != r.class_id]
+        wins = sum((a > b) + (a == b) / 2 for a in own for b in others)
+        assert r.auc == pytest.approx(wins / len(own) / len(others))
