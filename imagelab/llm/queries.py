@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from imagelab.llm import chat_format, exact_dedup, html_text, mixing, packing, simhash, topk, toxicity, warc
+from imagelab.llm import chat_format, exact_dedup, html_text, mixing, packing, simhash, surrogates, topk, toxicity, warc
 from imagelab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,15 @@ def op4_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_html_tag_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_articles(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+SURROGATE_KEY = b"key of the registered query"  # a real corpus takes a secret one
+
+
+@query()
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text, n_entities, entities): whole texts with surrogates; places are those in the new text."""
+    rows = surrogates.replace_entities(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    places = F.transform("entities", lambda e: F.struct(e["kind"].alias("kind"), e["start"].alias("start"), e["end"].alias("end")))
+    count = F.size("entities").cast("long").alias("n_entities")
+    return rows.select(F.col("id").alias("doc_id"), "text", count, places.alias("entities"))
