@@ -125,10 +125,10 @@ def vector_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A frame per kind that there is, put together again."""
     parts = table(spark, sf_dir, "part")
-    kinds = classes.class_dictionary(parts, "p_type").collect()  # one row per class, as many as frames
+    kinds = sorted(r.p_type for r in parts.select("p_type").distinct().collect())  # as many as frames
     frames = [
-        parts.filter(F.col("p_type") == kind.class_name).select("p_partkey", F.lit(kind.class_id).alias("label"))
-        for kind in kinds
+        parts.filter(F.col("p_type") == kind).select("p_partkey", F.lit(i).alias("label"))
+        for i, kind in enumerate(kinds)
     ]
     return classes.union_frames(frames)
 

@@ -59,8 +59,8 @@ def rf_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(SQL_OWN_LABEL)
 def mlp_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The full head of 1,024 hidden units, its width taken from the features; few rounds."""
-    return _fit_and_score(spark, sf_dir, training.perceptron(maxIter=4, rounds=2, blockSize=1024))
+    """The full head of 1,024 hidden units, its width taken from the features; one round."""
+    return _fit_and_score(spark, sf_dir, training.perceptron(maxIter=4, rounds=1))
 
 
 @query(SQL_OWN_LABEL)

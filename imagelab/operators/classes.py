@@ -50,8 +50,7 @@ def cap_bounds(df: DataFrame, class_col: str, key: str, rows: int) -> DataFrame:
     order = [F.col("class").asc_nulls_last(), F.col("last_key").asc_nulls_last()]
     numbered = with_global_index(slim, order)
     begins = numbered.groupBy("class").agg(F.min("idx").alias("begin"))
-    begins = materialise(begins.withColumnRenamed("class", "_class"), "begins")
-    joined = numbered.join(begins, F.col("class").eqNullSafe(F.col("_class")))
+    joined = numbered.join(begins.withColumnRenamed("class", "_class"), F.col("class").eqNullSafe(F.col("_class")))
     cut = joined.filter(F.col("idx") == F.col("begin") + rows - 1)
     return materialise(cut.select("class", F.col("last_key").isNull().alias("no_key"), "last_key"), "bounds")
 
