@@ -9,6 +9,7 @@ from imagelab.functions import columns as fx
 from imagelab.functions.predictors import GridColour, LinearColour
 from imagelab.operators import filters
 from imagelab.operators import images as ops
+from imagelab.operators.classes import spread
 from imagelab.session import delete_on_exit, scratch_path
 from imagelab.sources.images import write_table
 
@@ -223,10 +224,15 @@ def _grid_checksum(rows: DataFrame, features: str) -> DataFrame:
     )
 
 
+def _spread_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The small images over all cores, before they grow."""
+    return spread(images(spark, sf_dir), spark.sparkContext.defaultParallelism, ["vec_id"])
+
+
 @query(_grid_sql(8, 4))
 def resize_224(spark: SparkSession, sf_dir: str) -> DataFrame:
     """8 x 8 to 224 x 224: every block of 28 x 28 pixels has the mean of the pixel it comes from."""
-    resized = ops.resized_table(images(spark, sf_dir), 224, 224, "nearest")
+    resized = ops.resized_table(_spread_images(spark, sf_dir), 224, 224, "nearest")
     means = ops.predict_pixels("pixels", GridColour(8, 4), 224, 224)
     return _grid_checksum(resized.select("vec_id", ops.opened(means)), "scores")
 
@@ -234,7 +240,8 @@ def resize_224(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_grid_sql(4, 8))
 def embed_224(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The default featurizer at its full size."""
-    return _grid_checksum(ops.feature_table(images(spark, sf_dir), ["vec_id"], method="nearest"), "features")
+    features = ops.feature_table(_spread_images(spark, sf_dir), ["vec_id"], method="nearest")
+    return _grid_checksum(features, "features")
 
 
 # Ten fixed colour forms; the scores are whole numbers, so they compare exactly.

@@ -80,6 +80,6 @@ def registry_union(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("/models/"), "event_id").alias("hdfs_path"),
         F.col("ts").alias("created_at"),
     )
-    kinds = ["click", "error", "purchase", "signup", "view"]
+    kinds = sorted(r.model for r in events.select("model").distinct().collect())  # one table for each
     tables = {kind: events.filter(F.col("model") == kind) for kind in kinds}
     return rg.listing(rg.runs_of_tables(tables), ORDER).select("idx", "model", "model_path")
