@@ -41,17 +41,18 @@ BLOCK = frozenset(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 REGIONS = frozenset(("article", "main"))
 NEVER = frozenset(
-    "head script style noscript template nav footer aside form button select textarea iframe object svg canvas "
+    "head title script style noscript template nav footer aside form button select textarea iframe object svg canvas "
     "menu dialog option audio video".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 COMMENTS = r"comments?|comment(?:er|ers|list|form|area)?|repl(?:y|ies)|discussions?|disqus|respond"
 BOILERPLATE = re.compile(
-    r"(?<![a-z])(?:ads?|adverts?|advertis\w*|sponsor\w*|promos?|promotions?|banners?|cookies?|consent|gdpr|notices?|"
+    r"(?<![a-z])(?<!has-)(?<!with-)(?<!no-)(?:ads?|adverts?|advertis\w*|sponsor\w*|promos?|promotions?|banners?|cookies?|consent|gdpr|notices?|"
     r"alerts?|popups?|modals?|overlay|newsletters?|subscri\w*|side-?bars?|widgets?|related|recommend\w*|shar(?:e|ing)|"
-    r"social|nav|navbar|navigation|menus?|breadcrumbs?|header|masthead|footer|forms?|login|signup|search|pagination|"
+    r"social|nav|navbar|navigation|menus?|breadcrumbs?|footer|forms?|login|signup|search|pagination|"
     rf"pager|toolbar|skip|{COMMENTS})(?![a-z])"
 )
+HEADERS = re.compile(r"(?<![a-z])(?<!has-)(?<!with-)(?<!no-)(?:header|masthead)(?![a-z])")
 READERS = re.compile(rf"(?<![a-z])(?:{COMMENTS})(?![a-z])")
 HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 CLOSES_ITSELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",)}
@@ -125,8 +126,8 @@ class _Lines(HTMLParser):
         inside = self._open[-1] if self._open else None
         in_region = any(e.tag in REGIONS for e in self._open)
         in_article = any(e.tag == "article" for e in self._open)
-        skips, only_headings = _never(tag, dict(attrs)), tag == "header"
-        if only_headings and not in_region:
+        skips, only_headings = _never(tag, dict(attrs)), _is_header(tag, dict(attrs))
+        if only_headings and not in_region:  # that of the page; one inside the article has its title
             skips = True
         if inside:
             skips, only_headings = skips or inside.skips, only_headings or inside.only_headings
@@ -155,13 +156,22 @@ class _Lines(HTMLParser):
         self._flush()
 
 
+def _words(attrs: dict[str, str | None]) -> str:
+    return HUMP.sub("-", f"{attrs.get('class') or ''} {attrs.get('id') or ''}").lower()
+
+
+def _is_header(tag: str, attrs: dict[str, str | None]) -> bool:
+    wraps = tag in REGIONS or tag in HEADINGS or tag in ("html", "body")
+    return tag == "header" or bool(attrs) and not wraps and bool(HEADERS.search(_words(attrs)))
+
+
 def _never(tag: str, attrs: dict[str, str | None]) -> bool:
     """Whether an element is never part of the article."""
     if tag in NEVER:
         return True
     if not attrs or tag in ("html", "body"):
         return False
-    words = HUMP.sub("-", f"{attrs.get('class') or ''} {attrs.get('id') or ''}").lower()
+    words = _words(attrs)
     if tag in REGIONS:
         return bool(READERS.search(words))
     hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true"

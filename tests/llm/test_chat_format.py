@@ -61,7 +61,7 @@ def test_contexts_and_masks(spark):
     assert masked == [r"a1 <\/s>", "a2", ""]
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(HOSTILE), max_size=6).map("".join), min_size=1, max_size=8))
 def test_escaping_is_reversible(spark, texts):
     check(spark, [(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(texts)])

@@ -63,6 +63,8 @@ def test_pages_without_article_elements():
         (None, ""), ("", ""), ("<p></p>", ""), ("just text", "just text"), ("<article><p>a<p>b", "a\nb"),
         ("</div></p><article>x</article></article>", "x"), ("<article>a < b &am; &#233; &bogus;</article>", "a < b &am; é &bogus;"),
         ("<article><p>a\n\t b \x0b c</p></article><nav>m", "a b c"), ("<script>let a = '<article>';", ""),
+        ("<title>t</title><div class='content-with-sidebar no-ads'><p>x</p></div>", "x"),
+        ("<div class=page-header><h1>Site</h1></div><article><div class=entry-header><h1>T</h1><p>by</div><p>x</article>", "T\nx"),
         ("<article><h1>T</h1></article>", "T"), ("<div class=ad>x</div>", ""), ("<article>\U0001f600</article>", "\U0001f600"),
     ],
 )
