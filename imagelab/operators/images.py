@@ -87,7 +87,7 @@ def _line_reasons(column: pa.Array, fits: Callable[[np.ndarray], np.ndarray]) ->
     return reasons
 
 
-def _whole_pixels(lengths: np.ndarray) -> np.ndarray:
+def _whole_pixels(lengths: np.ndarray | int) -> np.ndarray | bool:
     return (lengths > 0) & (lengths % 3 == 0)
 
 
@@ -101,7 +101,7 @@ def scaled_floats(pixels: str | Column, scaling: str) -> Column:
         pieces = [
             (rows, px.scale(lines.reshape(len(rows), -1, 3), scaling))
             for rows, lines in px.equal_lines(column)
-            if _whole_pixels(np.array([lines.shape[1]]))[0]
+            if _whole_pixels(lines.shape[1])
         ]
         return _with_reasons(px.float_lists(len(column), pieces), "values", _line_reasons(column, _whole_pixels))
 
@@ -114,7 +114,7 @@ def channel_means(pixels: str | Column) -> Column:
     def run(column: pa.Array) -> pa.Array:
         means = np.full((len(column), 3), np.nan)
         for rows, lines in px.equal_lines(column):
-            if _whole_pixels(np.array([lines.shape[1]]))[0]:
+            if _whole_pixels(lines.shape[1]):
                 means[rows] = lines.reshape(len(rows), -1, 3).mean(axis=1)
         channels = [pa.array(c, from_pandas=True) for c in means.T.copy()]
         reasons = pa.array(_line_reasons(column, _whole_pixels), pa.string())
