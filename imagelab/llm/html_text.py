@@ -2,11 +2,11 @@
 
 The standard library's parser streams its events over the whole page. Text between two block-level
 tags is a line; its text-to-tag ratio is its length over the number of tags met since the line
-before. The ratios are smoothed with a Gaussian and split in two clusters; lines of the upper one
-are content and vote, with their length, for the region of the page that holds the article: the
-marked article elements that have content lines, or else the smallest element that holds nearly
-all of them. All lines of the region are returned, short ones too, except those inside elements
-that are never article text: menus, page headers, footers, sidebars, notices, adverts, forms,
+before. The ratios are smoothed with a Gaussian and their logarithms split in two clusters; lines of
+the upper one are content and vote, with their length, for the region of the page that holds the
+article: the marked article elements, without teasers of other articles, or else the smallest
+container that holds nearly all votes, grown over siblings that are text. All lines of the region
+are returned, short ones too, except those inside elements that are never article text: menus, page headers, footers, sidebars, notices, adverts, forms,
 scripts, styles, reader comments and hidden parts, by element, role, or words of class and id.
 
 Defined results: null and empty pages and pages without text give an empty text; unclosed and stray
@@ -30,7 +30,8 @@ SLICE = 1 << 16
 SIGMA = 1.0
 RADIUS = 3
 NEARLY_ALL = 0.9
-SHARE_OF_LARGEST = 0.25  # marked elements with fewer content characters are teasers of other articles
+SHARE_OF_LARGEST = 0.25  # only marked elements with fewer content characters can be teasers of other articles
+TEASER_LINES = 3  # what a teaser has at most besides its linked title
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCK = frozenset(
@@ -40,6 +41,8 @@ BLOCK = frozenset(
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 REGIONS = frozenset(("article", "main"))
+CONTAINERS = frozenset("html body div section main article center".split())
+LISTS = frozenset("ul ol menu dl table".split())
 NEVER = frozenset(
     "head title script style noscript template nav footer aside form button select textarea iframe object svg canvas "
     "menu dialog option audio video".split()
@@ -62,7 +65,15 @@ CLOSES_ITSELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr":
 class Line:
     text: str
     tags: int
-    path: tuple[int, ...]  # numbers of the open elements, outermost first
+    path: tuple[int, ...]  # numbers of the open elements, outermost first; 0 is the page
+    linked: int = 0  # characters of the text inside links
+
+
+@dataclass
+class Element:
+    tag: str
+    parent: int
+    splits: bool = False  # holds block-level elements
 
 
 @dataclass
@@ -79,6 +90,7 @@ class _Lines(HTMLParser):
 
     lines: list[Line] = field(default_factory=list)
     regions: dict[int, str] = field(default_factory=dict)  # marked elements by number
+    elements: dict[int, Element] = field(default_factory=lambda: {0: Element("html", 0, True)})
 
     def __post_init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -86,14 +98,16 @@ class _Lines(HTMLParser):
         self._numbers = 0
         self._tags = 0
         self._text: list[str] = []
+        self._linked = 0
 
     def _flush(self) -> None:
         if self._text:
             text = " ".join("".join(self._text).split())
             self._text = []
             if text:
-                self.lines.append(Line(text, self._tags, tuple(e.number for e in self._open)))
+                self.lines.append(Line(text, self._tags, (0, *(e.number for e in self._open)), self._linked))
                 self._tags = 0
+            self._linked = 0
 
     def _skipping(self) -> bool:
         if not self._open or not self._open[-1].skips:
@@ -124,6 +138,12 @@ class _Lines(HTMLParser):
             return
         self._numbers += 1
         inside = self._open[-1] if self._open else None
+        self.elements[self._numbers] = Element(tag, inside.number if inside else 0)
+        if tag in BLOCK:
+            for e in reversed(self._open):
+                if self.elements[e.number].splits:
+                    break
+                self.elements[e.number].splits = True
         in_region = any(e.tag in REGIONS for e in self._open)
         in_article = any(e.tag == "article" for e in self._open)
         skips, only_headings = _never(tag, dict(attrs)), _is_header(tag, dict(attrs))
@@ -150,6 +170,8 @@ class _Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self._skipping():
             self._text.append(data)
+            if any(e.tag == "a" for e in self._open):
+                self._linked += len("".join(data.split()))
 
     def finish(self) -> None:
         self.close()
@@ -190,7 +212,7 @@ def tag_ratios(lines: list[Line]) -> np.ndarray:
 
 def upper_cluster(values: np.ndarray) -> np.ndarray:
     """Which values belong to the upper of two clusters, by the threshold half way between their means."""
-    threshold = values.mean()
+    threshold = min(values.mean(), values.max())  # a rounded mean of equal values can exceed them
     for _ in range(20):
         upper = values >= threshold
         if upper.all():
@@ -202,15 +224,85 @@ def upper_cluster(values: np.ndarray) -> np.ndarray:
     return values >= threshold
 
 
+def _mostly_links(lines: list[Line]) -> bool:
+    return 2 * sum(line.linked for line in lines) > sum(len(line.text) - line.text.count(" ") for line in lines)
+
+
+def _is_teaser(lines: list[Line], elements: dict[int, Element]) -> bool:
+    """Whether a marked element is a linked title with a few lines, or a list of links."""
+    titles = [line for line in lines if any(elements[number].tag in HEADINGS for number in line.path)]
+    linked_title = bool(titles) and all(_mostly_links([line]) for line in titles)
+    return _mostly_links(lines) or linked_title and len(lines) - len(titles) <= TEASER_LINES
+
+
+@dataclass
+class _Child:
+    """Lines in one child element of a parent, or one line of its own."""
+
+    tag: str
+    number: int | None
+    at: list[int]
+
+
+def _children(parent: int, lines: list[Line], elements: dict[int, Element]) -> list[_Child]:
+    found: list[_Child] = []
+    for at, line in enumerate(lines):
+        if parent in line.path:
+            child = next(iter(line.path[line.path.index(parent) + 1 :]), None)
+            if child is not None and found and found[-1].number == child:
+                found[-1].at.append(at)
+            else:
+                found.append(_Child(elements[child].tag if child is not None else "p", child, [at]))
+    return found
+
+
+def _voted_region(lines: list[Line], content: np.ndarray, votes: dict[int, int], elements: dict[int, Element]) -> list[int]:
+    """Places of the lines of the innermost container with nearly all votes, and of siblings that are text."""
+
+    def links(child: _Child) -> bool:
+        return _mostly_links([lines[at] for at in child.at])
+
+    def is_text(child: _Child) -> bool:
+        voting = sum(len(lines[at].text) for at in child.at if content[at])
+        return 2 * voting >= sum(len(lines[at].text) for at in child.at) and not links(child)
+
+    total = votes[0]
+    # elements are numbered as they open, so the last one is the innermost; one without blocks in it is a paragraph
+    region = max(n for n, found in votes.items() if found >= NEARLY_ALL * total and elements[n].tag in CONTAINERS and elements[n].splits)
+    inside = _children(region, lines, elements)
+    text = [i for i, child in enumerate(inside) if any(content[at] for at in child.at)]
+    menus = [
+        i for i, child in enumerate(inside)
+        if not text[0] <= i <= text[-1] and child.tag in CONTAINERS | LISTS and links(child)
+    ]
+    chosen = {at for i, child in enumerate(inside) if i not in menus for at in child.at}
+    own = True  # whether the siblings are those of the region itself
+    while region and elements[region].tag != "body":
+        parent = elements[region].parent
+        around = _children(parent, lines, elements)
+        holds = [i for i, child in enumerate(around) if child.number == region]
+        text = [i for i, child in enumerate(around) if is_text(child)] + holds
+        first, last = min(text), max(text)
+        while first and not links(around[first - 1]) and (around[first - 1].tag in HEADINGS or own and around[first - 1].tag == "p"):
+            first -= 1
+        while own and last + 1 < len(around) and around[last + 1].tag == "p" and not links(around[last + 1]):
+            last += 1
+        for i in range(first, last + 1):
+            if i not in holds and not links(around[i]):
+                chosen.update(around[i].at)
+        region, own = parent, False
+    return sorted(chosen)
+
+
 def article_lines(page: str) -> list[str]:
     parser = _Lines()
     for at in range(0, len(page), SLICE):
         parser.feed(page[at : at + SLICE])
     parser.finish()
-    lines = parser.lines
+    lines, elements = parser.lines, parser.elements
     if not lines:
         return []
-    content = upper_cluster(tag_ratios(lines))
+    content = upper_cluster(np.log1p(tag_ratios(lines)))
     votes: dict[int, int] = {}
     for line, counts in zip(lines, content):
         if counts:
@@ -221,14 +313,12 @@ def article_lines(page: str) -> list[str]:
         marked = {number: votes.get(number, 0) for number, of in parser.regions.items() if of == tag and number in used}
         if marked:
             least = max(marked.values()) * SHARE_OF_LARGEST
-            chosen = {number for number, found in marked.items() if found >= least}
+            chosen = {
+                number for number, found in marked.items()
+                if found >= least or not _is_teaser([line for line in lines if number in line.path], elements)
+            }
             return [line.text for line in lines if not chosen.isdisjoint(line.path)]
-    total = sum(len(line.text) for line, counts in zip(lines, content) if counts)
-    holding = [number for number, found in votes.items() if found >= NEARLY_ALL * total]
-    region = max(holding, default=None)  # elements are numbered as they open: the last one is the innermost
-    within = [at for at, line in enumerate(lines) if region is None or region in line.path]
-    voted = [at for at in within if content[at]]
-    return [lines[at].text for at in within if voted[0] <= at <= voted[-1] or len(lines[at].text) >= lines[at].tags * 20]
+    return [lines[at].text for at in _voted_region(lines, content, votes, elements)]
 
 
 def main_text(page: str | None) -> str:

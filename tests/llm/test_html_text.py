@@ -57,6 +57,39 @@ def test_pages_without_article_elements():
     assert not any("link" in line for line in lines)
 
 
+@pytest.mark.parametrize("outlier", [1000, 3000, 6000, 60_000])
+@pytest.mark.parametrize("tag", ["p", "div", "li"])
+def test_outlier_paragraph_and_short_lines(outlier, tag):
+    texts = [(LONG * 3)[: 120 + 15 * i] + f"{i}." for i in range(13)]
+    texts.insert(6, (LONG * 1000)[:outlier] + "x.")
+    texts = ["Title", "By someone", *texts, "End."]
+    blocks = "".join(f"<{tag}>{t}</{tag}>" for t in texts[1:])
+    links = "".join(f"<li><a href=/{i}>link {i}</a></li>" for i in range(20))
+    menu = f"<div><ul>{links}</ul></div>"
+    for page in (
+        f"<body><h1>Title</h1>{blocks}</body>",
+        f"<body>{menu}<div><h1>Title</h1>{blocks}</div>{menu}</body>",
+        f"<body>{menu}<h1>Title</h1><div>{blocks}</div>{menu}</body>",
+        f"{menu}<h1>Title</h1>{blocks}{menu}",
+    ):
+        assert html_text.article_lines(page) == texts
+
+
+def test_siblings_of_the_region_are_text_too():
+    parts = [f"<div><h2>Part {i}</h2>{f'<p>{LONG * n}</p>' * 2}</div>" for i, n in enumerate((1, 40, 1))]
+    menu = "<div>" + "".join(f"<p><a href=/{i}>A longer link to page {i}</a></p>" for i in range(9)) + "</div>"
+    got = html_text.article_lines(f"<body>{menu}<div><h1>Title</h1>{''.join(parts)}</div>{menu}</body>")
+    assert [line for line in got if len(line) < 20] == ["Title", "Part 0", "Part 1", "Part 2"] and len(got) == 10
+    assert not any("link" in line for line in got)
+
+
+def test_several_articles():
+    first, second = f"<h2>One</h2>{f'<p>{LONG * 20}</p>' * 3}", f"<h2>Two</h2>{f'<p>{LONG}</p>' * 3}<p>End.</p>"
+    teaser = "<article><h3><a href=/x>Another article</a></h3><p>In short.</p></article>"
+    got = html_text.article_lines(f"<main><article>{first}</article><article>{second}</article>{teaser}</main>")
+    assert [line for line in got if len(line) < 20] == ["One", "Two", "End."] and len(got) == 9
+
+
 @pytest.mark.parametrize(
     "page,text",
     [
