@@ -6,8 +6,11 @@ before. The ratios are smoothed with a Gaussian and their logarithms split in tw
 the upper one are content and vote, with their length, for the region of the page that holds the
 article: the marked article elements, without teasers of other articles, or else the smallest
 container that holds nearly all votes, grown over siblings that are text. All lines of the region
-are returned, short ones too, except those inside elements that are never article text: menus, page headers, footers, sidebars, notices, adverts, forms,
-scripts, styles, reader comments and hidden parts, by element, role, or words of class and id.
+are returned, short ones too, except those inside elements that are never article text:
+menus, page headers, footers, sidebars, adverts, forms, scripts, styles, reader comments and hidden
+parts, by element, role, or unambiguous words of the class. Words that also name parts of articles
+(discussion, related, search ...), and unambiguous ones that are only in an id, leave out a block
+only if its own ratio is in the lower cluster. Headings and what is in them never go by words.
 
 Defined results: null and empty pages and pages without text give an empty text; unclosed and stray
 tags are tolerated; repeated rows give equal texts; other columns are not touched.
@@ -48,15 +51,21 @@ NEVER = frozenset(
     "menu dialog option audio video".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
-COMMENTS = r"comments?|comment(?:er|ers|list|form|area)?|repl(?:y|ies)|discussions?|disqus|respond"
+NOT_WITH = r"(?<![a-z])(?<!has-)(?<!with-)(?<!no-)"
+COMMENTS = r"comments?|comment(?:er|ers|list|form|area)|disqus"
+READERS = re.compile(rf"{NOT_WITH}(?:{COMMENTS})(?![a-z])(?!-(?:open|opened|closed|status|count|enabled|disabled))")
+# Words that only name what is around articles.
 BOILERPLATE = re.compile(
-    r"(?<![a-z])(?<!has-)(?<!with-)(?<!no-)(?:ads?|adverts?|advertis\w*|sponsor\w*|promos?|promotions?|banners?|cookies?|consent|gdpr|notices?|"
-    r"alerts?|popups?|modals?|overlay|newsletters?|subscri\w*|side-?bars?|widgets?|related|recommend\w*|shar(?:e|ing)|"
-    r"social|nav|navbar|navigation|menus?|breadcrumbs?|footer|forms?|login|signup|search|pagination|"
-    rf"pager|toolbar|skip|{COMMENTS})(?![a-z])"
+    NOT_WITH + r"(?:ads?|adverts?|advertis\w*|sponsor\w*|promos?|(?:ad|top|cookie|page|site)-?banners?|"
+    r"cookie-?(?:notice|consent|bar|banner|policy|popup)s?|gdpr|popups?|modals?|newsletters?|side-?bars?|nav|navbar|navigation|"
+    r"breadcrumbs?|footer|pagination|pager|toolbar|skip-(?:link|nav|to)\w*|(?:share|social|search|login|signup)-?(?:bar|box|buttons?|icons?|links|form))(?![a-z])"
 )
-HEADERS = re.compile(r"(?<![a-z])(?<!has-)(?<!with-)(?<!no-)(?:header|masthead)(?![a-z])")
-READERS = re.compile(rf"(?<![a-z])(?:{COMMENTS})(?![a-z])")
+# Words that name what is around articles, and parts of articles too.
+AMBIGUOUS = re.compile(
+    NOT_WITH + r"(?:banners?|cookies?|consent|notices?|promotions?|alerts?|overlay|subscri\w*|widgets?|related|recommend\w*|shar(?:e|ing)|social|menus?|"
+    r"forms?|login|signup|search|skip|repl(?:y|ies)|discussions?|respond)(?![a-z])"
+)
+HEADERS = re.compile(rf"{NOT_WITH}(?:header|masthead)(?![a-z])")
 HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 CLOSES_ITSELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",)}
 
@@ -74,6 +83,7 @@ class Element:
     tag: str
     parent: int
     splits: bool = False  # holds block-level elements
+    suspect: bool = False  # left out if its ratio is in the lower cluster
 
 
 @dataclass
@@ -147,6 +157,10 @@ class _Lines(HTMLParser):
         in_region = any(e.tag in REGIONS for e in self._open)
         in_article = any(e.tag == "article" for e in self._open)
         skips, only_headings = _never(tag, dict(attrs)), _is_header(tag, dict(attrs))
+        in_heading = tag in HEADINGS or any(e.tag in HEADINGS for e in self._open)
+        if not skips and not in_heading:
+            skips = _named_boilerplate(tag, dict(attrs))
+            self.elements[self._numbers].suspect = not skips and _suspect(tag, dict(attrs), in_region)
         if only_headings and not in_region:  # that of the page; one inside the article has its title
             skips = True
         if inside:
@@ -178,27 +192,40 @@ class _Lines(HTMLParser):
         self._flush()
 
 
-def _words(attrs: dict[str, str | None]) -> str:
-    return HUMP.sub("-", f"{attrs.get('class') or ''} {attrs.get('id') or ''}").lower()
+def _words(value: str | None) -> str:
+    return HUMP.sub("-", value or "").lower()
 
 
 def _is_header(tag: str, attrs: dict[str, str | None]) -> bool:
-    wraps = tag in REGIONS or tag in HEADINGS or tag in ("html", "body")
-    return tag == "header" or bool(attrs) and not wraps and bool(HEADERS.search(_words(attrs)))
+    return tag == "header" or tag in CONTAINERS - REGIONS - {"html", "body"} and bool(HEADERS.search(_words(attrs.get("class"))))
 
 
 def _never(tag: str, attrs: dict[str, str | None]) -> bool:
-    """Whether an element is never part of the article."""
+    """Whether an element is never part of the article, by its tag, role or being hidden."""
     if tag in NEVER:
         return True
-    if not attrs or tag in ("html", "body"):
+    if not attrs or tag in REGIONS or tag in ("html", "body"):
         return False
-    words = _words(attrs)
-    if tag in REGIONS:
-        return bool(READERS.search(words))
     hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true"
     hidden = hidden or "display:none" in (attrs.get("style") or "").replace(" ", "").lower()
-    return hidden or (attrs.get("role") or "").lower() in ROLES or bool(BOILERPLATE.search(words))
+    return hidden or (attrs.get("role") or "").lower() in ROLES
+
+
+def _named_boilerplate(tag: str, attrs: dict[str, str | None]) -> bool:
+    """Whether the class says that an element is not part of the article."""
+    words = _words(attrs.get("class"))
+    if not words or tag in ("html", "body"):
+        return False
+    return bool(READERS.search(words)) or tag not in REGIONS and bool(BOILERPLATE.search(words))
+
+
+def _suspect(tag: str, attrs: dict[str, str | None], in_region: bool) -> bool:
+    """Whether words of a block only hint that it is not part of the article."""
+    if not attrs or tag not in BLOCK or tag in REGIONS or tag in ("html", "body"):
+        return False
+    of_class, of_id = _words(attrs.get("class")), _words(attrs.get("id"))
+    by_id = BOILERPLATE.search(of_id) or READERS.search(of_id) or not in_region and HEADERS.search(of_id)
+    return bool(by_id or AMBIGUOUS.search(of_class))
 
 
 def tag_ratios(lines: list[Line]) -> np.ndarray:
@@ -210,8 +237,8 @@ def tag_ratios(lines: list[Line]) -> np.ndarray:
     return np.convolve(ratios, kernel, "full")[RADIUS:-RADIUS] / weight
 
 
-def upper_cluster(values: np.ndarray) -> np.ndarray:
-    """Which values belong to the upper of two clusters, by the threshold half way between their means."""
+def cluster_threshold(values: np.ndarray) -> float:
+    """What separates two clusters of values: the point half way between their means."""
     threshold = min(values.mean(), values.max())  # a rounded mean of equal values can exceed them
     for _ in range(20):
         upper = values >= threshold
@@ -221,7 +248,21 @@ def upper_cluster(values: np.ndarray) -> np.ndarray:
         if math.isclose(moved, threshold):
             break
         threshold = moved
-    return values >= threshold
+    return threshold
+
+
+def _without_suspects(lines: list[Line], elements: dict[int, Element], threshold: float) -> list[int]:
+    """Places of the lines outside suspect blocks whose own ratio is below the threshold."""
+    within: dict[int, list[Line]] = {}
+    for line in lines:
+        for number in line.path:
+            if elements[number].suspect:
+                within.setdefault(number, []).append(line)
+    low = {
+        number for number, own in within.items()
+        if np.log1p(sum(len(line.text) for line in own) / max(1, sum(line.tags for line in own))) < threshold
+    }
+    return [at for at, line in enumerate(lines) if low.isdisjoint(line.path)]
 
 
 def _mostly_links(lines: list[Line]) -> bool:
@@ -302,7 +343,13 @@ def article_lines(page: str) -> list[str]:
     lines, elements = parser.lines, parser.elements
     if not lines:
         return []
-    content = upper_cluster(np.log1p(tag_ratios(lines)))
+    ratios = np.log1p(tag_ratios(lines))
+    threshold = cluster_threshold(ratios)
+    stay = _without_suspects(lines, elements, threshold)
+    if not stay:
+        return []
+    lines, ratios = [lines[at] for at in stay], ratios[stay]
+    content = ratios >= min(threshold, ratios.max())
     votes: dict[int, int] = {}
     for line, counts in zip(lines, content):
         if counts:

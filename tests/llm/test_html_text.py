@@ -83,6 +83,24 @@ def test_siblings_of_the_region_are_text_too():
     assert not any("link" in line for line in got)
 
 
+@pytest.mark.parametrize("word", "social search form forms related share consent notice promotion discussion reply respond subscribers alert".split())
+def test_words_of_boilerplate_in_articles(word):
+    page = f"""<article><h1 class="{word}">Title</h1><p>{LONG}</p>
+    <section id="{word}"><h2 id="{word}">Short</h2><p>None.</p></section><section class="{word}"><h2>Long</h2><p>{LONG}</p></section>
+    <h2><span class="mw-headline" id="{word}_structure">Span</span></h2><p id="{word}">Said in <span class="{word}">short</span>.</p></article>"""
+    long = " ".join(LONG.split())
+    assert html_text.article_lines(page) == ["Title", long, "Short", "None.", "Long", long, "Span", "Said in short."]
+
+
+def test_listed_blocks_of_low_ratio_are_left_out():
+    links = "".join(f"<li><a href=/{i}>link {i}</a></li>" for i in range(4))
+    body = f"<h1>Title</h1><p>{LONG}</p>" * 2
+    for block in ('class="related"', 'class="social"', 'id="sidebar"', 'class="share-buttons"', 'role="search"'):
+        for page in (f"<article>{body}<div {block}><ul>{links}</ul></div><p>{LONG}</p></article>",):
+            got = html_text.article_lines(page)
+            assert len(got) == 5 and not any("link" in line for line in got)
+
+
 def test_several_articles():
     first, second = f"<h2>One</h2>{f'<p>{LONG * 20}</p>' * 3}", f"<h2>Two</h2>{f'<p>{LONG}</p>' * 3}<p>End.</p>"
     teaser = "<article><h3><a href=/x>Another article</a></h3><p>In short.</p></article>"
