@@ -4,18 +4,22 @@ Detected entities are e-mail addresses, phone, card, account and social security
 addresses, secrets, and names after a title or beginning with a common given name. A surrogate is
 the image of the entity under a keyed permutation of all values of the same shape: digits stay
 digits, vowels and consonants of a script stay what they are, upper case stays upper case, octets
-stay octets, a valid check digit stays valid, and a given name becomes another one of its gender
-and script. The permutation has no fixed points. So one entity has one surrogate in the whole
-corpus, two entities never share one, nothing is looked up and no text moves.
+stay octets, a valid check digit stays valid, and a listed given name becomes another one of its list,
+all others being permuted without the listed ones. The permutation has no fixed points. So one
+entity has one surrogate in the whole corpus, two names never share one, nothing is looked up and
+no text moves.
 
-That two originals share no surrogate is checked over all entities, by keyed fingerprints; should
-one be shared, the whole table is made again with the next derived key.
+That two originals share no surrogate is checked over all entities, by keyed fingerprints. It can
+happen where notation decides the shape: +1 017... and +10 17... read the same. Then the whole table
+is made again with the next derived key, and what still clashes with the last one is re-keyed alone
+until nothing does.
 
 Defined results: null texts stay null; texts without entities stay as they are; repeated rows and
 equal entities, in whatever notation, get equal surrogates; an empty table gives no rows.
 """
 
 import hashlib
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -31,11 +35,12 @@ from imagelab.session import materialise, ship_package
 
 ROUNDS = 8
 ATTEMPTS = 3
+REKEYS = 100  # rounds of re-keying what clashes; more are only used up when a shape has no free values
 
 # Letters of the scripts by class; a letter only ever becomes one of its class.
 ALPHABETS = (
     "aeiou", "bcdfghjklmnpqrstvwxyz", "àáâãäåæèéêëìíîïòóôõöøùúûüýÿœ", "çñßðþłšžćčń",
-    "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρσςτφχψ", "άέήίόύώ",
+    "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "άέήίόύώ",
 )
 # Common given names by script and gender.
 GIVEN_NAMES = (
@@ -114,7 +119,7 @@ class Surrogates:
         """Another tuple of the same mixed radices: one cycle through all of them, in keyed order.
 
         A Feistel network with additions modulo the sizes of both halves numbers the tuples; the
-        image of a tuple is the one a keyed step further.
+        image of a tuple is the one a keyed step further, which has no divisor in common with their number.
         """
         half = len(radices) // 2
         sizes = [_product(radices[:half]), _product(radices[half:])]
@@ -126,7 +131,10 @@ class Surrogates:
         for turn in range(ROUNDS):
             side = turn % 2
             sides[side] = (sides[side] + self._random(shape, turn, sides[1 - side])) % sizes[side]
-        at = (sides[0] * sizes[1] + sides[1] + 1 + self._random(shape, "step") % (total - 1)) % total
+        step = 1 + self._random(shape, "step") % (total - 1)
+        while math.gcd(step, total) > 1:
+            step = step % (total - 1) + 1
+        at = (sides[0] * sizes[1] + sides[1] + step) % total
         sides = list(divmod(at, sizes[1]))
         for turn in reversed(range(ROUNDS)):
             side = turn % 2
@@ -209,19 +217,33 @@ class Surrogates:
         return text, self.shaped(text, "secret")
 
     def _person(self, text: str) -> tuple[str, str]:
-        canonical = unicodedata.normalize("NFC", text).lower()
+        text = unicodedata.normalize("NFC", text)
+        canonical = _folded_name(text)
         words = [self._name(word, first=at == 0) for at, word in enumerate(canonical.split(" "))]
-        whole = " ".join(words)
+        whole = re.sub(r"σ\b", "ς", " ".join(words))
         return canonical, _cased(whole, text) if len(whole) == len(text) else whole.title()
 
     def _name(self, word: str, first: bool) -> str:
         names = _LIST_OF.get(word) if first else None
         if names is None:
-            return self.shaped(word, "name")
+            image = self.shaped(word, "name")
+            while first and image in _LIST_OF:  # so it is a permutation of the unlisted words
+                image = self.shaped(image, "name")
+            return image
         order = sorted(names, key=lambda n: self._random("given", names[0], n))
         return order[(order.index(word) + 1) % len(order)]
 
 
+    def again(self, turn: int) -> "Surrogates":
+        """Other permutations, derived from the same key."""
+        return Surrogates(self._key + b"#%d" % turn)
+
+
+def _folded_name(text: str) -> str:
+    """Lower case, with one letter for both forms of the small sigma, which are one in upper case."""
+    return text.lower().replace("ς", "σ")
+
+
 def _product(radices: list[int]) -> int:
     total = 1
     for radix in radices:
@@ -260,15 +282,22 @@ def _refilled(text: str, image: str) -> str:
     return "".join(next(fill) if c.isalnum() else c for c in text)
 
 
-def replaced(text: str, surrogates: Surrogates) -> tuple[str, list[dict]]:
-    """(text with surrogates, entities as kind, place in the new text, fingerprint of the original)."""
+def replaced(text: str, surrogates: Surrogates, turns: dict[tuple[str, int], int] | None = None) -> tuple[str, list[dict]]:
+    """(text with surrogates, entities as kind, place in the new text, fingerprint of the original).
+
+    `turns` says by kind and fingerprint which originals are re-keyed, and how often.
+    """
     parts, entities, at, length = [], [], 0, 0
     for e in detect(text):
         canonical, image = surrogates.of(e.kind, text[e.start : e.end])
+        original = surrogates.fingerprint(e.kind, canonical)
+        turn = turns.get((e.kind, original), 0) if turns else 0
+        if turn:
+            _, image = surrogates.again(turn).of(e.kind, text[e.start : e.end])
         parts += [text[at : e.start], image]
         length += e.start - at
         entities.append({
-            "kind": e.kind, "start": length, "end": length + len(image), "original": surrogates.fingerprint(e.kind, canonical),
+            "kind": e.kind, "start": length, "end": length + len(image), "original": original,
             "surrogate": surrogates.fingerprint(e.kind, surrogates_canonical(e.kind, image)),
         })
         length += len(image)
@@ -278,8 +307,10 @@ def replaced(text: str, surrogates: Surrogates) -> tuple[str, list[dict]]:
 
 def surrogates_canonical(kind: str, image: str) -> str:
     """What makes two surrogates the same to a reader: letter case and separators do not tell them apart."""
-    folded = image.lower() if kind in ("email", "person") or re.fullmatch("[0-9a-fA-F]+", image) else image
-    return folded if kind in ("email", "person", "secret", "ip") else "".join(c for c in folded if c.isalnum() or c == "+")
+    if kind == "person":
+        return _folded_name(image)
+    folded = image.lower() if kind == "email" or re.fullmatch("[0-9a-fA-F]+", image) else image
+    return folded if kind in ("email", "secret", "ip") else "".join(c for c in folded if c.isalnum() or c == "+")
 
 
 _ENTITY = T.StructType([
@@ -292,7 +323,7 @@ _ARROW = pa.struct([
 ])
 
 
-def _replacing(key: bytes):
+def _replacing(key: bytes, turns: dict[tuple[str, int], int] | None = None):
     @F.arrow_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("entities", T.ArrayType(_ENTITY))]))
     def replace(texts: pa.Array) -> pa.Array:
         surrogates = Surrogates(key)
@@ -300,7 +331,7 @@ def _replacing(key: bytes):
         def rows() -> Iterator[dict]:
             for text in texts:
                 value = text.as_py()
-                new, entities = replaced(value, surrogates) if value is not None else (None, [])
+                new, entities = replaced(value, surrogates, turns) if value is not None else (None, [])
                 yield {"text": new, "entities": entities}
 
         return pa.array(list(rows()), _ARROW)
@@ -308,20 +339,39 @@ def _replacing(key: bytes):
     return replace
 
 
+def _pairs(replaced_rows: DataFrame) -> DataFrame:
+    return replaced_rows.select(F.explode("entities").alias("e")).select("e.kind", "e.original", "e.surrogate").distinct()
+
+
 def collisions(replaced_rows: DataFrame) -> DataFrame:
     """(kind, surrogate): surrogates that stand for more than one original."""
-    pairs = replaced_rows.select(F.explode("entities").alias("e")).select("e.kind", "e.original", "e.surrogate").distinct()
-    return pairs.groupBy("kind", "surrogate").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    return _pairs(replaced_rows).groupBy("kind", "surrogate").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+
+
+def _clashing(replaced_rows: DataFrame) -> list[tuple[str, int]]:
+    """(kind, original) of all that share a surrogate, but for the smallest of each."""
+    sharing = _pairs(replaced_rows).groupBy("kind", "surrogate").agg(F.sort_array(F.collect_set("original")).alias("all"))
+    later = sharing.filter("size(all) > 1").select("kind", F.explode(F.slice("all", 2, F.size("all"))).alias("original"))
+    return [(r["kind"], r["original"]) for r in later.distinct().collect()]
 
 
 def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text, entities), one row for each row of `df`, written; no surrogate stands for two originals."""
     ship_package(df.sparkSession)
+
+    def made(udf) -> DataFrame:
+        opened = df.select(col(id_col).alias("id"), F.inline(F.array(udf(col(text_col).cast("string")))))
+        return materialise(opened, "surrogates")
+
     for attempt in range(ATTEMPTS):
-        udf = _replacing(key + b"#%d" % attempt)
-        struct = udf(col(text_col).cast("string"))
-        opened = df.select(col(id_col).alias("id"), F.inline(F.array(struct)))
-        rows = materialise(opened, "surrogates")
+        rows = made(_replacing(key + b"#%d" % attempt))
+        if collisions(rows).isEmpty():
+            return rows
+    turns: dict[tuple[str, int], int] = {}
+    for _ in range(REKEYS):
+        for entity in _clashing(rows):  # few: names, addresses and numbers of one notation never clash
+            turns[entity] = turns.get(entity, 0) + 1
+        rows = made(_replacing(key + b"#%d" % attempt, turns))
         if collisions(rows).isEmpty():
             return rows
-    raise RuntimeError(f"{ATTEMPTS} keys in a row gave one surrogate to two originals")
+    raise RuntimeError(f"some surrogates still stand for two originals after {REKEYS} rounds")

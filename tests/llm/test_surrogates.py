@@ -98,6 +98,40 @@ def test_given_names_keep_gender_and_script():
         assert sorted(images) == sorted(names) and all(a != b for a, b in zip(images, names))
 
 
+def test_first_names_are_one_to_one():
+    """All words of the shape of Hans, Karl and Mary, and all listed names."""
+    consonants, vowels = sg.ALPHABETS[1], sg.ALPHABETS[0]
+    words = {"".join(w) for w in itertools.product(consonants, vowels, consonants, consonants)} | set(sg._LIST_OF)
+    images = {w: KEY._name(w, first=True) for w in words}
+    assert len(set(images.values())) == len(words)
+    assert all(w != i and (w in sg._LIST_OF) == (i in sg._LIST_OF) for w, i in images.items())
+
+
+def test_permutations_have_one_cycle_only():
+    for name in range(20):
+        at, seen = [0, 0], 0
+        while at != [0, 0] or not seen:
+            at, seen = KEY.permuted(at, [6, 10], f"{name}"), seen + 1
+        assert seen == 60
+
+
+def test_both_small_sigmas_are_one_letter():
+    names = ["ΣΟΦΟΣ", "Σοφος", "Σοφοσ", "σοφος".capitalize()]
+    assert len({KEY.of("person", n)[0] for n in names}) == len({sg.surrogates_canonical("person", KEY.of("person", n)[1]) for n in names}) == 1
+    words = ["".join(w) for w in itertools.product("βσδ", "αο", "βσδ", "αο", "βσδ")]
+    assert len({sg.surrogates_canonical("person", KEY.of("person", w.upper())[1]) for w in words}) == len(words)
+
+
+def test_what_clashes_under_every_key_is_rekeyed_alone(spark):
+    """Numbers that read the same with their country code cut elsewhere."""
+    phones = [f"+1 {i:05}" for i in range(20_000, 21_000)] + [f"+10 {i:04}" for i in range(3000, 4000)]
+    phones = [p[:-2] + " " + p[-2:] for p in phones]
+    df = spark.createDataFrame([(1, ", ".join(phones)), (2, ", ".join(phones[::7]))], SCHEMA)
+    first, second = (r["text"].split(", ") for r in sg.replace_entities(df, b"k").orderBy("id").collect())
+    assert len({p.replace(" ", "") for p in first}) == len(phones) and second == first[::7]
+    assert all(a != b and shape(a) == shape(b) and a.split()[0] == b.split()[0] for a, b in zip(phones, first))
+
+
 def test_coreference_in_other_notation():
     assert KEY.of("card", "4111 1111 1111 1111")[1].replace(" ", "") == KEY.of("card", "4111111111111111")[1]
     assert KEY.of("email", "JO@MAIL.ORG")[1].lower() == KEY.of("email", "jo@mail.org")[1]
