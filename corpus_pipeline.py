@@ -33,7 +33,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): the mix in sequences of tokens."""
-    return pack_documents(docs).withColumnRenamed("id", "doc_id")
+    return pack_documents(docs, added_tokens=True).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

@@ -40,8 +40,8 @@ Pattern = tuple[int, tuple[int, ...]]  # how many sequences, lengths of their pi
 
 
 @lru_cache(maxsize=4)
-def _encoder(vocabulary: str, ranks: str | None):
-    """text -> array of ids.
+def _encoder(vocabulary: str, ranks: str | None, added_tokens: bool):
+    """text -> array of ids; with `added_tokens`, the added tokens of the file are found in texts, as it does by default.
 
     `ranks` is the same vocabulary for a faster library; texts in Latin script go through it and
     all others through the reference tokenizer.
@@ -49,7 +49,9 @@ def _encoder(vocabulary: str, ranks: str | None):
     from tokenizers import Tokenizer
 
     reference = Tokenizer.from_file(vocabulary)
-    reference.encode_special_tokens = True  # control strings in texts are ordinary text
+    reference.encode_special_tokens = not added_tokens  # else control strings in texts are ordinary text
+    # the faster library knows no added tokens
+    added = [t.content for t in reference.get_added_tokens_decoder().values() if added_tokens or not t.special]
 
     def slow(text: str) -> np.ndarray:
         return np.array(reference.encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -66,7 +68,7 @@ def _encoder(vocabulary: str, ranks: str | None):
     fast = tiktoken.Encoding("same", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
 
     def encode(text: str) -> np.ndarray:
-        if text.isascii() or ord(max(text)) <= LAST_PLAIN:
+        if (text.isascii() or ord(max(text)) <= LAST_PLAIN) and not any(token in text for token in added):
             return np.array(fast.encode_ordinary(text), dtype="<u4")
         return slow(text)
 
@@ -87,9 +89,13 @@ def token_pieces(
     vocabulary: str | None = None,
     ranks: str | None = None,
     with_ids: bool = False,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """(id, piece, start, length, ids_crc32, part, nth), written; with `with_ids` also `ids`.
 
+    `added_tokens`: texts that contain an added token of the file, such as <|endoftext|>, get its id
+    there, as from an untouched tokenizer; otherwise it is ordinary text.
+
     `nth` counts the pieces of one length inside the task `part`.
     """
     ship_package(df.sparkSession)
@@ -105,7 +111,7 @@ def token_pieces(
         fields.append(("ids", T.ArrayType(T.LongType())))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(vocabulary, ranks)
+        encode = _encoder(vocabulary, ranks, added_tokens)
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:

@@ -106,7 +106,7 @@ def op5_chat_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack_documents(table(spark, sf_dir, "documents"))
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), added_tokens=True)
     return packed.withColumnRenamed("id", "doc_id")
 
 

@@ -62,6 +62,19 @@ def test_ids_are_those_of_the_tokenizer(spark, tokenizer):
     assert got == {r["doc_id"]: [*tokenizer.encode(r["text"], add_special_tokens=False).ids, 0] for r in df.collect()}
 
 
+def test_added_tokens_get_their_id_in_query_and_pipeline(spark, tmp_path):
+    """Against a tokenizer with no setting touched."""
+    import corpus_pipeline
+
+    texts = {1: "a <|endoftext|> b", 2: "<|endoftext|>", 3: "да <|endoftext|><|endoftext|>", 4: "<|endoftext |>", 5: "plain é", 6: None}
+    untouched = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert untouched.encode(texts[1], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    df = spark.createDataFrame(list(texts.items()), SCHEMA)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    check(QUERIES["op8_best_fit_packing"](spark, str(tmp_path)).collect(), texts, untouched, 2048)
+    check(corpus_pipeline.packing(spark, df, str(tmp_path)).collect(), texts, untouched, 2048)
+
+
 def test_repeated_rows_and_empty_table(spark):
     df = spark.createDataFrame([(1, "same text here")] * 5, SCHEMA)
     packed = packing.pack_documents(df, capacity=8).collect()
