@@ -116,6 +116,13 @@ def _best(ids: np.ndarray, scores: np.ndarray, top: int) -> tuple[np.ndarray, np
     return ids, scores
 
 
+def _dealt(vectors: DataFrame, shards: int, blocks: int) -> DataFrame:
+    """(id, vector, shard, block): by the written row number, so that rows of one id spread too."""
+    number = F.xxhash64("row")
+    shard, block = F.pmod(number, F.lit(shards)), F.pmod(F.shiftright(number, 20), F.lit(blocks))
+    return vectors.select("id", "vector", shard.cast("int").alias("shard"), block.cast("int").alias("block"))
+
+
 def top_k(
     df: DataFrame,
     is_query,
@@ -134,19 +141,17 @@ def top_k(
     usable = F.forall(F.col("vector"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     vectors = df.select(col(id_col).cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("vector"))
     vectors = vectors.filter(F.col("id").isNotNull() & F.coalesce(usable, F.lit(False)))
-    vectors = vectors.select("id", quantised("vector", factor).alias("vector"))
+    vectors = vectors.select("id", quantised("vector", factor).alias("vector"), F.monotonically_increasing_id().alias("row"))
     vectors = materialise(vectors, "vectors")
     counts = vectors.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     shards, blocks = -(-counts[0] // shard_rows) or 1, -(-counts[1] // query_rows) or 1
     # small tables: more and smaller shards, so that every core has a cell
     shards = max(shards, min(-(-counts[0] // 512) or 1, -(-2 * df.sparkSession.sparkContext.defaultParallelism // blocks)))
-    placed = vectors.select("id", "vector", F.xxhash64("id").alias("hash"))
+    placed = _dealt(vectors, shards, blocks)
     all_blocks = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     all_shards = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
-    own_shard = F.pmod("hash", F.lit(shards)).cast("int")
-    own_block = F.pmod(F.shiftright("hash", 20), F.lit(blocks)).cast("int")
-    candidates = placed.select("id", "vector", own_shard.alias("shard")).withColumn("block", all_blocks)
-    asked = placed.filter(is_query).select("id", "vector", own_block.alias("block")).withColumn("shard", all_shards)
+    candidates = placed.select("id", "vector", "shard").withColumn("block", all_blocks)
+    asked = placed.filter(is_query).select("id", "vector", "block").withColumn("shard", all_shards)
 
     def cell(questions: pa.Table, rows: pa.Table) -> pa.Table:
         out = {"query_id": [], "id": [], "score": []}

@@ -70,3 +70,17 @@ def test_max_score_probes_fewer_terms_than_all():
         scores = vectors @ queries[at]
         expected = sorted((-scores[i], i) for i in range(5000) if i != at)[:20]
         assert found[at] == expected
+
+
+def test_rows_of_one_id_spread_over_shards_and_blocks(spark):
+    rows = spark.range(4000).selectExpr("7L AS id", "array(1D) AS vector", "id AS row")
+    dealt = topk._dealt(rows, 8, 4)
+    assert all(r["count"] < 700 for r in dealt.groupBy("shard").count().collect())
+    assert all(r["count"] < 1300 for r in dealt.groupBy("block").count().collect())
+
+
+def test_repeated_id_in_small_cells(spark):
+    rows = [(7, [float(i % 97)]) for i in range(600)] + [(20, [1.0]), (40, [2.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = topk.top_k(df, F.col("id") % 20 == 0, top=5, shard_rows=50, query_rows=1).orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in got] == [(q, n, 7, 64 * 64 * f * 96) for q, f in ((20, 1), (40, 2)) for n in range(1, 6)]
