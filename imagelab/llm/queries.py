@@ -5,7 +5,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from imagelab.llm import chat_format, exact_dedup, html_text, mixing, packing, simhash, surrogates, topk, toxicity, warc
+from imagelab.llm import (
+    chat_format,
+    conversation_repair,
+    exact_dedup,
+    html_text,
+    mixing,
+    packing,
+    simhash,
+    surrogates,
+    topk,
+    toxicity,
+    warc,
+)
 from imagelab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +186,68 @@ def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = F.transform("entities", lambda e: F.struct(e["kind"].alias("kind"), e["start"].alias("start"), e["end"].alias("end")))
     count = F.size("entities").cast("long").alias("n_entities")
     return rows.select(F.col("id").alias("doc_id"), "text", count, places.alias("entities"))
+
+
+@query(r"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(
+      list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ord(c)::BIGINT),
+      lambda crc, byte: list_reduce(range(8), lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, byte)),
+      4294967295::BIGINT), 4294967295::BIGINT) % 20 AS damage
+  FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE damage WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE damage WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM k WHERE damage <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS n FROM d),
+x AS (
+  SELECT *, left(role, 1) AS c, role || ':' || text AS line,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+         WHEN min(n) OVER (PARTITION BY conv_id, role, text) < n THEN 'duplicate'
+         WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS before
+  FROM o),
+s AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (n > 1 AND before || c NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n_rows
+  FROM x GROUP BY conv_id),
+r AS (  -- cheapest ways to each place of the role grammar: start, after system, after user, after assistant
+  SELECT conv_id, 0::BIGINT AS n, {cost: 0, audit: '', body: []::VARCHAR[]} AS a0,
+    NULL::STRUCT(cost INTEGER, audit VARCHAR, body VARCHAR[]) AS a1,
+    {cost: 2, audit: 'I', body: ['user:']} AS a2, {cost: 4, audit: 'II', body: ['user:', 'assistant:']} AS a3
+  FROM s
+  UNION ALL
+  SELECT conv_id, n, b0, b1, c2,
+    list_min([b3, CASE WHEN c2 IS NOT NULL THEN {cost: c2.cost + 2, audit: c2.audit || 'I', body: c2.body || ['assistant:']} END])
+  FROM (
+    SELECT *, list_min([b2, CASE WHEN b0 IS NOT NULL THEN {cost: b0.cost + 2, audit: b0.audit || 'I', body: b0.body || ['user:']} END,
+        CASE WHEN b1 IS NOT NULL THEN {cost: b1.cost + 2, audit: b1.audit || 'I', body: b1.body || ['user:']} END,
+        CASE WHEN b3 IS NOT NULL THEN {cost: b3.cost + 2, audit: b3.audit || 'I', body: b3.body || ['user:']} END]) AS c2
+    FROM (
+      SELECT conv_id, n,
+        {cost: a0.cost + 3, audit: a0.audit || 'D', body: a0.body} AS b0,
+        list_min([CASE WHEN a1 IS NOT NULL THEN {cost: a1.cost + 3, audit: a1.audit || 'D', body: a1.body} END,
+          CASE WHEN stays AND c = 's' THEN {cost: a0.cost + late, audit: a0.audit || 'K', body: a0.body || [line]} END]) AS b1,
+        list_min([{cost: a2.cost + 3, audit: a2.audit || 'D', body: a2.body},
+          CASE WHEN stays AND c = 'u' THEN {cost: u.cost + late, audit: u.audit || 'K', body: u.body || [line]} END,
+          CASE WHEN stays THEN {cost: u.cost + 2 + late, audit: u.audit || 'R', body: u.body || ['user:' || text]} END]) AS b2,
+        list_min([{cost: a3.cost + 3, audit: a3.audit || 'D', body: a3.body},
+          CASE WHEN stays AND c = 'a' THEN {cost: a2.cost + late, audit: a2.audit || 'K', body: a2.body || [line]} END,
+          CASE WHEN stays THEN {cost: a2.cost + 2 + late, audit: a2.audit || 'R', body: a2.body || ['assistant:' || text]} END]) AS b3
+      FROM (
+        SELECT r.*, x.* EXCLUDE (conv_id, n), r.n + 1 AS m, list_min([r.a0, r.a1, r.a3]) AS u,
+          fault NOT IN ('blank', 'duplicate') AS stays, CASE fault WHEN 'truncated' THEN 1 ELSE 0 END AS late
+        FROM r JOIN x ON r.conv_id IS NOT DISTINCT FROM x.conv_id AND x.n = r.n + 1) y(conv_id, old, a0, a1, a2, a3, turn, role, text, copy, c, line, fault, before, n, u, stays, late)))),
+b AS (SELECT r.conv_id, list_min([a0, a3]) AS best FROM r JOIN s ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND n = n_rows),
+f AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT f.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.body, chr(10)), '')) AS repaired_sha256
+FROM f LEFT JOIN s ON f.conv_id IS NOT DISTINCT FROM s.conv_id LEFT JOIN b ON f.conv_id IS NOT DISTINCT FROM b.conv_id
+""")
+def op11_cyk_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
