@@ -16,6 +16,7 @@ Defined results: null text is an empty document of one end id; repeated rows are
 their own; an empty table gives no rows.
 """
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -35,16 +36,18 @@ from imagelab.session import materialise, ship_package
 CAPACITY = 2048
 END_ID = 0
 LAST_PLAIN = 0x24F  # the last code point of the Latin blocks
+SPACE_RUN = 10_000  # white space in a row from which on a text goes to the reference tokenizer
 
 Pattern = tuple[int, tuple[int, ...]]  # how many sequences, lengths of their pieces in order
 
 
 @lru_cache(maxsize=4)
-def _encoder(vocabulary: str, ranks: str | None, added_tokens: bool):
+def text_encoder(vocabulary: str, ranks: str | None, added_tokens: bool = False):
     """text -> array of ids; with `added_tokens`, the added tokens of the file are found in texts, as it does by default.
 
-    `ranks` is the same vocabulary for a faster library; texts in Latin script go through it and
-    all others through the reference tokenizer.
+    `ranks` is the same vocabulary for a faster library; texts in Latin script go through it and all
+    others through the reference tokenizer, as do texts with long runs of white space, in which the
+    pattern search of the faster one overflows its stack.
     """
     from tokenizers import Tokenizer
 
@@ -66,9 +69,11 @@ def _encoder(vocabulary: str, ranks: str | None, added_tokens: bool):
         pairs = [line.split() for line in lines]
     merges = {base64.b64decode(token): int(rank) for token, rank in pairs}
     fast = tiktoken.Encoding("same", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
+    long_run = re.compile(rf"\s{{{SPACE_RUN}}}")
 
     def encode(text: str) -> np.ndarray:
-        if (text.isascii() or ord(max(text)) <= LAST_PLAIN) and not any(token in text for token in added):
+        latin = text.isascii() or ord(max(text)) <= LAST_PLAIN
+        if latin and not any(token in text for token in added) and (len(text) < SPACE_RUN or not long_run.search(text)):
             return np.array(fast.encode_ordinary(text), dtype="<u4")
         return slow(text)
 
@@ -111,7 +116,7 @@ def token_pieces(
         fields.append(("ids", T.ArrayType(T.LongType())))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(vocabulary, ranks, added_tokens)
+        encode = text_encoder(vocabulary, ranks, added_tokens)
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:

@@ -15,6 +15,7 @@ from imagelab.llm import (
     packing,
     simhash,
     surrogates,
+    token_alignment,
     topk,
     toxicity,
     warc,
@@ -282,3 +283,8 @@ def op13_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query()
+def op12_shared_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokenizers(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")

@@ -121,3 +121,16 @@ def test_exact_complements():
     counts[5] = 3
     assert packing._complement(counts, 15) == (5, 5, 5)
     assert counts[5] == 3
+
+
+def test_long_white_space(spark, tmp_path):
+    """Runs on which the faster library's pattern search overflows; ids of an untouched tokenizer, in query and pipeline."""
+    import corpus_pipeline
+
+    untouched = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mixed = ("a word \t" + " " * 12_000 + "é\n" * 300) * 150
+    texts = dict(enumerate([" " * 1_000_000, "x" + " " * 1_000_000 + "y", "\n " * 500_000, " " * 300_000 + "z", mixed, " " * 9_999, "b"]))
+    df = spark.createDataFrame(list(texts.items()), SCHEMA).repartition(4)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    check(packing.pack_documents(df).withColumnRenamed("id", "doc_id").collect(), texts, untouched, 2048)
+    check(corpus_pipeline.packing(spark, df, str(tmp_path)).collect(), texts, untouched, 2048)
