@@ -1,6 +1,8 @@
 import html
 import re
+import time
 
+import numpy as np
 import pytest
 
 from imagelab.llm import html_text
@@ -123,15 +125,74 @@ def test_odd_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        '<form id="aspnetForm">{}</form>', '<div class="modal-open page">{}</div>', '<div class="layout sidebar-right">{}</div>',
+        '<div id="app" class="nav-collapsed">{}</div>', '<div class="comments">{}</div>', '<div role="dialog" class="modal">{}</div>', "<aside>{}</aside>",
+        '<section id="search" class="ad-hoc"><div class="widget">{}</div></section>',
+    ],
+)
+@pytest.mark.parametrize("mark", ["article", "main", "div"])
+def test_wrappers_of_the_article(wrap, mark):
+    """What holds the article is never left out by name, whether the article is marked or not."""
+    body = f"<{mark}><h1>Title</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p></{mark}>"
+    menu = "<nav><ul>" + "".join(f"<li><a href=/{i}>link {i}</a></li>" for i in range(9)) + "</ul></nav>"
+    long = " ".join(LONG.split())
+    for page in (menu + wrap.format(body), wrap.format(menu + body + f'<div class="ad">{LONG}</div><footer>{LONG}</footer>')):
+        assert html_text.article_lines(page) == ["Title", long, "Short.", long]
+
+
+@pytest.mark.parametrize(
+    "part",
+    ['<p class="modal-verbs">{}</p>', '<div class="ad-hoc">{}</div>', '<div class="toolbar-history">{}</div>', "<form><p>{}</p></form>",
+     '<section class="header-parsing">{}</section>', '<p id="ads">{}</p>', '<div class="comments-in-code">{}</div>'],
+)
+def test_compounds_of_boilerplate_words_go_by_ratio(part):
+    long = " ".join(LONG.split())
+    assert html_text.article_lines(f"<article><h1>T</h1><p>{LONG}</p>{part.format(LONG)}<p>End.</p></article>") == ["T", long, long, "End."]
+
+
+@pytest.mark.parametrize("start", ["", "<article>", "<article><p>text</p>"])
+@pytest.mark.parametrize("piece", ["<div>word here", "<div>", "<span>a", "<ul><li>item", "<b><p>x", "<div><h2>a", "<table><tr><td>b", "</b><i>"])
+def test_time_is_linear_in_nesting(start, piece):
+    def seconds(times):
+        began = time.perf_counter()
+        html_text.main_text(start + piece * times)
+        return time.perf_counter() - began
+
+    few, many = min(seconds(6250) for _ in range(3)), seconds(50_000)
+    assert many < 2 * piece.count("<") or many < 16 * few  # eight times the page; a busy machine may take longer
+
+
+def test_ratios_choose_the_region(spark, monkeypatch):
+    """With constant ratios the votes of the given pages go elsewhere, and those of pages without marks give other texts."""
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+
+    def regions():
+        found = []
+        voted = html_text._voted
+        monkeypatch.setattr(html_text, "_voted", lambda page: found.append(page.elements[voted(page)].tag) or voted(page))
+        texts = [html_text.main_text(re.sub("</?(article|nav|footer)>", lambda m: m[0].replace(m[1], "div"), p)) for p in pages]
+        monkeypatch.setattr(html_text, "_voted", voted)
+        return found, texts
+
+    with_ratios, texts = regions()
+    monkeypatch.setattr(html_text, "tag_ratios", lambda lines: np.ones(len(lines)))
+    constant, others = regions()
+    assert with_ratios != constant
+    assert sum(a != b for a, b in zip(texts, others)) > len(pages) / 10
+
+
 def test_long_page_and_slices(monkeypatch):
     page = "<article>" + "".join(f"<p>{LONG}&amp;{i}</p>" for i in range(3000)) + "</article>"
-    whole = html_text.main_text(page)
-    assert whole.count("\n") == 2999
-    monkeypatch.setattr(html_text, "SLICE", 7)
-    assert html_text.main_text(page[:20_000]) == html_text.main_text(page[:20_000])
-    small = page[:3000]
-    monkeypatch.setattr(html_text, "SLICE", 1)
-    assert html_text.main_text(small) == whole[: len(html_text.main_text(small))]
+    long = " ".join(LONG.split())
+    assert html_text.main_text(page).split("\n") == [f"{long} &{i}" for i in range(3000)]
+    texts = {size: [] for size in (1 << 16, 7, 1)}
+    for size in texts:
+        monkeypatch.setattr(html_text, "SLICE", size)
+        texts[size] = [html_text.main_text(page[:20_000]), html_text.main_text(PAGE), html_text.main_text("<p>a &eacute;<!-- x --><b>c")]
+    assert texts[7] == texts[1] == texts[1 << 16]
 
 
 def test_columns_and_repeated_rows(spark):
@@ -141,3 +202,6 @@ def test_columns_and_repeated_rows(spark):
     assert got.columns == ["page_id", "url", "n", "text", "n_chars"]
     assert [tuple(r)[3:] for r in got.collect()] == [("a", 1)] * 3
     assert html_text.extract_articles(df.limit(0)).count() == 0
+    clashing = df.withColumnsRenamed({"text": "Text", "n": "N_chars", "html": "Html"})
+    got = html_text.extract_articles(clashing, "Html")
+    assert got.columns == ["page_id", "url", "text", "n_chars"] and got.first()["text"] == "a"
