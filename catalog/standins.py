@@ -106,7 +106,7 @@ held_out AS (
         AS BIGINT) % 100 >= 70)"""
 
 
-def line_features(lines: DataFrame) -> DataFrame:
+def line_features(lines: DataFrame, *more: Column) -> DataFrame:
     """Lines with one-hot `features` of flag and status, and the flag as label.
 
     The classes are separable, so a correct fit, score and decode gives every row its own flag.
@@ -119,6 +119,7 @@ def line_features(lines: DataFrame) -> DataFrame:
         as_class(class_id(F.col("l_returnflag"), RETURN_FLAGS), RETURN_FLAGS),
         "l_returnflag",
         line_key().alias("key"),
+        *more,
     )
 
 
@@ -141,10 +142,10 @@ def line_images(lines: DataFrame) -> DataFrame:
     return lines.select(image, _line_label(), line_key().alias("key"))
 
 
-def line_pictures(lines: DataFrame) -> DataFrame:
+def line_pictures(lines: DataFrame, *more: str) -> DataFrame:
     """Lines as labelled images in a folder per flag; those of quantity 50 are cut short."""
     side = F.lit(4)
     origin = F.concat(F.lit("/lines/"), "l_returnflag", F.lit("/"), line_key(), F.lit(".png"))
     data = F.when(F.col("l_quantity") == 50, F.substring(_line_data(), 1, 20)).otherwise(_line_data())
     image = _struct(origin, side, side, F.lit(3), F.lit(16), data)
-    return lines.select(image, F.col("l_returnflag").alias("class_name"), _line_label())
+    return lines.select(image, F.col("l_returnflag").alias("class_name"), _line_label(), *more)

@@ -19,6 +19,7 @@ SPECS = {
     "tree": lambda: [training.decision_tree()],
     "forest": lambda: [training.random_forest(n) for n in training.FOREST_SIZES],
     "perceptron": lambda: [training.perceptron()],
+    "head": lambda: [training.relu_head()],
 }
 
 

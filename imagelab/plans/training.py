@@ -25,7 +25,8 @@ from imagelab.operators.featurizer import ImageFeaturizer
 from imagelab.operators.filters import drop_null_features, rejects
 from imagelab.operators.images import feature_table, pixel_feature_table
 from imagelab.operators.metrics import accuracy
-from imagelab.session import materialise, scratch_of_job
+from imagelab.plans.head import ROW_KEY, ReluHead
+from imagelab.session import delete, materialise, published, scratch_of_job
 from imagelab.sources.registry import Registry, log_run
 
 SEED = 42
@@ -92,7 +93,10 @@ class EarlyStopping(ModelSpec):
             classes = len(names) if names else int(train.agg(F.max("label")).first()[0]) + 1
             width = train.select(F.size(vector_to_array("features"))).first()[0]
             estimator.setLayers([width, self.hidden, classes])
-        bucket = F.pmod(F.xxhash64("features", "label", F.monotonically_increasing_id()), F.lit(100))
+        if self.rounds == 1:  # nothing to choose from
+            return estimator.fit(train.select("features", "label"))
+        key = F.col(ROW_KEY) if ROW_KEY in train.columns else F.xxhash64("features", "label")
+        bucket = F.pmod(F.xxhash64(F.lit(SEED), key), F.lit(100))  # the same for every partitioning
         marked = materialise(train.select("features", "label", bucket.alias("_bucket")), "rounds")
         held_back = marked.filter(f"_bucket < {self.validation_percent}").drop("_bucket")
         rows = marked.filter(f"_bucket >= {self.validation_percent}").drop("_bucket")
@@ -122,6 +126,11 @@ def perceptron(features: int | None = None, classes: int | None = None, hidden:
     return EarlyStopping("Multilayer Perceptron", estimator, hidden=hidden, **stops)
 
 
+def relu_head(**params) -> ModelSpec:
+    """A head of rectified units on features of a frozen network: mini-batches, Adam, early stopping."""
+    return ModelSpec("Multilayer Perceptron", ReluHead(**{"seed": SEED, **params}), "relu")
+
+
 def log_loss(scored: DataFrame) -> float | None:
     """Mean negative log probability of the label; None without rows."""
     own = F.element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
@@ -145,9 +154,10 @@ def split_rows(
 
     Estimators pass over their input many times. What produced the rows (a network over all
     pixels, hashing of keys) runs once; each later pass is a parquet scan with the split as a
-    pushed filter.
+    pushed filter. The hash of the key stays, for learners that deal rows into batches.
     """
-    written = materialise(df.withColumn("_bucket", hash_bucket(F.col(key), salt)).drop(key), "features")
+    numbered = df.withColumns({"_bucket": hash_bucket(F.col(key), salt), ROW_KEY: F.xxhash64(key)})
+    written = materialise(numbered.drop(key), "features")
     train = written.filter(f"_bucket < {train_percent}")
     test = written.filter(f"_bucket >= {train_percent}")
     return train.drop("_bucket"), test.drop("_bucket")
@@ -201,9 +211,10 @@ def run_training(
     `before` are the transformers that made the features. They are saved in front of the
     classifier, so that the saved model takes what they take.
 
-    The row is logged last, so the registry never names a model that was not saved. Every run
-    has a path of its own, so no row ever points at a later model. An empty test set leaves
-    nothing to log a rate for and is an error.
+    The row is logged last, so the registry never names a model that was not saved. The model
+    is saved beside its path and appears there as a whole; if it cannot be logged it goes again.
+    Every run has a path of its own, so no row ever points at a later model. An empty test set
+    leaves nothing to log a rate for and is an error.
     """
     started = time.monotonic()
     model = fit(spec, train)
@@ -214,11 +225,40 @@ def run_training(
         raise ValueError("the test set is empty")
     path = f"{model_root.rstrip('/')}/{spec.variant}/{uuid.uuid4()}"
     model = PipelineModel(stages=[*before, *model.stages])
-    model.write().save(path)
-    run_id = log_run(registry, spec.algorithm, spec.model_name, rate, fitted - started, path)
+    spark = train.sparkSession
+    with published(spark, path) as staged:
+        model.write().save(staged)
+    try:
+        run_id = log_run(registry, spec.algorithm, spec.model_name, rate, fitted - started, path)
+    except BaseException:
+        delete(spark, path)
+        raise
     return TrainedRun(model, rate, fitted - started, evaluated - fitted, path, run_id)
 
 
+def unlisted_models(spark: SparkSession, model_root: str, registry: Registry, min_age_hours: float = 24.0) -> DataFrame:
+    """(folder): saved models that no run of the registry names, from jobs that ended before they could log.
+
+    The folders come from one listing of the metadata files, without opening any. Younger ones than
+    `min_age_hours` may be on their way to the registry and are left out.
+    """
+    found = spark.read.format("binaryFile").load(f"{model_root.rstrip('/')}/*/*/metadata/part-*")
+    old = F.col("modificationTime") < F.current_timestamp() - F.make_dt_interval(secs=F.lit(float(min_age_hours * 3600)))
+    folders = found.filter(old).select(F.regexp_extract("path", r"^(.*)/metadata/[^/]*$", 1).alias("folder")).distinct()
+    no_scheme = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?(?=/)"
+    listed = registry.rows().select(F.regexp_replace("model_path", no_scheme, "").alias("_listed"))
+    return folders.join(listed, F.regexp_replace("folder", no_scheme, "") == F.col("_listed"), "left_anti")
+
+
+def sweep_models(spark: SparkSession, model_root: str, registry: Registry, min_age_hours: float = 24.0) -> int:
+    """Delete the models that no run names; how many there were."""
+    swept = 0
+    for row in unlisted_models(spark, model_root, registry, min_age_hours).toLocalIterator():
+        delete(spark, row["folder"])
+        swept += 1
+    return swept
+
+
 def capped(images: DataFrame, rows_per_class: int) -> DataFrame:
     """The first files of every class by origin, as a filter on class and origin.
 

@@ -6,7 +6,7 @@ import shutil
 import tempfile
 import uuid
 import weakref
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -48,8 +48,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/imagelab-{uuid.uuid4()}/{name}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once to the shared folder and read it back.
+def materialise(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write `df` once to the shared folder, in a sub-folder for each value of `by`, and read it back.
 
     Cuts the lineage, so that a lost executor costs a re-read and not a recomputation, and gives
     the planner true sizes: small tables then join by broadcast, large ones do not. The table
@@ -62,7 +62,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
         delete_on_exit(spark, path.rsplit("/", 1)[0])
     else:
         folders.append(path.rsplit("/", 1)[0])
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -95,6 +95,39 @@ def make_folder(spark: SparkSession, path: str) -> None:
     file_system.mkdirs(hadoop_path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    file_system, hadoop_path = _hadoop(spark, path)
+    return file_system.exists(hadoop_path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder, if it is there."""
+    file_system, hadoop_path = _hadoop(spark, path)
+    file_system.delete(hadoop_path, True)
+
+
+@contextmanager
+def published(spark: SparkSession, path: str) -> Iterator[str]:
+    """A staging folder beside `path` that becomes `path` in one rename when the block ends well, and goes if it fails.
+
+    Readers see the whole folder or none. What an earlier, unfinished try left at `path` is replaced.
+    Spark's readers skip names that begin with an underscore, so they never see a staging folder.
+    """
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    staged = f"{parent}/_staging-{uuid.uuid4()}"
+    try:
+        yield staged
+        make_folder(spark, parent)
+        delete(spark, path)
+        file_system, source = _hadoop(spark, staged)
+        _, target = _hadoop(spark, f"{parent}/{name}")
+        if not file_system.rename(source, target):
+            raise OSError(f"could not rename {staged} to {path}")
+    except BaseException:
+        delete(spark, staged)
+        raise
+
+
 def delete_on_exit(spark: SparkSession, path: str) -> None:
     """Have the file system drop a scratch folder of ours when the application ends."""
     file_system, hadoop_path = _hadoop(spark, path)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from imagelab.operators.classes import union_frames
 from imagelab.operators.indexing import with_global_index
 from imagelab.schemas import REGISTRY, REGISTRY_ORDER
-from imagelab.session import make_folder
+from imagelab.session import make_folder, published
 
 
 @dataclass(frozen=True)
@@ -18,7 +18,7 @@ class ParquetRegistry:
     """Registry folder, partitioned by algorithm so that one algorithm is read alone.
 
     Each append commits into a sub-folder of its own: jobs that log at the same time would
-    otherwise remove each other's temporary files.
+    otherwise remove each other's temporary files. It appears as a whole or, if it fails, not at all.
     """
 
     spark: SparkSession
@@ -29,8 +29,8 @@ class ParquetRegistry:
         make_folder(self.spark, self.path)
 
     def append(self, runs: DataFrame) -> None:
-        folder = f"{self.path.rstrip('/')}/append={uuid.uuid4()}"
-        runs.select(REGISTRY.names).write.partitionBy("algorithm").parquet(folder)
+        with published(self.spark, f"{self.path.rstrip('/')}/append={uuid.uuid4()}") as folder:
+            runs.select(REGISTRY.names).write.partitionBy("algorithm").parquet(folder)
 
     def rows(self) -> DataFrame:
         return self.spark.read.schema(REGISTRY).parquet(self.path).select(REGISTRY.names)

@@ -86,3 +86,35 @@ def test_appends_at_the_same_time(spark, tmp_path):
         log = lambda i: rg.log_run(registry, f"a{i % 3}", "m", 0.5, 1.0, f"/m/{i}")
         ids = list(pool.map(log, range(24)))
     assert sorted(ids) == sorted(r.run_id for r in registry.rows().collect())
+
+
+def test_a_run_that_cannot_be_logged_leaves_nothing(spark, tmp_path, monkeypatch):
+    import os
+
+    from imagelab.plans import training
+
+    rows = spark.createDataFrame([([float(i % 2)], i % 2) for i in range(20)], "features array<float>, label int")
+    rows = training.training_rows(rows)
+    registry = rg.ParquetRegistry(spark, str(tmp_path / "registry"))
+    registry.create()
+    models = str(tmp_path / "models")
+    kept = training.run_training(training.decision_tree(), rows, rows, registry, models)
+
+    def fails(runs, partial=rg.ParquetRegistry.append):
+        partial(registry, runs.withColumn("algorithm", F.raise_error(F.lit("disk full")).cast("string")))
+
+    monkeypatch.setattr(rg.ParquetRegistry, "append", lambda self, runs: fails(runs))
+    with pytest.raises(Exception, match="disk full"):
+        training.run_training(training.decision_tree(), rows, rows, registry, models)
+    monkeypatch.undo()
+    assert os.listdir(f"{models}/default") == [kept.model_path.rsplit("/", 1)[1]]
+    assert [r.model_path for r in registry.rows().collect()] == [kept.model_path]
+    assert [n for n in os.listdir(tmp_path / "registry") if not n.startswith("append=")] == []
+
+    # a job that was killed between saving and logging leaves a folder, which the sweep finds
+    monkeypatch.setattr(training, "log_run", lambda *_: os.kill)
+    lost = training.run_training(training.decision_tree(), rows, rows, registry, models)
+    monkeypatch.undo()
+    assert training.unlisted_models(spark, models, registry).count() == 0  # too young
+    assert training.sweep_models(spark, models, registry, min_age_hours=0) == 1
+    assert not os.path.exists(lost.model_path) and os.path.exists(kept.model_path)

@@ -1,0 +1,164 @@
+import os
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from imagelab.operators.featurizer import ImageFeaturizer
+from imagelab.plans import incremental, training
+from imagelab.sources import images as src
+from imagelab.sources import manifest as mf
+from imagelab.sources import registry as rg
+from imagelab.streaming import uploads
+from tests.png import write_png
+
+NAMES = ["alpha", "beta", "gamma"]
+RED, GREEN = (250, 10, 10), (10, 250, 10)
+
+
+@pytest.fixture(scope="module")
+def registry(spark, tree, tmp_path_factory):
+    """Two models; number 1 is the logistic regression."""
+    root = tmp_path_factory.mktemp("by-model")
+    images = src.read_labelled_images(spark, str(tree), NAMES, drop_invalid=False, extensions=["png"])
+    registry = rg.ParquetRegistry(spark, str(root / "registry"))
+    registry.create()
+    specs = [training.decision_tree(), training.logistic_regression()]
+    training.train_on_images(images, specs, registry, str(root / "models"), ImageFeaturizer(height=16, width=16), str(root / "features"))
+    return registry
+
+
+def paths_of(registry):
+    return {r["idx"]: r["model_path"] for r in rg.listing(registry.rows()).collect()}
+
+
+def upload(folder, name, colour, size=12):
+    folder.mkdir(parents=True, exist_ok=True)
+    write_png(folder / name, [[colour] * size] * size)
+
+
+def image_stream(spark, folder):
+    rows = src.stream_images(spark, str(folder), drop_invalid=False)
+    return rows.withColumn(uploads.BY_MODEL, uploads.model_of_folder(F.col("image.origin")))
+
+
+def test_each_upload_is_scored_by_the_model_of_its_folder(spark, registry, tmp_path):
+    folder = tmp_path / "uploads"
+    for number in ("1", "2", "7", "other"):
+        upload(folder / number, "red.png", RED)
+    (folder / "2" / "junk.png").write_bytes(b"no picture")
+    scorer = uploads.ScoreByModel(registry, str(tmp_path / "out"), images=True)
+    uploads.run_available_by_model(image_stream(spark, folder), scorer, str(tmp_path / "checkpoint"))
+    rows = {tuple(r["origin"].split("/")[-2:]): r for r in scorer.predictions(spark).collect()}
+    assert len(rows) == 5
+    paths = paths_of(registry)
+    for number in (1, 2):
+        r = rows[str(number), "red.png"]
+        assert (r["class_name"], r["model_path"], r["model_index"], r["reason"]) == ("alpha", paths[number], number, None)
+    assert rows["2", "junk.png"]["reason"] == "undecodable"
+    assert (rows["7", "red.png"]["reason"], rows["7", "red.png"]["class_name"]) == ("no model number 7", None)
+    assert rows["other", "red.png"]["reason"] == "no model number given"
+
+
+def test_a_batch_that_failed_after_writing_is_replaced_and_keeps_its_models(spark, registry, tmp_path):
+    folder, out = tmp_path / "uploads", str(tmp_path / "out")
+    upload(folder / "1", "red.png", RED)
+    upload(folder / "2", "green.png", GREEN)
+    scorer = uploads.ScoreByModel(registry, out, images=True)
+
+    def dies_before_the_commit(batch, number):
+        scorer(batch, number)
+        raise RuntimeError("killed")
+
+    query = image_stream(spark, folder).writeStream.foreachBatch(dies_before_the_commit)
+    query = query.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+    with pytest.raises(Exception, match="killed"):
+        query.awaitTermination()
+    first = {r["origin"]: r["model_path"] for r in scorer.predictions(spark).collect()}
+    assert len(first) == 2
+    # the listing changes before the restart: the tree is now number 1
+    ordered = uploads.ScoreByModel(registry, out, images=True, order=["Decision Tree"])
+    assert rg.listing(registry.rows(), ["Decision Tree"]).first()["model"] == "Decision Tree"
+    upload(folder / "1", "later.png", RED)
+    uploads.run_available_by_model(image_stream(spark, folder), ordered, str(tmp_path / "checkpoint"))
+    rows = ordered.predictions(spark).collect()
+    assert len(rows) == 3
+    found = {r["origin"]: r for r in rows}
+    assert {o: found[o]["model_path"] for o in first} == first
+    later = next(r for o, r in found.items() if o.endswith("later.png"))
+    assert later["model_path"] == paths_of(registry)[2] and later["batch"] == 1
+    uploads.run_available_by_model(image_stream(spark, folder), ordered, str(tmp_path / "checkpoint"))
+    assert ordered.predictions(spark).count() == 3
+    assert not [n for n in os.listdir(f"{out}/predictions") if n.startswith("_staging")]
+
+
+def test_a_replaced_upload_gets_a_second_marked_row(spark, registry, tmp_path):
+    folder, out = tmp_path / "uploads", str(tmp_path / "out")
+    for name in ("a b+c%20[1].png", "keeps.png", "goes.png"):
+        upload(folder / "2", name, RED)
+    scorer = uploads.ScoreByModel(registry, out, images=True)
+
+    def score(rows):
+        named = rows.withColumn(uploads.BY_MODEL, uploads.model_of_folder(F.col("image.origin")))
+        return scorer.scored(named, paths_of(registry))
+
+    def poll():
+        return uploads.score_changed_uploads(mf.file_list(spark, str(folder), ["png"]), mf.changed_images, score, out)
+
+    assert poll() == 0 and poll() is None
+    upload(folder / "2", "a b+c%20[1].png", GREEN, 14)
+    upload(folder / "2", "new.png", GREEN)
+    (folder / "2" / "goes.png").unlink()
+    assert poll() == 1 and poll() is None
+    rows = [(r["commit"], r["origin"].split("/")[-1], r["class_name"], r["replaced"]) for r in uploads.upload_predictions(spark, out).collect()]
+    odd = next(name for _, name, *_ in rows if "b+c" in name)
+    assert sorted(rows) == sorted([
+        (0, odd, "alpha", False), (0, "keeps.png", "alpha", False), (0, "goes.png", "alpha", False),
+        (1, odd, "beta", True), (1, "new.png", "beta", False),
+    ])
+    (folder / "2" / "keeps.png").unlink()
+    (folder / "2" / "new.png").unlink()
+    (folder / "2" / "a b+c%20[1].png").unlink()
+    upload(folder / "2", "last.png", RED)
+    assert poll() == 2
+
+
+def test_features_follow_the_folder(spark, tree, tmp_path):
+    folder, table = tmp_path / "classes", str(tmp_path / "table")
+    shutil.copytree(tree, folder)
+    featurizer = ImageFeaturizer(height=8, width=8)
+    assert incremental.current_features(spark, table) is None
+
+    def update():
+        return incremental.update_folder_features(spark, str(folder), NAMES, featurizer, table, ["png"])
+
+    assert update() == {"new": 31} and update() == {}
+    first = {r["origin"]: r for r in incremental.current_features(spark, table).collect()}
+    assert len(first) == 31
+    upload(folder / "alpha", "rgb0.png", GREEN, 9)  # changed
+    upload(folder / "gamma", "more.png", RED)  # new
+    (folder / "beta" / "rgb1.png").unlink()
+    files = mf.file_list(spark, str(folder), ["png"], NAMES)
+    changes = mf.Manifest(spark, f"{table}/manifest").changes(files)
+    assert len(mf.changed_images(changes, NAMES).inputFiles()) == 2  # no other image is opened
+    assert update() == {"new": 1, "changed": 1, "removed": 1}
+    again = {r["origin"]: r for r in incremental.current_features(spark, table).collect()}
+    assert len(again) == 31
+    ends = {o.split("/", 3)[-1].rsplit("classes/", 1)[-1]: r["commit"] for o, r in again.items()}
+    assert ends["alpha/rgb0.png"] == ends["gamma/more.png"] == 1 and "beta/rgb1.png" not in ends
+    assert sorted(ends.values()) == [0] * 29 + [1] * 2
+    same = next(o for o in again if o.endswith("alpha/rgb1.png"))
+    assert again[same]["features"] == first[same]["features"]
+
+
+def test_an_update_that_failed_is_done_again(spark, tree, tmp_path, monkeypatch):
+    table = str(tmp_path / "table")
+    featurizer = ImageFeaturizer(height=8, width=8)
+    args = (spark, str(tree), NAMES, featurizer, table, ["png"])
+    monkeypatch.setattr(mf.Manifest, "commit", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        incremental.update_folder_features(*args)  # features are written, the manifest is not
+    assert incremental.current_features(spark, table).count() == 0
+    monkeypatch.undo()
+    assert incremental.update_folder_features(*args) == {"new": 31}
+    assert incremental.current_features(spark, table).count() == 31
