@@ -6,13 +6,19 @@ the image of the entity under a keyed permutation of all values of the same shap
 digits, vowels and consonants of a script stay what they are, upper case stays upper case, octets
 stay octets, a valid check digit stays valid, and a listed given name becomes another one of its list,
 all others being permuted without the listed ones. The permutation has no fixed points. So one
-entity has one surrogate in the whole corpus, two names never share one, nothing is looked up and
-no text moves.
+entity has one surrogate in the whole corpus, nothing is looked up and no text moves. Values of more
+than `LONGEST` characters are permuted in blocks, each under a permutation that depends on all before.
+
+A given name that is not listed, after a title that states a gender, becomes a listed one of that
+gender and script. Once a person is found in a document, the full name is replaced wherever it
+stands there, in any case, and so are the words of the name where they begin with a capital letter, all by
+the same words; a title states the gender for all of them.
 
 That two originals share no surrogate is checked over all entities, by keyed fingerprints. It can
-happen where notation decides the shape: +1 017... and +10 17... read the same. Then the whole table
-is made again with the next derived key, and what still clashes with the last one is re-keyed alone
-until nothing does.
+happen where notation decides the shape (+1 017... and +10 17... read the same), and for given names
+that go to one list. All but one of those that share a surrogate are re-keyed, and only the rows
+that hold them are made again, until nothing clashes; a given name that clashes `LISTED_TURNS` times
+becomes a word of its own shape. The list of re-keyed entities is a table, never the driver's.
 
 Defined results: null texts stay null; texts without entities stay as they are; repeated rows and
 equal entities, in whatever notation, get equal surrogates; an empty table gives no rows.
@@ -22,11 +28,12 @@ import hashlib
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +41,9 @@ from imagelab.llm.common import col
 from imagelab.session import materialise, ship_package
 
 ROUNDS = 8
-ATTEMPTS = 3
 REKEYS = 100  # rounds of re-keying what clashes; more are only used up when a shape has no free values
+LISTED_TURNS = 4  # of which so many choose from a list of given names
+LONGEST = 64  # letters and digits that are permuted as one value
 
 # Letters of the scripts by class; a letter only ever becomes one of its class.
 ALPHABETS = (
@@ -44,36 +52,60 @@ ALPHABETS = (
 )
 # Common given names by script and gender.
 GIVEN_NAMES = (
-    "james john robert michael william david thomas daniel paul peter hans karl pierre louis jean carlos juan miguel jose antonio",
-    "mary anna emma sarah laura julia maria elena sophie marie claire lucia carmen isabel greta helga ingrid alice susan linda",
-    "иван пётр алексей дмитрий сергей николай михаил андрей",
-    "анна мария елена ольга наталья ирина татьяна светлана",
+    "james john robert michael william david thomas daniel paul peter hans karl pierre louis jean carlos juan miguel jose antonio "
+    "george henry edward charles richard joseph stefan andreas martin klaus jürgen wolfgang françois jacques henri luis pedro javier diego pablo",
+    "mary anna emma sarah laura julia maria elena sophie marie claire lucia carmen isabel greta helga ingrid alice susan linda "
+    "elizabeth margaret jennifer patricia emily charlotte ursula monika sabine petra hannah camille juliette chloé pilar rosa teresa ana beatriz inés",
+    "иван пётр алексей дмитрий сергей николай михаил андрей владимир александр",
+    "анна мария елена ольга наталья ирина татьяна светлана екатерина людмила",
 )
+# Titles by the gender that they state.
+TITLES = {"m": "Mr Herr Monsieur Señor Sr Don Г-н", "f": "Mrs Ms Miss Frau Madame Mme Señora Sra Doña Г-жа", "": "Dr Prof"}
 _NAME_LISTS = [names.split() for names in GIVEN_NAMES]
 _PLACE = {c: (kind, at) for kind, letters in enumerate(ALPHABETS) for at, c in enumerate(letters)}
 _LIST_OF = {name: names for names in _NAME_LISTS for name in names}
 
-_WORD = r"[^\W\d_][^\W\d_'’-]*[^\W\d_]"
+_WORD = r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))+"
 _CAPITAL = rf"(?-i:(?=[A-ZÀ-ÞА-ЯΑ-Ω]){_WORD})"
-_TITLE = r"(?:Mrs?|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Señora?|Sra?|Don|Doña|Г-н|Г-жа)\.?"
+_GENDER = {title: gender for gender, titles in TITLES.items() for title in titles.split()}
+_TITLE = rf"(?:{'|'.join(sorted(_GENDER, key=len, reverse=True))})\.?"
+_LISTS = {(gender, script): at for at, (script, gender) in enumerate([("latin", "m"), ("latin", "f"), ("cyrillic", "m"), ("cyrillic", "f")])}
+_ANY_WORD = re.compile(_WORD + r"|[^\W\d_]")
+_HEX = "[0-9A-Fa-f]{1,4}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _NAMES = "|".join(sorted({n.capitalize() for n in _LIST_OF}))
 KINDS = {
     "secret": r"""\b(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key)\b\s*[:=]\s*["']?(?P<secret_value>[A-Za-z0-9+/_=-]{8,})"""
     r"|\b(?P<secret_bare>AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,})\b",
-    "email": r"[\w.+-]+@[^\W_]+(?:-+[^\W_]+)*(?:\.[^\W_]+(?:-+[^\W_]+)*)+",
+    "email": r"(?<![\w.+-])[\w.+-]+@[^\W_]+(?:-+[^\W_]+)*(?:\.[^\W_]+(?:-+[^\W_]+)*)+",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)",
+    "ip6": rf"(?<![\w:])(?:{_HEX}(?::{_HEX}){{7}}|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}})(?![\w:])",
     "phone": r"(?<![\w+])(?:\+?\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)"
     r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
-    "person": rf"\b(?:{_TITLE}\s+(?P<titled>{_CAPITAL}(?: {_CAPITAL}){{0,2}})|(?P<named>(?:{_NAMES}) {_CAPITAL}))\b",
+    "person": rf"\b(?:(?P<title>{_TITLE})\s+(?P<titled>{_CAPITAL}(?: {_CAPITAL}){{0,2}})|(?P<named>(?:{_NAMES}) {_CAPITAL}))\b",
 }
 _NUMBERS = re.compile("|".join(f"(?P<{kind}>{KINDS[kind]})" for kind in KINDS if kind != "person"))
 _PERSONS = re.compile(f"(?P<person>{KINDS['person']})")
-# In every match of _NUMBERS: bare secrets have their prefix, other secrets a key word, e-mail addresses an @, the rest a digit.
-_HINT = re.compile(r"\d|@|AKIA|gh[pousr]_|sk-|(?i:token|secret|passw|key)")
+# In every match of _NUMBERS: bare secrets have their prefix, other secrets a key word, e-mail addresses an @, addresses of
+# hexadecimal groups two colons around one or in a row, the rest a digit.
+_HINT = re.compile(rf"\d|@|::|:{_HEX}:|AKIA|gh[pousr]_|sk-|(?i:token|secret|passw|key)")
+
+
+@dataclass(frozen=True)
+class Person:
+    """A name in lower case, and the gender that a title states."""
+
+    words: tuple[str, ...]
+    gender: str = ""
+
+    @property
+    def canonical(self) -> str:
+        """What tells persons apart; the gender counts where it decides about the surrogate."""
+        name = " ".join(self.words)
+        return f"{self.gender}~{name}" if self.gender and len(self.words) > 1 and self.words[0] not in _LIST_OF else name
 
 
 @dataclass(frozen=True)
@@ -81,6 +113,7 @@ class Entity:
     start: int
     end: int
     kind: str
+    person: Person | None = None
 
 
 def detect(text: str) -> list[Entity]:
@@ -90,25 +123,74 @@ def detect(text: str) -> list[Entity]:
         found = [_entity(m) for m in _NUMBERS.finditer(text)]
     names = [_entity(m) for m in _PERSONS.finditer(text)]
     if found and names:
-        names = [n for n in names if all(n.end <= e.start or e.end <= n.start for e in found)]
+        names = _apart(names, found)
+    if names:
+        names = _with_mentions(text, names, found)
     return sorted(found + names, key=lambda e: e.start)
 
 
+def _apart(some: list[Entity], others: list[Entity]) -> list[Entity]:
+    """Those that overlap none of the others; both in order of their place."""
+    starts = [e.start for e in others]
+    return [e for e in some if (at := bisect_right(starts, e.end - 1)) == 0 or others[at - 1].end <= e.start]
+
+
 def _entity(match: re.Match) -> Entity:
-    for part in ("secret_value", "secret_bare", "titled", "named"):
+    for part in ("secret_value", "secret_bare"):
+        if part in match.re.groupindex and match[part] is not None:
+            return Entity(*match.span(part), "secret")
+    for part in ("titled", "named"):
         if part in match.re.groupindex and match[part] is not None:
-            return Entity(*match.span(part), "person" if part in ("titled", "named") else "secret")
+            title = (match["title"] or "").rstrip(".")
+            gender = next((g for t, g in _GENDER.items() if t.lower() == title.lower()), "")
+            return Entity(*match.span(part), "person", Person(tuple(_folded_name(match[part]).split(" ")), gender))
     return Entity(*match.span(), match.lastgroup)
 
 
+def _with_mentions(text: str, names: list[Entity], others: list[Entity]) -> list[Entity]:
+    """The names, and all later and earlier mentions of the same persons, as the persons they are."""
+    genders: dict[tuple[str, ...], str] = {}
+    for e in names:
+        genders[e.person.words] = genders.get(e.person.words) or e.person.gender
+    of_given = {words[0]: gender for words, gender in genders.items() if gender and len(words) > 1}
+    persons = {}
+    for words, gender in genders.items():
+        persons[words] = Person(words, gender or (of_given.get(words[0], "") if len(words) > 1 else ""))
+    whole = [Entity(e.start, e.end, "person", persons[e.person.words]) for e in names]
+    by_first: dict[str, list[Person]] = {}
+    by_word: dict[str, Person] = {}
+    for person in sorted(persons.values(), key=lambda p: -len(p.words)):  # longer names first
+        if len(person.words) > 1:
+            by_first.setdefault(person.words[0], []).append(person)
+        for word in person.words:
+            by_word.setdefault(word, person)
+    words = [(m.start(), m.end(), _folded_name(m[0])) for m in _ANY_WORD.finditer(text)]
+    found, at = [], 0
+    while at < len(words):
+        start, end, word = words[at]
+        used, person = 1, None
+        for full in by_first.get(word, ()):
+            span = words[at : at + len(full.words)]
+            if tuple(w for *_, w in span) == full.words and all(text[a[1] : b[0]].isspace() for a, b in zip(span, span[1:])):
+                used, end, person = len(full.words), span[-1][1], full
+                break
+        if person is None and word in by_word and text[start].isupper():
+            person = by_word[word]
+        if person is not None:
+            found.append(Entity(start, end, "person", person))
+        at += used
+    taken = sorted(whole + others, key=lambda e: e.start)
+    return whole + _apart(found, taken)
+
+
 class Surrogates:
     """Keyed permutations of the values of each shape."""
 
     def __init__(self, key: bytes):
         self._key = hashlib.blake2b(key, digest_size=32).digest()
 
-    def _random(self, *parts: object) -> int:
-        data = repr(parts).encode()
+    def _random(self, *parts: str | int) -> int:
+        data = ",".join(format(p, "x") if isinstance(p, int) else f"{len(p)}:{p}" for p in parts).encode()
         return int.from_bytes(hashlib.blake2b(data, key=self._key, digest_size=64).digest())
 
     def fingerprint(self, kind: str, canonical: str) -> int:
@@ -126,7 +208,7 @@ class Surrogates:
         total = sizes[0] * sizes[1]
         if total < 2:
             return values
-        shape = f"{domain}:{radices}"
+        shape = hashlib.blake2b(f"{domain}:{radices}".encode(), digest_size=16).hexdigest()
         sides = [_number(values[:half], radices[:half]), _number(values[half:], radices[half:])]
         for turn in range(ROUNDS):
             side = turn % 2
@@ -153,18 +235,31 @@ class Surrogates:
                 letters = ALPHABETS[_PLACE[c.lower()][0]]
                 upper = letters.upper()
                 spots.append((at, letters if c in letters or len(upper) != len(letters) else upper))
-        shape = "".join("#" if at in dict(spots) else c for at, c in enumerate(text))
-        values = [letters.index(text[at]) for at, letters in spots]
-        images = self.permuted(values, [len(letters) for _, letters in spots], f"{domain}:{shape}:{[x[1][0] for x in spots]}")
-        out = list(text)
-        for (at, letters), image in zip(spots, images):
-            out[at] = letters[image]
+        free = {at for at, _ in spots}
+        shape = "".join("#" if at in free else c for at, c in enumerate(text))
+        out, before = list(text), f"{domain}:{shape}:{[x[1][0] for x in spots]}"
+        for low in range(0, len(spots), LONGEST):
+            block = spots[low : low + LONGEST]
+            values = [letters.index(text[at]) for at, letters in block]
+            for (at, letters), image in zip(block, self.permuted(values, [len(letters) for _, letters in block], before)):
+                out[at] = letters[image]
+            before = hashlib.blake2b(f"{before}:{values}".encode(), digest_size=16).hexdigest()
         return "".join(out)
 
     def of(self, kind: str, text: str) -> tuple[str, str]:
         """(canonical form, surrogate in the notation of the text)."""
         return getattr(self, f"_{kind}")(text)
 
+    def of_person(self, person: Person, turn: int = 0) -> list[str]:
+        """The words of a person's surrogate, in lower case; with a turn, those of the re-keyed permutations."""
+        own = self.again(turn) if turn else self
+        words = [own._name(word, first=True) for word in person.words]
+        script = "cyrillic" if "а" <= person.words[0][0] <= "ё" else "latin" if person.words[0][0] < "\u0250" else ""
+        if person.canonical[1:2] == "~" and script and turn < LISTED_TURNS:
+            names = _NAME_LISTS[_LISTS[person.gender, script]]
+            words[0] = names[own._random("titled", person.words[0]) % len(names)]
+        return words
+
     def _email(self, text: str) -> tuple[str, str]:
         canonical = text.lower()
         local, _, domain = canonical.partition("@")
@@ -216,12 +311,13 @@ class Surrogates:
             return text.lower(), image.upper() if text.upper() == text else image
         return text, self.shaped(text, "secret")
 
+    def _ip6(self, text: str) -> tuple[str, str]:
+        groups = text.lower()
+        return groups, _cased(self.shaped(groups, "ip6", hexadecimal=True), text) if text != text.upper() else self.shaped(groups, "ip6", hexadecimal=True).upper()
+
     def _person(self, text: str) -> tuple[str, str]:
-        text = unicodedata.normalize("NFC", text)
-        canonical = _folded_name(text)
-        words = [self._name(word, first=at == 0) for at, word in enumerate(canonical.split(" "))]
-        whole = re.sub(r"σ\b", "ς", " ".join(words))
-        return canonical, _cased(whole, text) if len(whole) == len(text) else whole.title()
+        person = Person(tuple(_folded_name(unicodedata.normalize("NFC", text)).split(" ")))
+        return person.canonical, _written(self.of_person(person), text)
 
     def _name(self, word: str, first: bool) -> str:
         names = _LIST_OF.get(word) if first else None
@@ -233,7 +329,6 @@ class Surrogates:
         order = sorted(names, key=lambda n: self._random("given", names[0], n))
         return order[(order.index(word) + 1) % len(order)]
 
-
     def again(self, turn: int) -> "Surrogates":
         """Other permutations, derived from the same key."""
         return Surrogates(self._key + b"#%d" % turn)
@@ -244,6 +339,15 @@ def _folded_name(text: str) -> str:
     return text.lower().replace("ς", "σ")
 
 
+def _written(words: list[str], text: str) -> str:
+    """The words of a surrogate in the letter case of the text."""
+    text = unicodedata.normalize("NFC", text)
+    whole = re.sub(r"σ\b", "ς", " ".join(words))
+    if len(whole) == len(text):
+        return _cased(whole, text)
+    return whole.upper() if text.isupper() else whole if text.islower() else whole.title()
+
+
 def _product(radices: list[int]) -> int:
     total = 1
     for radix in radices:
@@ -288,18 +392,28 @@ def replaced(text: str, surrogates: Surrogates, turns: dict[tuple[str, int], int
     `turns` says by kind and fingerprint which originals are re-keyed, and how often.
     """
     parts, entities, at, length = [], [], 0, 0
+    persons: dict[Person, tuple[int, list[str]]] = {}
     for e in detect(text):
-        canonical, image = surrogates.of(e.kind, text[e.start : e.end])
-        original = surrogates.fingerprint(e.kind, canonical)
-        turn = turns.get((e.kind, original), 0) if turns else 0
-        if turn:
-            _, image = surrogates.again(turn).of(e.kind, text[e.start : e.end])
+        own = text[e.start : e.end]
+        if e.person:
+            if e.person not in persons:
+                original = surrogates.fingerprint("person", e.person.canonical)
+                persons[e.person] = original, surrogates.of_person(e.person, (turns or {}).get(("person", original), 0))
+            original, words = persons[e.person]
+            folded = _folded_name(unicodedata.normalize("NFC", own)).split()
+            mentioned = words if len(folded) > 1 or len(words) == 1 else [words[e.person.words.index(folded[0])]]
+            image = _written(mentioned, " ".join(own.split()))
+            surrogate = surrogates.fingerprint("person", _folded_name(" ".join(words)))
+        else:
+            canonical, image = surrogates.of(e.kind, own)
+            original = surrogates.fingerprint(e.kind, canonical)
+            turn = (turns or {}).get((e.kind, original), 0)
+            if turn:
+                _, image = surrogates.again(turn).of(e.kind, own)
+            surrogate = surrogates.fingerprint(e.kind, surrogates_canonical(e.kind, image))
         parts += [text[at : e.start], image]
         length += e.start - at
-        entities.append({
-            "kind": e.kind, "start": length, "end": length + len(image), "original": original,
-            "surrogate": surrogates.fingerprint(e.kind, surrogates_canonical(e.kind, image)),
-        })
+        entities.append({"kind": e.kind, "start": length, "end": length + len(image), "original": original, "surrogate": surrogate})
         length += len(image)
         at = e.end
     return "".join(parts) + text[at:], entities
@@ -310,7 +424,7 @@ def surrogates_canonical(kind: str, image: str) -> str:
     if kind == "person":
         return _folded_name(image)
     folded = image.lower() if kind == "email" or re.fullmatch("[0-9a-fA-F]+", image) else image
-    return folded if kind in ("email", "secret", "ip") else "".join(c for c in folded if c.isalnum() or c == "+")
+    return folded if kind in ("email", "secret", "ip", "ip6") else "".join(c for c in folded if c.isalnum() or c == "+")
 
 
 _ENTITY = T.StructType([
@@ -323,15 +437,21 @@ _ARROW = pa.struct([
 ])
 
 
-def _replacing(key: bytes, turns: dict[tuple[str, int], int] | None = None):
+_TURN = "array<struct<kind:string,original:bigint,turn:int>>"
+
+
+def _replacing(key: bytes):
+    """(text, turns of its re-keyed entities) -> struct of the new text and its entities."""
+
     @F.arrow_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("entities", T.ArrayType(_ENTITY))]))
-    def replace(texts: pa.Array) -> pa.Array:
+    def replace(texts: pa.Array, turns: pa.Array) -> pa.Array:
         surrogates = Surrogates(key)
 
         def rows() -> Iterator[dict]:
-            for text in texts:
+            for text, of_row in zip(texts, turns):
                 value = text.as_py()
-                new, entities = replaced(value, surrogates, turns) if value is not None else (None, [])
+                own = {(t["kind"], t["original"]): t["turn"] for t in of_row.as_py() or ()}
+                new, entities = replaced(value, surrogates, own) if value is not None else (None, [])
                 yield {"text": new, "entities": entities}
 
         return pa.array(list(rows()), _ARROW)
@@ -348,30 +468,37 @@ def collisions(replaced_rows: DataFrame) -> DataFrame:
     return _pairs(replaced_rows).groupBy("kind", "surrogate").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
 
 
-def _clashing(replaced_rows: DataFrame) -> list[tuple[str, int]]:
+def _clashing(replaced_rows: DataFrame) -> DataFrame:
     """(kind, original) of all that share a surrogate, but for the smallest of each."""
-    sharing = _pairs(replaced_rows).groupBy("kind", "surrogate").agg(F.sort_array(F.collect_set("original")).alias("all"))
-    later = sharing.filter("size(all) > 1").select("kind", F.explode(F.slice("all", 2, F.size("all"))).alias("original"))
-    return [(r["kind"], r["original"]) for r in later.distinct().collect()]
+    least = F.min("original").over(Window.partitionBy("kind", "surrogate"))
+    return _pairs(replaced_rows).withColumn("least", least).filter("original > least").select("kind", "original").distinct()
 
 
 def replace_entities(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, entities), one row for each row of `df`, written; no surrogate stands for two originals."""
+    """(id, text, entities), one row for each row of `df`; no surrogate stands for two originals.
+
+    The table is written once. What must be re-keyed is written beside it, and only rows that hold such
+    an entity are read and made again; rows are told apart by a hash of id and text, so one that
+    shares it with another is at most made again without need.
+    """
     ship_package(df.sparkSession)
+    source = df.select(col(id_col).alias("id"), col(text_col).cast("string").alias("source"))
+    source = source.withColumn("row", F.xxhash64(F.col("id").cast("string"), F.col("id").isNull(), "source", F.col("source").isNull()))
 
-    def made(udf) -> DataFrame:
-        opened = df.select(col(id_col).alias("id"), F.inline(F.array(udf(col(text_col).cast("string")))))
-        return materialise(opened, "surrogates")
+    def made(rows: DataFrame, name: str) -> DataFrame:
+        opened = rows.select("id", "row", F.inline(F.array(_replacing(key)("source", "turns"))))
+        return materialise(opened, name)
 
-    for attempt in range(ATTEMPTS):
-        rows = made(_replacing(key + b"#%d" % attempt))
-        if collisions(rows).isEmpty():
-            return rows
-    turns: dict[tuple[str, int], int] = {}
+    first = made(source.withColumn("turns", F.lit(None).cast(_TURN)), "surrogates")
+    rows, turns = first, None
     for _ in range(REKEYS):
-        for entity in _clashing(rows):  # few: names, addresses and numbers of one notation never clash
-            turns[entity] = turns.get(entity, 0) + 1
-        rows = made(_replacing(key + b"#%d" % attempt, turns))
         if collisions(rows).isEmpty():
-            return rows
+            return rows.select("id", "text", "entities")
+        more = _clashing(rows).withColumn("turn", F.lit(1))
+        turns = materialise((more if turns is None else turns.unionByName(more)).groupBy("kind", "original").agg(F.sum("turn").cast("int").alias("turn")), "turns")
+        held = first.select("row", F.explode("entities").alias("e")).select("row", "e.kind", "e.original").distinct()
+        of_row = held.join(turns, ["kind", "original"]).groupBy("row").agg(F.collect_list(F.struct("kind", "original", "turn")).alias("turns"))
+        concerned = materialise(of_row, "concerned")
+        again = made(source.join(concerned, "row"), "again")
+        rows = first.join(concerned.select("row"), "row", "left_anti").select(*first.columns).unionByName(again)
     raise RuntimeError(f"some surrogates still stand for two originals after {REKEYS} rounds")

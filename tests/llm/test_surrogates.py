@@ -1,5 +1,7 @@
 import itertools
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -156,19 +158,96 @@ def test_rows_of_all_kinds(spark):
     assert sg.replace_entities(df.limit(0), b"k").count() == 0
 
 
-def test_collisions_are_seen_and_retried(spark, monkeypatch):
-    df = spark.createDataFrame([(1, "a@b.org c@d.org"), (2, "a@b.org")], SCHEMA)
-    made = []
+def test_collisions_are_seen_and_only_rows_concerned_are_made_again(spark, monkeypatch):
     shared = spark.createDataFrame(
         [([("email", 1, 7)],), ([("email", 2, 7), ("email", 1, 7)],), ([("card", 3, 7)],)],
         "entities array<struct<kind:string,original:bigint,surrogate:bigint>>",
     )
     assert [tuple(r) for r in sg.collisions(shared).collect()] == [("email", 7)]
-    answers = iter([shared.select(F.lit("email").alias("kind")), shared.limit(0)])
-    monkeypatch.setattr(sg, "collisions", lambda rows: made.append(rows) or next(answers))
-    sg.replace_entities(df, b"k")
-    assert len(made) == 2
-    assert made[0].orderBy("id").first()["text"] != made[1].orderBy("id").first()["text"]
+    assert [tuple(r) for r in sg._clashing(shared).collect()] == [("email", 2)]
+    df = spark.createDataFrame([(1, "+1 20000 00 and a@b.org"), (2, "+12 0000 00"), (3, "a@b.org"), (4, "clean")], SCHEMA)
+    written, keep = [], sg.materialise
+    monkeypatch.setattr(sg, "materialise", lambda rows, name: written.append((name, keep(rows, name))) or written[-1][1])
+    monkeypatch.setattr(sg, "_clashing", lambda rows: sg._pairs(rows).filter("kind = 'phone'").select("kind", "original").limit(1))
+    answers = iter([shared, shared.limit(0)])
+    monkeypatch.setattr(sg, "collisions", lambda rows: next(answers))
+    got = {r["id"]: r["text"] for r in sg.replace_entities(df, b"k").collect()}
+    tables = dict(written)
+    again = [r["id"] for r in tables["again"].collect()]
+    first = {r["id"]: r["text"] for r in tables["surrogates"].collect()}
+    assert len(again) == 1 and [i for i in got if got[i] != first[i]] == again and len(got) == 4
+
+
+@pytest.mark.parametrize(
+    "text", ["password = " + "a1" * 50_000, "token: " + "Ab9" * 40_000, "x" * 1_000_000 + " 1 @", "a" * 1_000_000 + "1@b", "a.b-" * 200_000 + "1",
+             "Mr " + "Abc" * 100_000, "1-" * 200_000, "a@" * 200_000, "Mr Smith " * 30_000, "a@" + "b-" * 200_000, "::" * 200_000 + "1", "Mr John Smith, " * 20_000],
+)
+def test_long_texts_take_linear_time(text):
+    began = time.perf_counter()
+    new, entities = sg.replaced(text, KEY)
+    assert time.perf_counter() - began < 6
+    if text.startswith(("password", "token")):
+        (e,) = entities
+        assert len(new) == len(text) and new[e["start"] :] != text[e["start"] :]
+        assert text.startswith("pass") or shape(new) == shape(text)
+
+
+def test_long_values_stay_one_to_one(monkeypatch):
+    monkeypatch.setattr(sg, "LONGEST", 2)
+    values = ["".join(v) for v in itertools.product("0123456789abcdef", repeat=3)]
+    images = {KEY.shaped(v, "hex", hexadecimal=True) for v in values}
+    assert images == set(values) and all(KEY.shaped(v, "hex", hexadecimal=True) != v for v in values)
+
+
+def test_mentions_of_a_person_get_one_surrogate():
+    new, entities = sg.replaced("Olivia Brown called. Mr John Smith met Anna. Smith said JOHN SMITH; john smith left, Mrs Olivia Brown and Olivia stayed. A smith.", KEY)
+    words = re.findall(r"\w+", new)
+    given, family = words[4], words[5]
+    assert given.lower() in sg._NAME_LISTS[0] and words[8] == family and words[10:12] == [given.upper(), family.upper()]
+    assert words[12:14] == [given.lower(), family.lower()] and words[-2:] == ["A", "smith"]
+    olivia, brown = words[:2]
+    assert olivia.lower() in sg._NAME_LISTS[1] and words[16:18] == [olivia, brown] and words[19] == olivia
+    assert "Olivia" not in new and "Brown" not in new and "Smith" not in new
+    assert len({e["original"] for e in entities}) == 2 and len({e["surrogate"] for e in entities}) == 2
+
+
+@pytest.mark.parametrize("title,names", [("Mrs", 1), ("Herr", 0), ("Mme", 1), ("Señora", 1), ("Г-н", 2), ("Г-жа", 3)])
+def test_titles_state_the_gender(title, names):
+    given, family = ("Зоя", "Петрова") if title.startswith("Г") else ("Xaviera", "O'Neil-Black")
+    new, (entity,) = sg.replaced(f"{title} {given} {family} came.", KEY)
+    first, last = new[entity["start"] : entity["end"]].split()
+    assert first.lower() in sg._NAME_LISTS[names] and last != family and shape(last) == shape(family)
+    assert not set(re.split(r"\W", family)) & set(re.split(r"\W", last)) - {"O"}
+
+
+def test_many_names_of_one_family_stay_distinct(spark):
+    """More given names than a list has: they clash, are re-keyed, and the last become words of their own shape."""
+    given = ["".join(w).capitalize() for w in itertools.product("bdkl", "aeo", "rstv", "aei")]
+    rows = [(i, f"Mrs {name} Brown and Mr Paul Brown.") for i, name in enumerate(given)]
+    got = sg.replace_entities(spark.createDataFrame(rows, SCHEMA), b"k").collect()
+    assert len({r["text"] for r in got}) == len(given) and not any("Brown" in r["text"] for r in got)
+    assert len({r["text"].split(" and ")[1] for r in got}) == 1
+
+
+def test_addresses_of_hexadecimal_groups():
+    for address in ("2001:db8:85a3:0:0:8a2e:370:7334", "2001:DB8::FF00:42:8329", "fe80::1", "abcd:ef::ab"):
+        new, (entity,) = sg.replaced(f"at {address}, std::vector and 10:30:45", KEY)
+        assert entity["kind"] == "ip6" and address not in new and new.endswith(", std::vector and 10:30:45")
+        assert re.sub("[0-9a-fA-F]", "x", new[3 : entity["end"]]) == re.sub("[0-9a-fA-F]", "x", address)
+
+
+def test_recall_on_planted_names():
+    """200 persons: half with a title, half with a listed given name; each once by its full name and once by its surname."""
+    pick = random.Random(7)
+    listed = [n.capitalize() for names in sg._NAME_LISTS[:2] for n in names]
+    kept = 0
+    for i in range(200):
+        family = "".join(pick.choice(sg.ALPHABETS[(at + 1) % 2]) for at in range(pick.randint(4, 9))).capitalize()
+        given = pick.choice(listed) if i % 2 else "".join(pick.choice(sg.ALPHABETS[(at + 1) % 2]) for at in range(5)).capitalize()
+        name = f"{given} {family}" if i % 2 else f"{pick.choice(['Mr', 'Mrs', 'Dr', 'Frau'])} {given} {family}"
+        new, _ = sg.replaced(f"In the morning {name} went home. Later {family} came back.", KEY)
+        kept += family in new or f"{given} " in new
+    assert kept == 0
 
 
 def test_query_replaces_all_and_nothing_else(spark):
