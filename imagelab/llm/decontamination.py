@@ -12,9 +12,10 @@ keeps, so documents keep the least hashes of the shortest run that some item nee
 words are a single k-gram of their length.
 
 Results depend on the text alone, so everything between the two scans goes by the digest of the text,
-and copies of a document share it. Documents are never shuffled as long as the kept hashes and windows
-of the benchmark are written tables that Spark can broadcast by their size; beyond, the kept hashes are
-shuffled (about two in seven words, 16 bytes and a digest each) and the texts that have hits.
+and copies of a document share it. In the second scan a bounded list of digest buckets keeps back the
+texts without hits, so that only those with hits are shuffled, if Spark does not broadcast the hits.
+The hashes and windows of the benchmark are written tables that Spark broadcasts by their size; beyond,
+the kept hashes of the documents are shuffled (about two in seven words, 16 bytes and a digest each).
 
 Defined results: null text has no words; null item ids are one item that is written as an empty
 name; repeated items of one id are one item, repeated documents keep a row each; an item without
@@ -37,6 +38,7 @@ WORDS_ANY_CASE = r"[0-9A-Za-z[^\x00-\x7F]]+"
 OTHER_CAPITALS = r"[[\p{javaUpperCase}\p{javaTitleCase}]&&[^A-Z]]"
 WINDOW = 10  # words
 GRAM = 5  # words of a k-gram, unless the window is shorter
+BUCKETS = 1 << 20  # of digests; which of them have hits is broadcast
 
 
 def words_of(text: Column) -> Column:
@@ -183,6 +185,10 @@ def contaminated_spans(
     found = exploded.select("digest", "kept.*").join(prints, ["size", "hash"], "left_semi")
     hits = materialise(found.groupBy("digest").agg(F.collect_set(F.struct("size", "at")).alias("hits")), "hits")
 
+    # texts without hits stay where they are: only those in a bucket of some hit can meet one
+    bucket = F.pmod(F.xxhash64("digest"), F.lit(BUCKETS)).alias("bucket")
+    buckets = F.broadcast(materialise(hits.select(bucket).distinct(), "buckets"))  # at most BUCKETS numbers
+    texts = texts.withColumn("bucket", bucket).join(buckets, "bucket", "left_semi")
     narrow = hits.select(F.col("digest").alias("_digest"), "hits")
     hit_texts = texts.join(narrow, texts["digest"] == narrow["_digest"]).select("digest", "hits", words_of(F.col("text")).alias("words"))
     listed = hit_texts.withColumn("windows", _candidates("hits", lengths, gram, F.size("words")))
