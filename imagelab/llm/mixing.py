@@ -2,10 +2,11 @@
 
 Every source gets a target number of words. Its documents are shuffled by a seeded hash and served
 in that order, up to `most` times; a document's virtual finish time is its source's words so far
-divided by the source's target. All services are range-sorted by that time and the mix ends where
-the total budget is used up, which is at virtual time 1, because the targets add up to the budget.
-A document in service at that moment is cut there, so each source ends within one word of its
-target.
+divided by the source's target. All services are range-sorted by that time, with running totals of
+their words. All sources being served at once, words in proportion to the targets have been served at
+any virtual time, and the whole budget at time 1: the queue is truncated behind the last service that
+is finished by then. What the budget leaves there goes to the documents next in line, one of each
+source, which are cut, so each source ends within one word of its target.
 
 No task sees a whole source: documents fall into about sqrt(rows) hash buckets of each source, the
 buckets are summed up and put in line (one narrow row each), and running totals are taken inside
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from imagelab.llm.common import WORD, col, fresh
-from imagelab.operators.indexing import with_global_index
+from imagelab.operators.indexing import with_global_index, with_running_total
 from imagelab.session import materialise
 
 WEIGHTS = (5, 2, 1)
@@ -99,17 +100,17 @@ def fair_queue(
     most: int = MOST,
     seed: str = "",
 ) -> DataFrame:
-    """(id, row, size, source_size, target, turn, finish, taken), a row for each document and turn.
+    """(id, row, print, size, source_size, target, turn, finish, served, taken), a row for each document and turn.
 
-    Rows are in order of virtual finish time over the range partitions of the written result.
-    `taken` words of the document belong to the mix in this turn: all, the part before the end of
-    the budget, or none.
+    `served` is the running total of words in order of virtual finish time. `taken` words of the
+    document belong to the mix in this turn: all, the part before the end of the budget, or none.
     """
     sizes = materialise(
         df.select(
             col(id_col).alias("id"),
             col(source_col).alias("source"),
             word_count(col(text_col)).alias("size"),
+            F.xxhash64(col(text_col)).alias("print"),
             F.monotonically_increasing_id().alias("row"),
         ),
         "sizes",
@@ -119,9 +120,24 @@ def fair_queue(
     turns = lined.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
     start = F.col("before") + F.col("turn") * F.col("source_size")
     finish = F.when(F.col("target") > 0, (start + F.col("size")) / F.col("target")).otherwise(F.lit(0.0))
-    served = F.greatest(F.lit(0), F.least(F.col("size"), F.floor("target") - start)).cast("long")
-    queue = turns.select("id", "row", "size", "source_size", "target", "turn", finish.alias("finish"), served.alias("taken"))
-    return materialise(queue.orderBy("finish", "row", "turn"), "queue")
+    queue = turns.select("id", "row", "print", "source", "size", "source_size", "target", "turn", finish.alias("finish"))
+    order = [F.col("finish"), F.col("source").asc_nulls_last(), F.col("row"), F.col("turn")]
+    return truncated(materialise(with_running_total(queue, order, "size", "served"), "queue"))
+
+
+def truncated(queue: DataFrame) -> DataFrame:
+    """Add `taken` to a written queue with running totals `served`, cut at the end of the budget."""
+    cut = queue.filter("finish <= 1.0").agg(F.max("served")).first()[0] or 0
+    before = F.col("served") <= cut
+    left = queue.groupBy(F.col("source").alias("_source")).agg(
+        F.coalesce(F.sum(F.when(before, F.col("size"))), F.lit(0)).alias("_done"),
+        F.min(F.when(~before & (F.col("size") > 0), F.struct("served", "row", "turn"))).alias("_next"),
+    )
+    joined = queue.join(materialise(left, "in_service"), F.col("source").eqNullSafe(F.col("_source")))
+    in_service = (F.col("row") == F.col("_next.row")) & (F.col("turn") == F.col("_next.turn"))
+    part = F.greatest(F.lit(0), F.least(F.col("size"), F.floor("target") - F.col("_done")))
+    taken = F.when(before, F.col("size")).when(in_service, part).otherwise(0).cast("long")
+    return joined.withColumn("taken", taken).drop("source", "_source", "_done", "_next")
 
 
 def mixed_sizes(df: DataFrame, **options) -> DataFrame:
@@ -140,12 +156,12 @@ def mix_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     queue = fair_queue(df, id_col=id_col, text_col=text_col, most=most, **options)
     # each row of a document is in the queue `most` times
-    taken = queue.groupBy("id", "size").agg((F.sum("taken") * most / F.count("*")).alias("words"))
+    taken = queue.groupBy("id", "print", "size").agg((F.sum("taken") * most / F.count("*")).alias("words"))
     times = F.when(F.col("size") == 0, 1).otherwise(F.round(F.col("words") / F.col("size"))).cast("int")
-    n, key, size, repeats = (fresh(df, name) for name in ("_n", "_key", "_size", "_repeats"))
-    wanted = taken.select(F.col("id").alias(key), F.col("size").alias(size), times.alias(repeats))
-    keyed = df.withColumn(n, word_count(col(text_col)))
-    on = keyed[id_col].eqNullSafe(wanted[key]) & (keyed[n] == wanted[size])
-    joined = keyed.join(wanted.filter(wanted[repeats] > 0).hint("shuffle_hash"), on)
+    key, key_print, repeats, n, own = (fresh(df, name) for name in ("_key", "_key_print", "_repeats", "_n", "_print"))
+    wanted = taken.select(F.col("id").alias(key), F.col("print").alias(key_print), times.alias(repeats))
+    keyed = df.withColumn(own, F.xxhash64(col(text_col)))
+    on = col(id_col).eqNullSafe(col(key)) & (col(own) == col(key_print))
+    joined = keyed.join(wanted.filter(col(repeats) > 0).hint("shuffle_hash"), on)
     repeated = joined.withColumn(n, F.explode(F.sequence(F.lit(1), col(repeats))))
     return repeated.select(*[col(c) for c in df.columns])

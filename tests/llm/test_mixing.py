@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from imagelab.llm import mixing
 
@@ -98,3 +99,35 @@ def test_nothing_to_mix(spark, texts):
     got = mixing.mixed_sizes(df).collect()
     assert [(r["target"], r["taken"]) for r in got] == [(0.0, 0)] * len(texts)
     assert mixing.mix_documents(df).count() == len(texts)
+
+
+def test_takes_come_from_the_order_of_the_queue(spark, rows):
+    """The same services in another order give other takes; in theirs, the mix ends with the budget."""
+    queue = mixing.fair_queue(spark.createDataFrame(rows, SCHEMA))
+    budget = 1.5 * queue.filter("turn = 0").agg(F.sum("size")).first()[0]
+    taken = queue.agg(F.sum("taken")).first()[0]
+    assert budget - 20 < taken <= budget
+    sources = {(r["id"], r["size"]): r["source"] for r in spark.createDataFrame(rows, SCHEMA).withColumn("size", mixing.word_count(F.col("text"))).withColumnRenamed("doc_id", "id").collect()}
+    listed = [r.asDict() for r in queue.collect()]
+    takes = {}
+    for name, order in (("own", lambda r: r["served"]), ("other", lambda r: (-r["size"], r["row"]))):
+        served, made = 0, []
+        for r in sorted(listed, key=order):
+            served += r["size"]
+            own = dict(r, source=sources[r["id"], r["size"]], served=r["served"] if name == "own" else served)
+            made.append({k: own[k] for k in own if k != "taken"})
+        names = "row bigint, turn int, size bigint, target double, finish double, source string, served bigint"
+        again = mixing.truncated(spark.createDataFrame([tuple(r[c.split()[0]] for c in names.split(", ")) for r in made], names))
+        takes[name] = {(r["row"], r["turn"]): r["taken"] for r in again.collect()}
+    assert takes["own"] == {(r["row"], r["turn"]): r["taken"] for r in listed} != takes["other"]
+
+
+def test_mixed_documents_of_one_id_and_size(spark):
+    """Two texts of one id and word count keep their own takes; names may hold dots."""
+    rows = [(1, "s", "a b c"), (1, "s", "d e f")] * 2 + [(i, "t", "w " * i) for i in range(2, 40)]
+    df = spark.createDataFrame(rows, "`doc.id` bigint, source string, text string")
+    mixed = mixing.mix_documents(df, id_col="doc.id")
+    assert mixed.columns == df.columns and mixed.count() > len(rows)
+    per_text = {t: n for t, n in mixed.groupBy("text").count().collect()}
+    sizes = mixing.mixed_sizes(df.withColumnRenamed("doc.id", "doc_id")).collect()
+    assert sum(r["taken"] for r in sizes if r["id"] == 1) == pytest.approx(3 * (per_text.get("a b c", 0) + per_text.get("d e f", 0)), abs=3)
