@@ -29,7 +29,7 @@ from imagelab.session import materialise, ship_package
 
 TOP = 20
 SHARD_ROWS = 16384
-QUERY_ROWS = 1024
+QUERY_ROWS = 16384  # of 64 terms are 8 MB; each vector is copied once for as many queries
 BLOCK_ROWS = 4096
 PROBE = 8  # non-essential terms between two checks of who still competes
 EXACT = float(1 << 53)
