@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -40,3 +44,21 @@ def test_entry_runs(spark):
 
 def test_every_oracle_belongs_to_a_query():
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
+@pytest.mark.parametrize("blocked", ["xxhash", "imagelab.llm", "corpus_pipeline", "public_tokenizers"])
+def test_the_rest_runs_without_the_text_operators(blocked):
+    """In a process of its own that cannot import them, or a package they need."""
+    script = f"""
+import sys
+sys.modules[{blocked!r}] = None
+import __spark_entry__ as entry
+from pyspark.sql import SparkSession
+assert "pipeline" not in entry.queries() and not [q for q in entry.queries() if q.startswith("op")]
+assert len(entry.queries()) > 70 and set(entry.oracle_sql()) <= set(entry.queries())
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+assert entry.queries()["label_ids"](spark, "/root/testdata/sf0.001").count() > 0
+"""
+    root = os.path.dirname(os.path.abspath(entry_points.__file__))
+    done = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
