@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import query, table
-from catalog.standins import SQL_BYTES, SQL_MIXED, images, mixed_images
+from catalog.standins import SQL_BYTES, SQL_MIXED, images, line_key, mixed_images
 from imagelab.functions import columns as fx
 from imagelab.operators import classes, filters
 from imagelab.operators.encoding import one_hot_column
@@ -224,3 +224,21 @@ def one_hot_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = classes.with_label(docs, dictionary, "lang")
     bits = F.array_join(fx.one_hot(F.col("label"), dictionary.count()), ",")
     return labelled.select("doc_id", bits.alias("bits"))
+
+
+@query("""
+WITH ranked AS (
+  SELECT l_returnflag, l_orderkey, l_linenumber,
+         row_number() OVER (PARTITION BY l_returnflag ORDER BY md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey))) AS place,
+         count(*) OVER (PARTITION BY l_returnflag) AS n
+  FROM lineitem)
+SELECT l_returnflag, CASE WHEN place <= floor(n * 70 / 100) THEN 'train' ELSE 'test' END AS side, count(*) AS n,
+       CAST(sum(l_orderkey * 8 + l_linenumber) AS BIGINT) AS keys
+FROM ranked GROUP BY ALL""")
+def split_exact_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exactly 70 % of the lines of every flag, rounded down."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
+    sides = classes.exact_split(lines, "l_returnflag", line_key(), 70)
+    named = [df.withColumn("side", F.lit(name)) for name, df in zip(("train", "test"), sides)]
+    keys = F.sum(F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("keys")
+    return named[0].unionByName(named[1]).groupBy("l_returnflag", "side").agg(F.count("*").alias("n"), keys)

@@ -1,11 +1,13 @@
 """Scores, accuracy and profiles."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog import query, table
 from imagelab.functions import columns as fx
 from imagelab.operators import metrics as ms
+from imagelab.operators import sketches as sk
+from imagelab.session import delete_on_exit, materialise, scratch_path
 
 NAMES = [f"class_{i:02d}" for i in range(64)]
 
@@ -121,3 +123,52 @@ def evaluator_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "labels").select(F.col("quality").cast("double"), F.col("toxic").cast("double"))
     rate = ms.evaluator_accuracy(rows, "quality", "toxic")
     return spark.createDataFrame([(round(rate, 9),)], "accuracy double")
+
+
+def _rank_is_right(df: DataFrame, at: DataFrame, group: str, value: str, claimed: str) -> DataFrame:
+    """(group, points, within): whether the claimed share of rows up to each value is that of all rows, within the error."""
+    both = df.join(F.broadcast(at.withColumnRenamed(group, "_group")), F.col(group) == F.col("_group"))  # a few points a group
+    counted = both.groupBy(group, "_at", claimed).agg(
+        F.avg((F.col(value) <= F.col("_at")).cast("double")).alias("upto"), F.avg((F.col(value) < F.col("_at")).cast("double")).alias("below")
+    )
+    close = (F.col(claimed) <= F.col("upto") + sk.RANK_ERROR) & (F.col(claimed) >= F.col("below") - sk.RANK_ERROR)
+    return counted.groupBy(group).agg(F.count("*").alias("points"), F.bool_and(close).alias("within"))
+
+
+@query("""
+WITH s AS (SELECT c AS class_id, embedding[c + 1] AS score FROM embeddings, range(10) AS k(c))
+SELECT CAST(class_id AS INTEGER) AS class_id, true AS fpr_within, true AS tpr_within, true AS falls, count(*) > 0 AS any_rows
+FROM s GROUP BY class_id""")
+def roc_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curves of ten classes from merged sketches of two halves, against the exact rates at their thresholds."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.slice("embedding", 1, 10).alias("scores"))
+    halves = [sk.score_sketches(rows.filter(F.col("vec_id") % 2 == half)) for half in (0, 1)]
+    curve = materialise(sk.roc_curve(sk.merged_score_sketches(halves[0].unionByName(halves[1])), 20), "curve")
+    each = rows.select("label", F.posexplode("scores").alias("class_id", "score")).withColumn("score", F.col("score").cast("double"))
+    sides = {"fpr": F.col("label") != F.col("class_id"), "tpr": F.col("label") == F.col("class_id")}
+    checked = None
+    for rate, side in sides.items():
+        at = curve.filter(F.col("threshold") > float("-inf")).select("class_id", F.col("threshold").alias("_at"), (1 - F.col(rate)).alias("_share"))
+        found = _rank_is_right(each.filter(side), at, "class_id", "score", "_share").select("class_id", F.col("within").alias(f"{rate}_within"))
+        checked = found if checked is None else checked.join(found, "class_id")
+    line = Window.partitionBy("class_id").orderBy("threshold")
+    falls = curve.withColumn("_ok", F.coalesce((F.lag("fpr").over(line) >= F.col("fpr")) & (F.lag("tpr").over(line) >= F.col("tpr")), F.lit(True)))
+    shape = falls.groupBy("class_id").agg(F.bool_and("_ok").alias("falls"), (F.count("*") > 0).alias("any_rows"))
+    return checked.join(shape, "class_id").select("class_id", "fpr_within", "tpr_within", "falls", "any_rows")
+
+
+@query("""
+SELECT l_returnflag, count(*) AS n, CAST(9 AS BIGINT) AS points, true AS within FROM lineitem GROUP BY l_returnflag""")
+def size_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deciles of a size from a profile that was written in two parts, against the exact shares."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", (F.col("l_partkey") * 7 + F.col("l_orderkey")).alias("size"))
+    path = scratch_path(spark, "profile")
+    delete_on_exit(spark, path.rsplit("/", 1)[0])
+    for status in ("F", "O"):
+        part = lines.filter(F.col("l_linestatus") == status)
+        sk.append_profile(sk.size_sketches(part, "l_returnflag", {"size": F.col("size")}), path, status)
+    deciles = sk.size_quantiles(sk.read_profile(spark, path), [i / 10 for i in range(1, 10)])
+    at = deciles.select("l_returnflag", F.col("size").alias("_at"), "share")
+    checked = _rank_is_right(lines, at, "l_returnflag", "size", "share").withColumnRenamed("l_returnflag", "_flag")
+    counts = deciles.select("l_returnflag", "n").distinct()
+    return counts.join(checked, F.col("l_returnflag") == F.col("_flag")).select("l_returnflag", "n", "points", "within")

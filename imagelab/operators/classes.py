@@ -83,6 +83,58 @@ def hash_split(
     return df.filter(bucket < train_percent), df.filter(bucket >= train_percent)
 
 
+DIGIT = 3  # hexadecimal digits of the key hash that one round looks at: 4,096 counts for each class
+
+
+def share_bounds(df: DataFrame, class_col: str, key: Column, percent: int, salt: str = "") -> DataFrame:
+    """(class, bound): hashes up to `bound`, by prefix, are those of exactly floor(percent / 100 * n) rows of the class.
+
+    The hash that parts a class is found by radix selection: rows are counted by the first digits of
+    their hash, the digit where the wanted count is reached is opened, and its rows counted by the next
+    ones, until the count is met exactly, which takes two or three rounds. Each round is one aggregate
+    over narrow rows; nothing is sorted. Rows of one key are never parted: if only some of them fit, none are
+    taken. A class of which nothing is taken has no bound.
+    """
+    digest = F.md5(F.concat(F.lit(salt), F.coalesce(key.cast("string"), F.lit(""))))
+    rows = materialise(df.select(F.col(class_col).alias("class"), digest.alias("digest")), "digests")
+    wanted = F.floor(F.count("*") * percent / 100)
+    state = materialise(rows.groupBy("class").agg(wanted.cast("bigint").alias("left")).withColumns({"prefix": F.lit(""), "met": F.col("left") == 0}), "bounds")
+    for depth in range(0, 32, DIGIT):
+        is_open = state.filter("NOT met").select(F.col("class").alias("_class"), "prefix", "left")
+        if is_open.isEmpty():
+            break
+        inside = rows.join(is_open, F.col("class").eqNullSafe(F.col("_class")) & (F.substring("digest", 1, depth) == F.col("prefix")))
+        digit = F.substring("digest", 1, depth + DIGIT)
+        counts = inside.groupBy("class", "left", digit.alias("next")).agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("class").orderBy("next"))  # at most 4,096 rows of a class
+        line = counts.withColumn("upto", upto)
+        reached = line.filter((F.col("upto") >= F.col("left")) & (F.col("upto") - F.col("n") < F.col("left")))
+        before = F.col("upto") - F.col("n")
+        met = F.col("upto") == F.col("left")
+        found = reached.select("class", (F.col("left") - before).alias("left"), F.col("next").alias("prefix"), met.alias("met"))
+        state = materialise(state.filter("met").unionByName(found), "bounds")
+    # what is not met after the whole hash is one key with more rows than fit: it stays out, by a bound just below
+    bound = F.when(F.col("met"), F.col("prefix")).otherwise(F.concat(F.col("prefix"), F.lit("<")))
+    return materialise(state.filter("prefix <> ''").select("class", bound.alias("bound")), "bounds")
+
+
+def exact_split(df: DataFrame, class_col: str, key: Column, percent: int = 70, salt: str = "") -> tuple[DataFrame, DataFrame]:
+    """(train, test) with exactly floor(percent / 100 * n) training rows of every class, by the hash of a unique row key.
+
+    The wide rows are only filtered, by the bound of their class: one row for each class, which Spark
+    broadcasts by its size.
+    """
+    digest = F.md5(F.concat(F.lit(salt), F.coalesce(key.cast("string"), F.lit(""))))
+    bounds = share_bounds(df, class_col, key, percent, salt).select(F.col("class").alias("_class"), F.col("bound").alias("_bound"))
+    joined = df.withColumn("_digest", digest).join(bounds, F.col(class_col).eqNullSafe(F.col("_class")), "left")
+    whole = ~F.col("_bound").endswith("<")
+    plain = F.rtrim(F.col("_bound"), F.lit("<"))
+    first = F.substring(F.col("_digest"), F.lit(1), F.length(plain))
+    taken = F.coalesce((first < plain) | (whole & (first == plain)), F.lit(False))
+    columns = [df[c] for c in df.columns]
+    return joined.filter(taken).select(*columns), joined.filter(~taken).select(*columns)
+
+
 def random_split(df: DataFrame, train_percent: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """Spark's own sampling split; it depends on the partitioning of `df` besides the seed."""
     train, test = df.randomSplit([train_percent / 100, 1 - train_percent / 100], seed)
