@@ -2,11 +2,15 @@
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from imagelab.session import materialise
+
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+BUCKETS = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +38,36 @@ def same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) ->
     return first
 
 
+def address(df: DataFrame) -> Column | None:
+    """File and place of each row, if `df` reads files that know them; the same in every later read of `df`."""
+    if "_metadata" in df.columns:
+        return None
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    try:
+        df.select(at).schema
+    except AnalysisException:
+        return None
+    return at
+
+
+def without_rows(df: DataFrame, at: Column, dropped: DataFrame) -> DataFrame:
+    """The rows of `df` whose address `at` is not in the written list `dropped`, a column `row` of distinct addresses.
+
+    A bounded list of hash buckets tells which rows can be meant at all. All others stay where they
+    lie; only the rows in these buckets are joined with the list.
+    """
+    place, bucket = fresh(df, "_row"), fresh(df, "_bucket")
+    named = df.withColumn(place, at).withColumn(bucket, F.pmod(F.xxhash64(col(place)), F.lit(BUCKETS)))
+    hit = dropped.select(F.pmod(F.xxhash64("row"), F.lit(BUCKETS)).alias("_hit")).distinct()
+    hit = F.broadcast(materialise(hit, "buckets"))  # at most BUCKETS numbers
+    meant = named[bucket] == hit["_hit"]
+    listed = dropped.select(F.col("row").alias("_dropped"))
+    joined = named.join(hit, meant, "left_semi")
+    joined = joined.join(listed, col(place) == F.col("_dropped"), "left_anti")
+    columns = [col(c) for c in df.columns]
+    return named.join(hit, meant, "left_anti").select(*columns).unionByName(joined.select(*columns))
+
+
 def keep_listed(df: DataFrame, keys: dict[str, Column], listed: DataFrame) -> DataFrame:
     """The rows of `df` whose key values are in `listed`, one row for each listed key.
 

@@ -15,7 +15,7 @@ last; of rows that repeat id and text exactly one stays; an empty table gives no
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from imagelab.llm.common import SPACES, col, fresh, keep_listed
+from imagelab.llm.common import SPACES, address, col, keep_listed, without_rows
 from imagelab.session import materialise
 
 TRACKED = 4096  # counters of the summary in each task; the bound on what it reports
@@ -32,12 +32,12 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(normalised(text), 256))
 
 
-def digest_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, digest, row): the written narrow table that all later passes read."""
+def digest_table(df: DataFrame, id_col: str, text_col: str, row: Column | None = None) -> DataFrame:
+    """(id, digest, row): the written narrow table that all later passes read; `row` tells rows apart."""
     rows = df.select(
         col(id_col).alias("id"),
         digest(col(text_col)).alias("digest"),
-        F.monotonically_increasing_id().alias("row"),
+        (F.monotonically_increasing_id() if row is None else row).alias("row"),
     )
     return materialise(rows, "digests")
 
@@ -62,7 +62,7 @@ def _first_row() -> Column:
 
 
 def resolve(digests: DataFrame) -> DataFrame:
-    """(id, keep_id, group_size, kept, digest): the fate of every row of a digest table."""
+    """(id, keep_id, group_size, kept, digest, row): the fate of every row of a digest table."""
     suspects = F.broadcast(materialise(frequent_keys(digests), "suspects"))  # at most REPORTED rows
     suspected = digests.join(suspects, F.xxhash64("digest") == suspects["key"], "left_semi")
     exact = suspected.groupBy("digest").agg(_first_row().alias("first"), F.count("*").alias("size"))
@@ -78,15 +78,25 @@ def resolve(digests: DataFrame) -> DataFrame:
         F.col("size").alias("group_size"),
         (F.col("row") == F.col("first.row")).alias("kept"),
         "digest",
+        "row",
     )
 
 
 def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, keep_id, group_size, kept, digest), one row for each row of `df`."""
+    """(id, keep_id, group_size, kept, digest, row), one row for each row of `df`."""
     return resolve(digest_table(df, id_col, text_col))
 
 
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `df` that stay, with all their columns."""
+    """The rows of `df` that stay, with all their columns.
+
+    Rows of files are told apart by their place in them, so digests are computed once and no row is
+    shuffled but those near a dropped one; of rows that repeat id and text the first one by place stays.
+    Other frames are joined with the list of what stays, and a hash of the whole row chooses.
+    """
+    at = address(df)
+    if at is not None:
+        fate = resolve(digest_table(df, id_col, text_col, at))
+        return without_rows(df, at, materialise(fate.filter("NOT kept").select("row"), "dropped"))
     kept = exact_duplicates(df, id_col, text_col).filter("kept").select(F.col("id"), F.col("digest"))
     return keep_listed(df, {"id": col(id_col), "digest": digest(col(text_col))}, kept)

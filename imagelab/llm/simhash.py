@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from imagelab.llm import golay
-from imagelab.llm.common import col, keep_listed
+from imagelab.llm.common import address, col, keep_listed, without_rows
 from imagelab.llm.components import connected_components
 from imagelab.session import materialise, ship_package
 
@@ -165,15 +165,17 @@ def links(fingerprints: DataFrame, group: int = GROUP) -> DataFrame:
     return rows.repartition("group").sortWithinPartitions("group").mapInArrow(_link, "a bigint, b bigint")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fingerprint, component_id, keeper), one row for each row of `df`.
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", row: Column | None = None) -> DataFrame:
+    """(id, fingerprint, component_id, keeper, row, kept), one row for each row of `df`.
 
     `keeper` is the fingerprint of the row that stands for the component, whose id is `component_id`.
+    Of the rows with that id and fingerprint the one with the least `row`, which tells rows apart, is kept.
     """
     ship_package(df.sparkSession)
     text = col(text_col).cast("string")
-    rows = materialise(df.select(col(id_col).alias("id"), fingerprint(text).alias("fp")), "fingerprints")
-    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "fp"))
+    own = (F.monotonically_increasing_id() if row is None else row).alias("row")
+    rows = materialise(df.select(col(id_col).alias("id"), fingerprint(text).alias("fp"), own), "fingerprints")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "fp", "row"))
     classes = materialise(rows.groupBy("fp").agg(first.alias("first")), "classes")
     labels = connected_components(links(classes.select("fp")))
     rooted = classes.join(labels, F.col("fp") == F.col("node"), "left")
@@ -183,12 +185,25 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of_class = rooted.drop("first").join(firsts, F.col("root") == F.col("_root"))
     of_class = materialise(of_class.select(F.col("fp").alias("_fp"), "first"), "of_class")
     return rows.join(of_class, F.col("fp") == F.col("_fp")).select(
-        "id", F.col("fp").alias("fingerprint"), F.col("first.id").alias("component_id"), F.col("first.fp").alias("keeper")
+        "id",
+        F.col("fp").alias("fingerprint"),
+        F.col("first.id").alias("component_id"),
+        F.col("first.fp").alias("keeper"),
+        "row",
+        (F.col("row") == F.col("first.row")).alias("kept"),
     )
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of `df` for each component, with all its columns."""
+    """One row of `df` for each component, with all its columns.
+
+    Rows of files are told apart by their place in them, so fingerprints are computed once and no row
+    is shuffled but those near a dropped one; other frames are joined with the list of what stays.
+    """
+    at = address(df)
+    if at is not None:
+        near = near_duplicates(df, id_col, text_col, at)
+        return without_rows(df, at, materialise(near.filter("NOT kept").select("row"), "dropped"))
     near = near_duplicates(df, id_col, text_col)
     kept = near.select(F.col("component_id").alias("id"), F.col("keeper").alias("fp")).distinct()
     keys = {"id": col(id_col), "fp": fingerprint(col(text_col).cast("string"))}

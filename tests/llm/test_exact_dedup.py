@@ -4,7 +4,7 @@ from collections import defaultdict
 
 import pytest
 
-from imagelab.llm import exact_dedup
+from imagelab.llm import common, exact_dedup
 
 ROWS = [
     (5, "a  b"), (3, "a\tb"), (9, "a b"), (1, " a b"), (2, None), (7, ""), (8, "a b"), (None, "a b"), (None, None),
@@ -61,3 +61,20 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert exact_dedup.exact_duplicates(df).count() == 0
     assert exact_dedup.drop_exact_duplicates(df).count() == 0
+
+
+def test_rows_of_files_are_dropped_by_their_place(spark, tmp_path, monkeypatch):
+    """The same texts stay as by the list of keys, also when all rows share a few buckets."""
+    rows = [(i, t, f"x{n}", 1, None) for n, (i, t) in enumerate(ROWS * 2 + [(100 + n, f"text {n % 60}") for n in range(200)])]
+    names = "doc_id bigint, text string, id string, _row int, digest string"
+    made = spark.createDataFrame(rows, names)
+    made.repartition(3).write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    assert common.address(df) is not None and common.address(made) is None
+    expected = sorted((str(r["doc_id"]), body(r["text"])) for r in exact_dedup.drop_exact_duplicates(made).collect())
+    for buckets in (1 << 20, 3):
+        monkeypatch.setattr(common, "BUCKETS", buckets)
+        kept = exact_dedup.drop_exact_duplicates(df)
+        assert kept.columns == df.columns
+        assert sorted((str(r["doc_id"]), body(r["text"])) for r in kept.collect()) == expected
+    assert exact_dedup.drop_exact_duplicates(df.limit(0)).count() == 0
