@@ -61,7 +61,9 @@ def rf_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(SQL_OWN_LABEL)
 def mlp_fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full head of 1,024 rectified units, trained by mini-batches over several epochs with early stopping."""
-    return _fit_and_score(spark, sf_dir, training.relu_head(epochs=6, batches=4, patience=2))
+    rows = training.training_rows(line_features(_lines(spark, sf_dir)))
+    train, test = training.split_rows(rows, "key", row_key=True)
+    return training.count_outcomes(training.fit(training.relu_head(epochs=6, batches=4, patience=2), train).transform(test))
 
 
 @query(SQL_OWN_LABEL)

@@ -148,15 +148,17 @@ def training_rows(df: DataFrame, features: str = "features") -> DataFrame:
 
 
 def split_rows(
-    df: DataFrame, key: str, train_percent: int = 70, salt: str = ""
+    df: DataFrame, key: str, train_percent: int = 70, salt: str = "", row_key: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) of a written copy of the feature rows, by the hash of the `key` column.
 
     Estimators pass over their input many times. What produced the rows (a network over all
     pixels, hashing of keys) runs once; each later pass is a parquet scan with the split as a
-    pushed filter. The hash of the key stays, for learners that deal rows into batches.
+    pushed filter. With `row_key` a hash of the key stays, for learners that deal rows into batches.
     """
-    numbered = df.withColumns({"_bucket": hash_bucket(F.col(key), salt), ROW_KEY: F.xxhash64(key)})
+    numbered = df.withColumn("_bucket", hash_bucket(F.col(key), salt))
+    if row_key:
+        numbered = numbered.withColumn(ROW_KEY, F.xxhash64(key))
     written = materialise(numbered.drop(key), "features")
     train = written.filter(f"_bucket < {train_percent}")
     test = written.filter(f"_bucket >= {train_percent}")
@@ -334,7 +336,7 @@ def train_on_features(
     the featurizer, so they score images with its settings.
     """
     features, _ = read_features(spark, path)
-    rows = features.select("features", "label", "_bucket")
+    rows = features.select("features", "label", "_bucket", F.xxhash64("origin").alias(ROW_KEY))
     train = rows.filter(f"_bucket < {int(train_percent)}").drop("_bucket")
     test = rows.filter(f"_bucket >= {int(train_percent)}").drop("_bucket")
     return [run_training(spec, train, test, registry, model_root, [featurizer]) for spec in specs]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from imagelab.plans.scoring import score_features, score_images
+from imagelab.session import published
 
 
 def score_stream(
@@ -30,10 +31,15 @@ def running_hits(scored: DataFrame, label: str = "label", prediction: str = "pre
 
 
 def run_available_totals(totals: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process what is there, and leave the totals so far as a table that each batch replaces."""
+    """Process what is there, and leave the totals so far as a table that each batch replaces by a finished one."""
+
+    def replace(batch: DataFrame, _: int) -> None:
+        with published(batch.sparkSession, path) as folder:
+            batch.write.parquet(folder)
+
     query = (
         totals.writeStream.outputMode("complete")
-        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path))
+        .foreachBatch(replace)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
