@@ -154,12 +154,12 @@ def split_rows(
 
     Estimators pass over their input many times. What produced the rows (a network over all
     pixels, hashing of keys) runs once; each later pass is a parquet scan with the split as a
-    pushed filter. With `row_key` a hash of the key stays, for learners that deal rows into batches.
+    pushed filter, in partitions of bounded rows, because learners keep theirs. With `row_key` a hash of the key stays, for learners that deal rows into batches.
     """
     numbered = df.withColumn("_bucket", hash_bucket(F.col(key), salt))
     if row_key:
         numbered = numbered.withColumn(ROW_KEY, F.xxhash64(key))
-    written = materialise(numbered.drop(key), "features")
+    written = materialise(numbered.drop(key), "features", by_rows=True)
     train = written.filter(f"_bucket < {train_percent}")
     test = written.filter(f"_bucket >= {train_percent}")
     return train.drop("_bucket"), test.drop("_bucket")

@@ -12,6 +12,9 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+PARTITION_ROWS = 250_000  # rows of a table that one task of a learner keeps
+ROW_SLACK = 1.25  # files differ a little in their bytes per row, and one of so many rows is not to be split
+
 _shipped: "weakref.WeakSet" = weakref.WeakSet()
 _job_folders: ContextVar[list[str] | None] = ContextVar("job_folders", default=None)
 
@@ -48,9 +51,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/imagelab-{uuid.uuid4()}/{name}"
 
 
-def materialise(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+def materialise(df: DataFrame, name: str, by: Sequence[str] = (), by_rows: bool = False) -> DataFrame:
     """Write `df` once to the shared folder, in a sub-folder for each value of `by`, and read it back.
 
+    With `by_rows` no partition of the result has many more than PARTITION_ROWS rows, for learners that keep them.
+
     Cuts the lineage, so that a lost executor costs a re-read and not a recomputation, and gives
     the planner true sizes: small tables then join by broadcast, large ones do not. The table
     goes away with the `scratch_of_job` it is written in, or else with the application.
@@ -62,10 +67,38 @@ def materialise(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
         delete_on_exit(spark, path.rsplit("/", 1)[0])
     else:
         folders.append(path.rsplit("/", 1)[0])
-    df.write.partitionBy(*by).parquet(path)
+    writer = df.write.partitionBy(*by)
+    if by_rows:
+        writer = writer.option("maxRecordsPerFile", PARTITION_ROWS)
+    writer.parquet(path)
+    if by_rows:
+        spark = session_by_rows(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def session_by_rows(spark: SparkSession, path: str) -> SparkSession:
+    """A session like `spark` that reads the parquet table at `path` in partitions of about PARTITION_ROWS rows at most.
+
+    Spark cuts and packs files by their bytes alone. Feature rows are small in a file, where equal values
+    are stored once, and large in the memory of a learner that keeps them, so bytes do not bound its
+    tasks. The limits of scans are settings of a session; here they follow from the mean bytes of a row.
+    A file is cut at its row groups only, so write the table with `maxRecordsPerFile`.
+    """
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            session.conf.set(key, value)
+    count = spark.read.parquet(path).count()  # from the footers
+    if count:
+        file_system, hadoop_path = _hadoop(spark, path)
+        size = int(file_system.getContentSummary(hadoop_path).getLength() * PARTITION_ROWS * ROW_SLACK / count)
+        in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+        for key, most in (("maxPartitionBytes", size), ("openCostInBytes", size // 32)):
+            name = f"spark.sql.files.{key}"
+            session.conf.set(name, str(max(1, min(in_bytes(spark.conf.get(name)), most))))
+    return session
+
+
 @contextmanager
 def scratch_of_job(spark: SparkSession) -> Iterator[None]:
     """Drop all tables that `materialise` writes inside, at the end, whether the job succeeds or not.

@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.sql import functions as F
 
+from imagelab import session
 from imagelab.functions.columns import as_class
 from imagelab.operators import metrics as ms
 from imagelab.plans import training
@@ -32,6 +33,35 @@ def test_split_is_complete_and_written(split):
     assert "LessThan(_bucket,70)" in plan and "md5" not in plan
 
 
+def rows_of_partitions(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+@pytest.fixture
+def small_partitions(monkeypatch):
+    monkeypatch.setattr(session, "PARTITION_ROWS", 100)
+
+
+def test_training_rows_come_in_partitions_of_bounded_rows(spark, small_partitions):
+    """However few bytes they take: they are kept in memory by the learners."""
+    df = spark.range(0, 4000, 1, 2).select(F.array(F.lit(1.0)).alias("features"), F.lit(0).alias("label"), F.col("id").alias("key"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    train, test = training.split_rows(training.training_rows(df), "key")
+    assert train.count() + test.count() == 4000
+    for part in (train, test):
+        assert max(rows_of_partitions(part)) <= 100 * session.ROW_SLACK
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_small_files_still_share_partitions(spark, tmp_path):
+    """A partition for each of many small files would be as bad."""
+    path = str(tmp_path / "table")
+    spark.range(0, 200000, 1, 1000).write.parquet(path)
+    read = session.session_by_rows(spark, path).read.parquet(path)
+    assert read.count() == 200000
+    assert read.rdd.getNumPartitions() < 200
+
+
 SPECS = {
     "logistic": lambda: training.logistic_regression(),
     "elastic": lambda: training.elastic_net_regression(),
