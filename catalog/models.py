@@ -16,6 +16,7 @@ from imagelab.sources.images import write_table
 from imagelab.streaming import scoring as streaming
 from imagelab.streaming import uploads
 
+LINES_OF_TASK = 1_000_000
 LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 SQL_OWN_LABEL = f"""WITH {SQL_HELD_OUT}
 SELECT label, label AS prediction, count(*) AS n FROM held_out GROUP BY label"""
@@ -24,8 +25,9 @@ SELECT l_returnflag, l_returnflag AS class_name, count(*) AS n FROM held_out GRO
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEYS, "l_returnflag", "l_linestatus", "l_quantity")
-    return spread(lines, spark.sparkContext.defaultParallelism, LINE_KEYS)
+    lines = table(spark, sf_dir, "lineitem")
+    parts = max(spark.sparkContext.defaultParallelism, lines.count() // LINES_OF_TASK)  # counted from the footers
+    return spread(lines.select(*LINE_KEYS, "l_returnflag", "l_linestatus", "l_quantity"), parts, LINE_KEYS)
 
 
 def _features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
