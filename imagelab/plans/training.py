@@ -26,7 +26,7 @@ from imagelab.operators.filters import drop_null_features, rejects
 from imagelab.operators.images import feature_table, pixel_feature_table
 from imagelab.operators.metrics import accuracy
 from imagelab.plans.head import ROW_KEY, ReluHead
-from imagelab.session import delete, materialise, published, scratch_of_job
+from imagelab.session import delete, materialise, published, scratch_of_job, session_by_rows, with_bounded_files
 from imagelab.sources.registry import Registry, log_run
 
 SEED = 42
@@ -306,7 +306,7 @@ def write_features(
         "reason",
         F.col("reason").isNotNull().cast("int").alias("rejected"),
     )
-    rows.write.partitionBy("rejected").parquet(path)
+    with_bounded_files(rows.write.partitionBy("rejected")).parquet(path)
 
 
 def read_features(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -333,9 +333,10 @@ def train_on_features(
     """One logged run per spec on a written feature table; no image is touched.
 
     The split is a filter on the stored bucket that the scan applies. The saved models begin with
-    the featurizer, so they score images with its settings.
+    the featurizer, so they score images with its settings. Learners keep their rows, so partitions
+    are bounded by rows.
     """
-    features, _ = read_features(spark, path)
+    features, _ = read_features(session_by_rows(spark, path), path)
     rows = features.select("features", "label", "_bucket", F.xxhash64("origin").alias(ROW_KEY))
     train = rows.filter(f"_bucket < {int(train_percent)}").drop("_bucket")
     test = rows.filter(f"_bucket >= {int(train_percent)}").drop("_bucket")

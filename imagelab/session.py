@@ -10,7 +10,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 PARTITION_ROWS = 250_000  # rows of a table that one task of a learner keeps
 ROW_SLACK = 1.25  # files differ a little in their bytes per row, and one of so many rows is not to be split
@@ -69,20 +69,25 @@ def materialise(df: DataFrame, name: str, by: Sequence[str] = (), by_rows: bool
         folders.append(path.rsplit("/", 1)[0])
     writer = df.write.partitionBy(*by)
     if by_rows:
-        writer = writer.option("maxRecordsPerFile", PARTITION_ROWS)
+        writer = with_bounded_files(writer)
     writer.parquet(path)
     if by_rows:
         spark = session_by_rows(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_bounded_files(writer: DataFrameWriter) -> DataFrameWriter:
+    """Files of PARTITION_ROWS rows at most, for `session_by_rows`."""
+    return writer.option("maxRecordsPerFile", PARTITION_ROWS)
+
+
 def session_by_rows(spark: SparkSession, path: str) -> SparkSession:
     """A session like `spark` that reads the parquet table at `path` in partitions of about PARTITION_ROWS rows at most.
 
     Spark cuts and packs files by their bytes alone. Feature rows are small in a file, where equal values
     are stored once, and large in the memory of a learner that keeps them, so bytes do not bound its
     tasks. The limits of scans are settings of a session; here they follow from the mean bytes of a row.
-    A file is cut at its row groups only, so write the table with `maxRecordsPerFile`.
+    A file is cut at its row groups only, so write the table `with_bounded_files`.
     """
     session = spark.newSession()
     for key, value in spark.conf.getAll.items():

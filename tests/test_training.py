@@ -7,7 +7,9 @@ from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.sql import functions as F
 
 from imagelab import session
+from catalog import standins, table
 from imagelab.functions.columns import as_class
+from imagelab.operators.featurizer import ImageFeaturizer
 from imagelab.operators import metrics as ms
 from imagelab.plans import training
 from imagelab.session import materialise, scratch_of_job
@@ -53,6 +55,31 @@ def test_training_rows_come_in_partitions_of_bounded_rows(spark, small_partition
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
 
 
+@pytest.fixture
+def pictures(spark):
+    """One task's worth of small labelled images."""
+    return standins.line_pictures(table(spark, "/root/testdata/sf0.001", "lineitem").limit(1200).coalesce(1))
+
+
+class Seen(training.ModelSpec):
+    """Notes the rows of the partitions that it is fitted on."""
+
+    def fitted(self, train):
+        self.estimator.rows = rows_of_partitions(train)
+        return super().fitted(train)
+
+
+def test_feature_tables_are_read_in_partitions_of_bounded_rows(spark, pictures, small_partitions, tmp_path):
+    featurizer, path, spec = ImageFeaturizer(height=4, width=4, method="nearest"), str(tmp_path / "table"), training.decision_tree()
+    registry = rg.ParquetRegistry(spark, str(tmp_path / "registry"))
+    registry.create()
+    training.write_features(pictures, featurizer, path)
+    seen = Seen(spec.algorithm, spec.estimator)
+    training.train_on_features(spark, path, [seen], registry, str(tmp_path / "models"), featurizer)
+    rows = seen.estimator.rows
+    assert sum(rows) > 700 and max(rows) <= 100 * session.ROW_SLACK
+
+
 def test_small_files_still_share_partitions(spark, tmp_path):
     """A partition for each of many small files would be as bad."""
     path = str(tmp_path / "table")
