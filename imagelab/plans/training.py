@@ -186,7 +186,7 @@ def fit_stages(transformers: Sequence[Transformer], spec: ModelSpec, train: Data
     for stage in transformers:
         ready = stage.transform(ready)
     columns = [spec.estimator.getFeaturesCol(), spec.estimator.getLabelCol()]
-    written = materialise(ready.select(*columns), "features")
+    written = materialise(ready.select(*columns), "features", by_rows=True)
     return PipelineModel(stages=[*transformers, *fit(spec, written).stages])
 
 

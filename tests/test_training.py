@@ -80,6 +80,14 @@ def test_feature_tables_are_read_in_partitions_of_bounded_rows(spark, pictures,
     assert sum(rows) > 700 and max(rows) <= 100 * session.ROW_SLACK
 
 
+def test_a_pipeline_is_fitted_on_partitions_of_bounded_rows(pictures, small_partitions):
+    featurizer, spec = ImageFeaturizer(height=4, width=4, method="nearest"), training.decision_tree()
+    seen = Seen(spec.algorithm, spec.estimator)
+    training.fit_stages([featurizer], seen, pictures)
+    rows = seen.estimator.rows
+    assert sum(rows) > 1000 and max(rows) <= 100 * session.ROW_SLACK
+
+
 def test_small_files_still_share_partitions(spark, tmp_path):
     """A partition for each of many small files would be as bad."""
     path = str(tmp_path / "table")
