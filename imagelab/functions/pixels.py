@@ -19,8 +19,8 @@ KERNEL_SUPPORT = {"bilinear": 1.0, "bicubic": 2.0}
 WEIGHT_ONE = float(1 << 22)
 
 BAND_LINES = 16  # target lines per product of resampling
-CHUNK_VALUES = 8_000_000  # pixel values in work at a time
-ARRAY_VALUES = 1 << 28  # values of one result array; its 32-bit offsets end at 2^31
+CHUNK_VALUES = 2_000_000  # pixel values in work at a time
+ARRAY_VALUES = 1 << 24  # values of one result array, which a Python worker holds twice; 32-bit offsets end at 2^31
 MOST_VALUES = (1 << 31) - 1
 SHORT_LINE = 4096  # rows up to this length are moved by index, longer ones one by one
 

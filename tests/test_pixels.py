@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 from collections.abc import Iterator
 
 import numpy as np
@@ -229,3 +230,19 @@ def test_scattered_rows_are_put_in_their_places():
         data = px.ByteColumn(pa.array([b"ab", b"cde", b"fg"], pa.binary()))
         assert data.lines(np.array([2, 0]), 2).tobytes() == b"fgab"
         px.SHORT_LINE = old
+
+
+def test_a_worker_holds_little_of_a_batch_that_grows():
+    """8 x 8 to 224 x 224: a batch of 10,000 small images would be 1.5 GB."""
+    count, side = 2000, 224
+    data = pa.array([bytes(192)] * count, pa.binary())
+    fields = [pa.array([v] * count, pa.int32()) for v in (8, 8, 3)]
+    images = pa.StructArray.from_arrays([*fields, data], ["height", "width", "nChannels", "data"])
+    tracemalloc.start()
+    made = 0
+    for batch in px.bounded(iter([images]), lambda _: 3 * side * side):
+        reasons, resized = px.resized_stacks(batch, side, side, "nearest")
+        made += len(px.byte_strings(len(batch), list(resized)))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert made == count and peak < 100 << 20
