@@ -27,6 +27,7 @@ Weights = dict[str, np.ndarray]
 ORDER = ("hidden", "hidden_bias", "output", "output_bias")
 DIRECT_BYTES = 64 << 20  # sums of all tasks up to this size go to the driver as they are
 LANES = 16  # beyond, they are added up in so many groups first
+SLICE = 128  # rows in work at a time
 ROW_KEY = "_row"  # column with a number for each row, if the rows have one
 
 
@@ -43,27 +44,53 @@ def initial_weights(width: int, hidden: int, classes: int, seed: int) -> Weights
 def probabilities(weights: Weights, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hidden activations, class probabilities) of each row."""
     active = np.maximum(x @ weights["hidden"] + weights["hidden_bias"], 0.0)
-    scores = active @ weights["output"] + weights["output_bias"]
+    return active, _softmax(active @ weights["output"] + weights["output_bias"])
+
+
+def _softmax(scores: np.ndarray) -> np.ndarray:
     scores = np.exp(scores - scores.max(axis=1, keepdims=True))
-    return active, scores / scores.sum(axis=1, keepdims=True)
+    return scores / scores.sum(axis=1, keepdims=True)
+
+
+def _slices(rows: int) -> Iterator[slice]:
+    return (slice(start, start + SLICE) for start in range(0, rows, SLICE))
+
+
+def _loss(shares: np.ndarray, y: np.ndarray) -> float:
+    return float(-np.log(np.maximum(shares[np.arange(len(y)), y], 1e-15)).sum(dtype=np.float64))
 
 
 def loss_of(weights: Weights, x: np.ndarray, y: np.ndarray) -> float:
     """Sum of the negative log probabilities of the labels."""
-    _, shares = probabilities(weights, x)
-    return float(-np.log(np.maximum(shares[np.arange(len(y)), y], 1e-15)).sum(dtype=np.float64))
+    return sum(_loss(probabilities(weights, x[s])[1], y[s]) for s in _slices(len(y)))
 
 
 def loss_and_gradient(weights: Weights, x: np.ndarray, y: np.ndarray) -> tuple[float, Weights]:
-    """Sums over the rows of the loss and of its derivative by each weight."""
-    active, shares = probabilities(weights, x)
-    loss = -np.log(np.maximum(shares[np.arange(len(y)), y], 1e-15)).sum(dtype=np.float64)
-    wrong = shares
-    wrong[np.arange(len(y)), y] -= 1.0
-    back = (wrong @ weights["output"].T) * (active > 0)
-    return float(loss), {
-        "hidden": x.T @ back, "hidden_bias": back.sum(axis=0), "output": active.T @ wrong, "output_bias": wrong.sum(axis=0),
-    }
+    """Sums over the rows of the loss and of its derivative by each weight.
+
+    A slice of rows at a time, whose hidden values stay in the cache of a core, with a line for each
+    hidden unit: the thin products are several times faster this way round. The bias is one more input.
+    """
+    inner = np.ascontiguousarray(np.vstack([weights["hidden"], weights["hidden_bias"]]).T)
+    outer, bias = weights["output"], weights["output_bias"]
+    loss, hidden, output, output_bias = 0.0, np.zeros(inner.shape), np.zeros(outer.shape), np.zeros(bias.shape)
+    x = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1)
+    space = [np.empty(len(inner) * SLICE, t) for t in (inner.dtype, bool, inner.dtype)]  # used again by each slice
+    for s in _slices(len(y)):
+        rows = len(y[s])
+        active, on, back = (b[: len(inner) * rows].reshape(len(inner), rows) for b in space)
+        np.matmul(inner, x[s].T, out=active)
+        np.greater(active, 0, out=on)
+        active *= on
+        wrong = _softmax(active.T @ outer + bias)
+        loss += _loss(wrong, y[s])
+        wrong[np.arange(len(wrong)), y[s]] -= 1.0
+        output += active @ wrong
+        output_bias += wrong.sum(axis=0)
+        np.matmul(outer, wrong.T, out=back)
+        back *= on
+        hidden += back @ x[s]
+    return loss, {"hidden": hidden[:, :-1].T, "hidden_bias": hidden[:, -1], "output": output, "output_bias": output_bias}
 
 
 def _flat(weights: Weights) -> np.ndarray:
@@ -212,11 +239,12 @@ class ReluHeadModel(Model, _HeadParams, MLReadable, MLWritable):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         ship_package(dataset.sparkSession)
         weights, width = {name: values.astype(np.float32) for name, values in self.weights.items()}, self.numFeatures
+        classes = self.numClasses
 
         @F.arrow_udf("array<double>")
         def shares(features: pa.Array) -> pa.Array:
             x = features.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(len(features), width)
-            _, found = probabilities(weights, x)
+            found = np.concatenate([np.empty((0, classes), np.float32), *(probabilities(weights, x[s])[1] for s in _slices(len(x)))])
             flat = pa.array(found.astype(np.float64).ravel())
             return pa.ListArray.from_arrays(pa.array(np.arange(len(features) + 1, dtype=np.int32) * found.shape[1]), flat)
 

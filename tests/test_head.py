@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -31,6 +33,19 @@ def test_gradient_equals_finite_differences():
         assert head._flat(gradient)[at] == pytest.approx((up - down) / 2e-6, abs=1e-5)
 
 
+def test_gradient_works_on_few_rows_at_a_time():
+    """Hidden values of a whole Arrow batch would go through memory for each step of the sum."""
+    pick = np.random.default_rng(1)
+    weights = {name: w.astype(np.float32) for name, w in head.initial_weights(5, 1024, 3, 5).items()}
+    x, y = pick.normal(size=(20_000, 5)).astype(np.float32), pick.integers(0, 3, 20_000)
+    tracemalloc.start()
+    head.loss_and_gradient(weights, x, y)
+    head.loss_of(weights, x, y)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 8 << 20
+
+
 def test_adam_against_its_definition():
     adam, values = head.Adam(1, 0.1), np.array([1.0])
     mean = square = 0.0
