@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import query, table
-from catalog.standins import SQL_HELD_OUT, line_features, line_images, line_pictures
+from catalog.standins import SQL_HELD_OUT, line_features, line_images, line_origin, line_pictures
 from imagelab.functions.columns import label_from_path
 from imagelab.operators.classes import hash_split, spread
 from imagelab.operators.featurizer import ImageFeaturizer
@@ -26,8 +26,12 @@ SELECT l_returnflag, l_returnflag AS class_name, count(*) AS n FROM held_out GRO
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    parts = max(spark.sparkContext.defaultParallelism, lines.count() // LINES_OF_TASK)  # counted from the footers
-    return spread(lines.select(*LINE_KEYS, "l_returnflag", "l_linestatus", "l_quantity"), parts, LINE_KEYS)
+    return spread(lines.select(*LINE_KEYS, "l_returnflag", "l_linestatus", "l_quantity"), _parts(lines), LINE_KEYS)
+
+
+def _parts(lines: DataFrame) -> int:
+    """Tasks for so many lines, which are counted from the footers of their files."""
+    return max(lines.sparkSession.sparkContext.defaultParallelism, lines.count() // LINES_OF_TASK)
 
 
 def _features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -277,8 +281,10 @@ SELECT l_returnflag AS class_name, CASE WHEN l_linestatus = 'F' AND l_discount <
 FROM lineitem WHERE l_quantity <> 1 GROUP BY ALL""")
 def features_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A feature table after two updates: lines of one status, then all, with some changed and some removed."""
-    lines = spread(table(spark, sf_dir, "lineitem").select(*LINE_KEYS, "l_returnflag", "l_linestatus", "l_quantity", "l_discount"),
-                   spark.sparkContext.defaultParallelism, LINE_KEYS)
+    lines = table(spark, sf_dir, "lineitem")
+    # by what they are joined by, in as many parts as the other side: neither lines nor pictures are shuffled a second time
+    parts = max(_parts(lines), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    lines = spread(lines.withColumn("origin", line_origin()), parts, ["origin"])
     pictures = line_pictures(lines).withColumn("origin", F.col("image.origin"))
     root = scratch_path(spark, "features")
     delete_on_exit(spark, root.rsplit("/", 1)[0])

@@ -142,10 +142,17 @@ def line_images(lines: DataFrame) -> DataFrame:
     return lines.select(image, _line_label(), line_key().alias("key"))
 
 
+def line_origin() -> Column:
+    return F.concat(F.lit("/lines/"), "l_returnflag", F.lit("/"), line_key(), F.lit(".png"))
+
+
 def line_pictures(lines: DataFrame, *more: str) -> DataFrame:
-    """Lines as labelled images in a folder per flag; those of quantity 50 are cut short."""
+    """Lines as labelled images in a folder per flag; those of quantity 50 are cut short.
+
+    An `origin` that the lines already have is taken, so that a placement by it is known to Spark.
+    """
     side = F.lit(4)
-    origin = F.concat(F.lit("/lines/"), "l_returnflag", F.lit("/"), line_key(), F.lit(".png"))
+    origin = F.col("origin") if "origin" in lines.columns else line_origin()
     data = F.when(F.col("l_quantity") == 50, F.substring(_line_data(), 1, 20)).otherwise(_line_data())
     image = _struct(origin, side, side, F.lit(3), F.lit(16), data)
     return lines.select(image, F.col("l_returnflag").alias("class_name"), _line_label(), *more)

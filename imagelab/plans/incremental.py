@@ -60,7 +60,10 @@ def current_features(spark: SparkSession, path: str) -> DataFrame | None:
     if not exists(spark, folder):
         return None
     table = spark.read.parquet(folder)
-    current = Manifest(spark, f"{path.rstrip('/')}/manifest").current().select("origin", "commit")
-    stale = materialise(table.select("origin", F.col("commit").cast("bigint").alias("commit")).join(current, ["origin", "commit"], "left_anti"), "stale")
+    current = Manifest(spark, f"{path.rstrip('/')}/manifest").last_commits().withColumnRenamed("commit", "_last")
+    # by origin alone, which the last commits are placed by: a join by both columns would shuffle them again
+    found = table.select("origin", F.col("commit").cast("bigint").alias("commit")).join(current, "origin", "left")
+    superseded = F.col("_last").isNull() | (F.col("commit") != F.col("_last"))
+    stale = materialise(found.filter(superseded).select("origin", "commit"), "stale")
     old = stale.select(F.col("origin").alias("_origin"), F.col("commit").alias("_commit"))
     return table.join(old, (table["origin"] == old["_origin"]) & (table["commit"] == old["_commit"]), "left_anti")

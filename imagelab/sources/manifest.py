@@ -56,6 +56,15 @@ class Manifest:
         last = self.rows().groupBy("origin").agg(F.max(state).alias("last"))
         return last.filter(F.col("last.change") != REMOVED).select("origin", "last.length", "last.modified", "last.commit")
 
+    def last_commits(self) -> DataFrame:
+        """(origin, commit): the last commit of every file that is not removed.
+
+        Like `current` without the rest, in one number, so Spark aggregates by hash and sorts nothing.
+        """
+        state = 2 * F.col("commit") + (F.col("change") == REMOVED).cast("int")
+        last = self.rows().groupBy("origin").agg(F.max(state).alias("_state"))
+        return last.filter("_state % 2 = 0").select("origin", F.shiftright("_state", 1).alias("commit"))
+
     def changes(self, files: DataFrame) -> DataFrame:
         """(origin, length, modified, change) of the files that are new, changed or removed since the last commit.
 

@@ -1,9 +1,12 @@
 import os
 import shutil
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import standins, table
+from imagelab.operators.classes import spread
 from imagelab.operators.featurizer import ImageFeaturizer
 from imagelab.plans import incremental, training
 from imagelab.sources import images as src
@@ -162,3 +165,30 @@ def test_an_update_that_failed_is_done_again(spark, tree, tmp_path, monkeypatch)
     monkeypatch.undo()
     assert incremental.update_folder_features(*args) == {"new": 31}
     assert incremental.current_features(spark, table).count() == 31
+
+
+def test_last_commits_are_those_of_the_current_files_and_need_no_sort(spark, tmp_path):
+    files = mf.Manifest(spark, str(tmp_path / "manifest"))
+    commits = [
+        [("a", "new"), ("b", "new"), ("c", "new"), ("d", "new")],
+        [("b", "changed"), ("c", "removed"), ("d", "removed")],
+        [("d", "new"), ("e", "new")],
+    ]
+    for number, changed in enumerate(commits):
+        rows = [(origin, 1, datetime(2024, 1, 1), change) for origin, change in changed]
+        files.commit(spark.createDataFrame(rows, "origin string, length bigint, modified timestamp, change string"), number)
+    last = files.last_commits()
+    assert sorted(map(tuple, last.collect())) == [("a", 0), ("b", 1), ("d", 2), ("e", 2)]
+    assert sorted(map(tuple, last.collect())) == sorted(map(tuple, files.current().select("origin", "commit").collect()))
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+
+
+def test_pictures_placed_by_origin_are_not_shuffled_for_a_join_by_it(spark):
+    lines = table(spark, "/root/testdata/sf0.001", "lineitem")
+    lines = spread(lines.withColumn("origin", standins.line_origin()), 8, ["origin"])
+    pictures = standins.line_pictures(lines).withColumn("origin", F.col("image.origin"))
+    wanted = spark.range(5).select(F.concat(F.lit("/lines/"), "id").alias("_origin")).hint("merge")
+    found = pictures.join(wanted, F.col("origin") == F.col("_origin"), "left_semi")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 2  # the placement, and the other side
