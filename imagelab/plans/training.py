@@ -8,12 +8,7 @@ from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel, Transformer
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import IndexToString
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +20,7 @@ from imagelab.operators.featurizer import ImageFeaturizer
 from imagelab.operators.filters import drop_null_features, rejects
 from imagelab.operators.images import feature_table, pixel_feature_table
 from imagelab.operators.metrics import accuracy
+from imagelab.plans.forest import BoundedForest
 from imagelab.plans.head import ROW_KEY, ReluHead
 from imagelab.session import delete, materialise, published, scratch_of_job, session_by_rows, with_bounded_files
 from imagelab.sources.registry import Registry, log_run
@@ -69,7 +65,7 @@ def decision_tree(**params) -> ModelSpec:
 
 def random_forest(trees: int, **params) -> ModelSpec:
     defaults = {"numTrees": trees, "seed": SEED, "maxMemoryInMB": TREE_MEMORY_MB}
-    return ModelSpec("Random Forest", RandomForestClassifier(**{**defaults, **params}), f"trees-{trees}")
+    return ModelSpec("Random Forest", BoundedForest(**{**defaults, **params}), f"trees-{trees}")
 
 
 @dataclass(frozen=True)
@@ -372,7 +368,8 @@ def sweep(
 
     All fits read the same rows, so pass written ones, such as those of `split_rows`. `parallel`
     fits are in flight at a time: one fills the gaps of the other, and each holds its own copy
-    of the training rows in executor storage, so a higher number only pays for small inputs.
+    of the training rows in executor storage, forests only where it fits, so a higher number only
+    pays for small inputs.
     `score` may be `run_training` with a registry bound to it, to save and log each model.
     """
     spark = train.sparkSession
